@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.plans import catalog_profile
+from tidemark.plans import catalog_features, catalog_profile, catalog_scores
 
-_PARTS = [catalog_profile]
+_PARTS = [catalog_profile, catalog_features, catalog_scores]
 
 QUERIES = {name: fn for part in _PARTS for name, fn in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
