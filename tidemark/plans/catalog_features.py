@@ -248,11 +248,11 @@ def f_lifecycle(spark, sf):
 
 
 @query("f_value", ALL + f"""SELECT customer_key, {r('monthly * tenure')} AS estimated_clv,
-{r('CASE WHEN tenure > 0 THEN total / tenure ELSE monthly END', 9)} AS value_per_month,
-{r('CASE WHEN services > 0 THEN monthly / services ELSE monthly END', 9)} AS cost_per_service FROM base""")
+{r('CASE WHEN tenure > 0 THEN total / tenure ELSE monthly END', 8)} AS value_per_month,
+{r('CASE WHEN services > 0 THEN monthly / services ELSE monthly END', 8)} AS cost_per_service FROM base""")
 def f_value(spark, sf):
     wide = _group(spark, sf, lambda: fe.value_features(R), needs_fit=False)
-    return rounded(wide.withColumn("estimated_clv", F.round("estimated_clv", 6)), 9)
+    return rounded(wide.withColumn("estimated_clv", F.round("estimated_clv", 6)), 8)
 
 
 @query("f_segment_window", PLAIN + f"""SELECT customer_key, {one("contract = 'BUILDING' AND tenure < 12")} AS early_churn_risk,
@@ -269,7 +269,7 @@ def f_segment_window(spark, sf):
 @query("feature_table", ALL + f"""SELECT customer_key, {big('part')} AS part, contract, {r('risk')} AS churn_risk_score,
 {r('coalesce(c_rate, g_rate)')} AS contract_churn_rate, {one('avg_charge > m_avg')} AS is_high_monthly,
 {big('services')} AS total_services, {r('sqrt(tenure)')} AS tenure_sqrt,
-{r('CASE WHEN services > 0 THEN monthly / services ELSE monthly END', 9)} AS cost_per_service,
+{r('CASE WHEN services > 0 THEN monthly / services ELSE monthly END', 8)} AS cost_per_service,
 {r('ln(1 + total)')} AS total_log FROM scored""")
 def feature_table(spark, sf):
     """All 48 derived columns in one transform; a spread of them is compared."""
@@ -279,7 +279,7 @@ def feature_table(spark, sf):
     six = ["churn_risk_score", "contract_churn_rate", "tenure_sqrt", "total_log"]
     wide = fe.transform(parted, R, stats).withColumns({c: F.round(c, 6) for c in six})
     kept = [R.key, "part", "contract", "is_high_monthly", "total_services", "cost_per_service", *six]
-    return rounded(wide.select(*kept), 9)
+    return rounded(wide.select(*kept), 8)
 
 
 _FLAGS = ["is_monthly_contract", "early_churn_risk", "price_sensitive_contract", "long_term_contract",
