@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
-from tidemark.plans import catalog_drift, catalog_explain, catalog_features, catalog_prep, catalog_profile, catalog_scores
+from tidemark.plans import catalog_drift, catalog_explain, catalog_features, catalog_prep, catalog_profile, catalog_scores, catalog_train
 
-_PARTS = [catalog_profile, catalog_features, catalog_scores, catalog_drift, catalog_explain, catalog_prep]
+_PARTS = [
+    catalog_profile,
+    catalog_features,
+    catalog_scores,
+    catalog_drift,
+    catalog_explain,
+    catalog_prep,
+    catalog_train,
+]
 
 QUERIES = {name: fn for part in _PARTS for name, fn in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
