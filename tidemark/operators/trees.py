@@ -12,6 +12,7 @@ import uuid
 from math import factorial
 
 import numpy as np
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +21,12 @@ from tidemark.functions.stage import shared_folder
 from tidemark.operators.train import ChurnModel, feature_names
 
 
-def _node_tables(spark: SparkSession, fitted) -> tuple[list, dict[int, float]]:
-    """Nodes and tree weights of a fitted tree model, from its saved form."""
+def _nodes(spark: SparkSession, fitted) -> list:
+    """Node rows of a fitted tree model, from its saved form."""
     path = f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}/trees-{uuid.uuid4().hex}"
     fitted.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    weights = {r.treeID: r.weights for r in spark.read.parquet(f"{path}/treesMetadata").collect()}
-    return nodes, weights
+    saved = spark.read.parquet(f"{path}/data").toDF("tree", "node")
+    return saved.select("tree", "node.*").collect()
 
 
 def leaves(spark: SparkSession, fitted) -> list[tuple[float, float, list]]:
@@ -34,15 +34,14 @@ def leaves(spark: SparkSession, fitted) -> list[tuple[float, float, list]]:
 
     Boosted trees explain the margin, forests the mean probability of class 1.
     """
-    nodes, weights = _node_tables(spark, fitted)
-    boosted = "GBT" in type(fitted).__name__
-    scale = 1.0 if boosted else 1.0 / len(weights)
+    boosted = isinstance(fitted, GBTClassificationModel)
+    weights = fitted.treeWeights
     by_tree = {}
-    for n in nodes:
-        by_tree.setdefault(n.treeID, {})[n.id] = n
+    for n in _nodes(spark, fitted):
+        by_tree.setdefault(n.tree, {})[n.id] = n
     out = []
     for tree, table in by_tree.items():
-        weight = weights[tree] if boosted else scale
+        weight = weights[tree] if boosted else 1.0 / len(weights)
 
         def walk(node, cover, path):
             if node.leftChild < 0:

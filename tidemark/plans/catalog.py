@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.plans import catalog_drift, catalog_explain, catalog_features, catalog_prep, catalog_profile, catalog_scores, catalog_train
+from tidemark.plans import (
+    catalog_drift,
+    catalog_explain,
+    catalog_features,
+    catalog_prep,
+    catalog_profile,
+    catalog_scores,
+    catalog_train,
+)
 
 _PARTS = [
     catalog_profile,
