@@ -25,8 +25,9 @@ def class_cuts(df: DataFrame, key: str, label: str | None, parts: Sequence[tuple
     """Hash of the last row of each leading part of each class.
 
     ``parts`` holds fractions (a, b): part p ends after floor(rows * a / b).
-    Returns (label, cuts): one array of hashes per class, '' for an empty part.
-    Keys must be unique.
+    Returns one row per class with a hash ``_cut<i>`` per part, '' for an empty
+    one. Keys must be unique, and the label a class label (few values): the
+    cut points, classes x parts rows, are broadcast.
     """
     cls = F.col(label) if label else F.lit(0)
     drawn = df.select(cls.alias("_c"), draw_order(key, seed).alias("_h"))
@@ -49,8 +50,8 @@ def class_cuts(df: DataFrame, key: str, label: str | None, parts: Sequence[tuple
         )
         .select("_c", "_g", (F.col("_w.rank") - F.col("_before")).alias("_k"), F.col("_w.part").alias("part"))
     )
-    # classes x parts rows: at most one digit group each
-    near = drawn.withColumn("_g", F.substring("_h", 1, 4)).join(located, ["_c", "_g"])
+    # one digit group per class and part; all other rows are dropped before any shuffle
+    near = drawn.withColumn("_g", F.substring("_h", 1, 4)).join(F.broadcast(located), ["_c", "_g"])
     place = F.row_number().over(Window.partitionBy("_c", "_g", "part").orderBy("_h"))
     found = near.withColumn("_r", place).where("_r = _k").select("_c", "part", F.col("_h").alias("cut"))
     return found.groupBy("_c").agg(

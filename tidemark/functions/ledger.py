@@ -8,12 +8,15 @@ slab and shifted by the totals of the slabs before it. The totals are one row
 per (group, slab) touched, so at most groups + slabs rows.
 
 The slab number is read back from the written table: range bounds are sampled,
-and a second evaluation may draw others.
+and a second evaluation may draw others. Adaptive execution merges small slabs,
+so a column with few distinct values is one slab, one file, and needs no shift.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +39,20 @@ def running_sums(
         df.repartitionByRange(*groups, *order).withColumn(_SLAB, F.spark_partition_id()),
         "ledger",
     )
+    whole = Window.partitionBy(*groups)
+    if len(slabs.inputFiles()) <= 1:
+        upto = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return slabs.select(
+            *df.columns,
+            *[F.sum(s).over(upto).alias(f"cum_{s}") for s in sums],
+            *[F.sum(s).over(whole).alias(f"tot_{s}") for s in sums],
+        )
     here = [*groups, _SLAB]
     upto = (
         Window.partitionBy(*here)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    whole = Window.partitionBy(*groups)
     earlier = whole.orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
     shift = (
         slabs.groupBy(*here)
@@ -93,7 +103,10 @@ def quantiles(
         *[F.struct(F.lit(float(q)).alias("q"), ((F.col("tot_n") - 1) * F.lit(float(q))).alias("h")) for q in probs]
     )
     touched = F.filter(points, lambda p: (F.floor(p["h"]) < upto) & (F.ceil(p["h"]) >= below))
-    hits = ledger.select(
+    # a plain condition first: only rows that hold a wanted rank reach the arrays
+    wanted = [(F.col("tot_n") - 1) * F.lit(float(q)) for q in probs]
+    holds = reduce(or_, [(F.floor(h) < upto) & (F.ceil(h) >= below) for h in wanted])
+    hits = ledger.where(holds).select(
         *groups, F.col(value).alias("_v"), below.alias("_b"), upto.alias("_u"), F.explode(touched).alias("_p")
     )
 

@@ -11,10 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidemark.functions.ledger import running_sums
 from tidemark.functions.shape import equal_width_bin, long_numeric, long_text, per_feature
+from tidemark.functions.stage import staged
 from tidemark.roles import (
     DRIFT_ADVICE,
     DRIFT_ESCALATION_COUNT,
@@ -49,8 +49,8 @@ def side_cells(
 
 def reference_spans(cells: DataFrame) -> DataFrame:
     """(feature, low, high) of the reference values."""
-    seen = F.when(F.col("n_ref") > 0, F.col("value"))
-    return cells.groupBy("feature").agg(F.min(seen).alias("low"), F.max(seen).alias("high"))
+    seen = cells.where("n_ref > 0")
+    return seen.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high"))
 
 
 def label_numeric(cells: DataFrame, spans: DataFrame, bins: int = PSI_BINS) -> DataFrame:
@@ -164,11 +164,11 @@ def drift_report(
     """
     parts = []
     if numeric:
-        ledger = side_ledger(reference, current, numeric, numeric=True)
+        ledger = staged(side_ledger(reference, current, numeric, numeric=True), "cells")
         psi = psi_from_labels(label_numeric(ledger, reference_spans(ledger)))
         parts.append(psi.join(ks_from_ledger(ledger), "feature").withColumn("kind", F.lit("numeric")))
     if categorical:
-        ledger = side_ledger(reference, current, categorical, numeric=False)
+        ledger = staged(side_ledger(reference, current, categorical, numeric=False), "cells")
         psi = psi_from_labels(ledger.withColumn("label", F.col("value")))
         parts.append(psi.join(ks_from_ledger(ledger), "feature").withColumn("kind", F.lit("categorical")))
     both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -310,8 +310,8 @@ def windowed_psi(counts: DataFrame, profile: DataFrame, window: str) -> DataFram
         "feature", "label", expected.alias("_e"), _term(expected, floor).alias("_absent")
     )
     absent = known.groupBy("feature").agg(F.sum("_absent").alias("_all_absent"))
-    size = F.sum("n").over(Window.partitionBy(window, "feature"))
-    actual = counts.withColumn("_a", _floored(F.col("n"), size))
+    sizes = counts.groupBy(window, "feature").agg(F.sum("n").alias("_size"))
+    actual = counts.join(sizes, [window, "feature"]).withColumn("_a", _floored(F.col("n"), F.col("_size")))
     terms = actual.join(known, ["feature", "label"], "left")
     term = F.when(F.col("label").isNotNull(), _term(F.coalesce(F.col("_e"), floor), F.col("_a"))).otherwise(0.0)
     return (

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.ledger import value_ledger
 from tidemark.functions.shape import rows_of, share
+from tidemark.functions.stage import staged
 from tidemark.roles import RISK_BAND_HIGH, RISK_BAND_MEDIUM
 
 EPS = 1e-10
@@ -153,7 +154,7 @@ def evaluate(
     scores: DataFrame, threshold: float = 0.5, by: Sequence[str] = ("model",), ledger: DataFrame | None = None
 ) -> DataFrame:
     """All metrics per model at one threshold, with both areas."""
-    ledger = score_ledger(scores, by) if ledger is None else ledger
+    ledger = staged(score_ledger(scores, by), "ledger") if ledger is None else ledger
     # one row per model in each table
     return (
         metrics_from_counts(confusion_counts(scores, threshold, by), by)

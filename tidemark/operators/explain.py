@@ -186,19 +186,16 @@ def top_features_by_class(wide: DataFrame, label: str, top: int = 5) -> DataFram
 def overlap_zone(wide: DataFrame, label: str) -> DataFrame:
     """Share of class 0 above the first quartile of class 1, and the gap of the means."""
     totals = row_totals(wide, [label])
-    ledger = value_ledger(
-        totals, "total_attribution", {"n": F.count("*")}, [label]
-    )
-    q1 = quantiles(ledger.where(F.col(label) == 1), [0.25], "total_attribution", [label]).agg(F.max("quantile")).scalar()
-    x, n = F.col("total_attribution"), F.col("n")
-    zero, one = F.col(label) == 0, F.col(label) == 1
-    sums = ledger.agg(
-        F.sum(F.when(zero & (x > q1), n).otherwise(0)).alias("above"),
-        F.sum(F.when(zero, n)).alias("n0"),
-        F.sum(F.when(one, n)).alias("n1"),
-        F.sum(F.when(zero, x * n)).alias("s0"),
-        F.sum(F.when(one, x * n)).alias("s1"),
-        F.max(q1).alias("q1"),
+    x, zero, one = F.col("total_attribution"), F.col(label) == 0, F.col(label) == 1
+    ledger = value_ledger(totals.where(one), "total_attribution", {"n": F.count("*")})
+    q1 = quantiles(ledger, [0.25], "total_attribution").select("quantile").scalar()
+    sums = totals.withColumn("_q1", q1).agg(
+        F.count_if(zero & (x > F.col("_q1"))).alias("above"),
+        F.count_if(zero).alias("n0"),
+        F.count_if(one).alias("n1"),
+        F.sum(F.when(zero, x)).alias("s0"),
+        F.sum(F.when(one, x)).alias("s1"),
+        F.max("_q1").alias("q1"),
     )
     mean0, mean1 = F.try_divide(F.col("s0"), F.col("n0")), F.try_divide(F.col("s1"), F.col("n1"))
     return sums.select(

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from tidemark.functions.ledger import quantiles, value_ledger
 from tidemark.functions.shape import long_numeric, long_text, per_feature
+from tidemark.functions.stage import staged
 from tidemark.roles import IV_LABELS, IV_TOP_LABEL
 
 
@@ -71,8 +72,9 @@ def numeric_bins(
     shifts its running counts.
     """
     cells = long_numeric(df, columns, [target]).where(F.col(target).isNotNull())
-    ledger = value_ledger(
-        cells, "value", {"n": F.count("*"), "event": F.sum(target).cast("double")}, ["feature"]
+    ledger = staged(
+        value_ledger(cells, "value", {"n": F.count("*"), "event": F.sum(target).cast("double")}, ["feature"]),
+        "cells",
     )
     ends = quantiles(ledger, trim, "value", ["feature"]).groupBy("feature").agg(
         F.min("quantile").alias("_low"), F.max("quantile").alias("_high")

@@ -11,15 +11,20 @@ so a crowded cell becomes many tasks. A task keeps k rows per vector.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.functions.stage import staged
 
+# tasks get these functions by value, so executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _PIVOT_BYTES = 32 << 20
 _CELL = 500
 _SLACK = 1e-9

@@ -8,10 +8,12 @@ column is unknown.
 
 from __future__ import annotations
 
+import sys
 import uuid
 from math import factorial
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +23,10 @@ from tidemark.functions.stage import shared_folder
 from tidemark.operators.train import ChurnModel, feature_names
 
 
+# tasks get these functions by value, so executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _nodes(spark: SparkSession, fitted) -> list:
     """Node rows of a fitted tree model, from its saved form."""
     path = f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}/trees-{uuid.uuid4().hex}"

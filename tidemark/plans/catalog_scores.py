@@ -17,6 +17,7 @@ from tidemark.plans.catalog_features import ALL, one
 from tidemark.plans.sqltext import big, r
 from tidemark.roles import ORDERS360 as R
 from tidemark.sources.customer360 import customer360
+from tidemark.sources.tables import table
 
 QUERIES, ORACLE = {}, {}
 
@@ -177,7 +178,7 @@ def pr_auc_trapz(spark, sf):
     + f" SELECT model, metric, {r('threshold', 9)} AS threshold, {r('score', 9)} AS score FROM "
     "(SELECT * FROM b_f1 UNION ALL SELECT * FROM b_precision UNION ALL SELECT * FROM b_recall)")
 def best_threshold(spark, sf):
-    ledger = ev.score_ledger(_scores(spark, sf))
+    ledger = staged(ev.score_ledger(_scores(spark, sf)), "ledger")
     parts = [ev.best_threshold(ledger, m).withColumn("metric", F.lit(m)) for m in ("f1", "precision", "recall")]
     return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), 9)
 
@@ -255,7 +256,7 @@ def financial_impact(spark, sf):
     base = staged(customer360(spark, sf), "c360")
     scores = scores_of(with_part(base, R.key, R.target, [(2, 10)], 42, "part"), "part")
     terms = ev.business_terms(base, "monthly")
-    ledger = ev.score_ledger(scores.where("part = 1"))
+    ledger = staged(ev.score_ledger(scores.where("part = 1")), "ledger")
     names = F.create_map(F.lit(1.0), F.lit("max_f1"), F.lit(2.0), F.lit("max_recall_f2"), F.lit(0.5), F.lit("max_precision_f05"))
     plan = (
         ev.fbeta_thresholds(ledger, _BETAS)
@@ -356,7 +357,7 @@ def revenue_at_risk(spark, sf):
 {_metrics_sql("scores", "met")} SELECT {_METRIC_COLUMNS} FROM met""")
 def label_metrics(spark, sf):
     """Toxic mark as a rule for low quality, on the labelled documents."""
-    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    labels = table(spark, sf, "labels")
     pairs = labels.select(
         F.lit("labels").alias("model"), (1 - F.col("quality")).alias("y"), F.col("toxic").cast("double").alias("p")
     )

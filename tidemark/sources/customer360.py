@@ -21,10 +21,22 @@ _SERVICES = {
 
 
 def customer360(spark: SparkSession, folder: str) -> DataFrame:
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    dated = table(spark, folder, "orders")
+    cut = dated.agg(F.max("o_orderdate")).scalar() - F.expr("interval 365 days")
+    orders = dated.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        "o_orderpriority",
+        (F.col("o_orderdate") <= cut).alias("past"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        # order dates carry no time of day: day and key in one long, and the
+        # one-letter status as its code, keep the grouping below a hash one
+        (F.shiftleft(F.unix_date(F.col("o_orderdate").cast("date")).cast("long"), 47) + F.col("o_orderkey")).alias(
+            "recent"
+        ),
+        F.ascii("o_orderstatus").alias("status"),
     )
-    cut = (orders.agg(F.max("o_orderdate")).scalar() - F.expr("interval 365 days"))
     returned = (
         table(spark, folder, "lineitem")
         .where("l_returnflag = 'R'")
@@ -32,12 +44,12 @@ def customer360(spark: SparkSession, folder: str) -> DataFrame:
         .distinct()
         .withColumn("returned", F.lit(1))
     )
-    past = F.col("o_orderdate") <= cut
-    amount = F.when(past, F.col("o_totalprice").cast("decimal(18,2)"))
+    past = F.col("past")
 
     def yes(condition):
         return F.when(F.max(F.when(past & condition, 1).otherwise(0)) == 1, "Yes").otherwise("No")
 
+    amount = F.when(past, F.col("price"))
     history = (
         orders.join(returned, "o_orderkey", "left")
         .groupBy("o_custkey")
@@ -47,13 +59,12 @@ def customer360(spark: SparkSession, folder: str) -> DataFrame:
             F.max(F.when(past, F.col("o_orderdate"))).alias("last"),
             F.count(amount).alias("n"),
             F.sum(amount).alias("amount"),
-            F.max_by(
-                "o_orderstatus", F.when(past, F.struct("o_orderdate", "o_orderkey"))
-            ).alias("payment"),
+            F.max_by("status", F.when(past, F.col("recent"))).alias("status"),
             yes(F.col("returned") == 1).alias("paperless"),
             *[yes(F.col("o_orderpriority") == v).alias(c) for c, v in _SERVICES.items()],
         )
         .where("n > 0")
+        .withColumn("payment", F.char("status"))
     )
     place = (
         table(spark, folder, "nation")

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.roles import Roles
 
 
+@lru_cache(maxsize=256)
+def _schema(application: str, path: str) -> T.StructType:
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table; its schema is read from the footers once per application."""
+    path = f"{folder}/{name}.parquet"
+    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
 
 
 def customer_schema(roles: Roles) -> T.StructType:
