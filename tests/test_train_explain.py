@@ -50,6 +50,8 @@ def test_preprocessor(customers):
     assert row[0] > 0 and sum(row[1:]) == 0
     cut = tr.fit_preprocessor(customers, ["tenure"], ["contract"], drop_first=True).transform(customers)
     assert len(tr.feature_names(cut)) == 5
+    more = tr.fit_preprocessor(customers, ["tenure"], [], passthrough=["recency"]).transform(customers)
+    assert tr.feature_names(more) == ["num__tenure", "recency"]
     for bad in (dict(numeric=[], categorical=[]), dict(numeric=["tenure"], categorical=[], scaler="x")):
         with pytest.raises(ValueError):
             tr.fit_preprocessor(customers, **bad)

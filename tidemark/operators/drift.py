@@ -221,8 +221,8 @@ def distribution_compare(
 
     Numeric columns are binned over both sides; density is share over width.
     """
-    num = side_cells(reference, current, numeric, numeric=True, grouped=False)
-    cat = side_cells(reference, current, categorical, numeric=False, grouped=False)
+    num = staged(side_cells(reference, current, numeric, numeric=True), "cells")
+    cat = staged(side_cells(reference, current, categorical, numeric=False), "cells")
     spans = per_feature(num.groupBy("feature").agg(F.min("value").alias("low"), F.max("value").alias("high")))
     binned = num.join(spans, "feature").select(
         "feature",
@@ -231,15 +231,16 @@ def distribution_compare(
         "n_ref",
         "n_cur",
     )
+    texts = cat.select("feature", F.col("value").alias("label"), F.lit(None).cast("double").alias("width"), "n_ref", "n_cur")
     counts = (
-        binned.unionByName(
-            cat.select("feature", F.col("value").alias("label"), F.lit(None).cast("double").alias("width"), "n_ref", "n_cur")
-        )
+        binned.unionByName(texts)
         .groupBy("feature", "label", "width")
         .agg(F.sum("n_ref").alias("reference"), F.sum("n_cur").alias("current"))
     )
     # one row per column of the schema
-    psi = psi_numeric(reference, current, numeric, bins).unionByName(psi_categorical(reference, current, categorical))
+    psi = psi_from_labels(label_numeric(num, reference_spans(num), bins)).unionByName(
+        psi_from_labels(cat.withColumnRenamed("value", "label"))
+    )
     chosen = psi.orderBy(F.desc("psi"), "feature").limit(top).select("feature")
     kept = counts.join(per_feature(chosen), "feature")
     sizes = per_feature(
@@ -267,18 +268,17 @@ def distribution_compare(
 def reference_profile(
     reference: DataFrame, numeric: Sequence[str], categorical: Sequence[str], bins: int = PSI_BINS
 ) -> tuple[DataFrame, DataFrame]:
-    """(spans, counts) of a reference, small enough to keep: the spans of numeric
+    """(spans, counts) of a reference, written once and kept: the spans of numeric
     columns, and (feature, label, n_ref, ref_size) for bins and categories."""
-    one = F.lit(1).cast("long")
-    cells = long_numeric(reference, numeric).where("value is not null").withColumn("n_ref", one)
-    spans = reference_spans(cells)
+    cells = long_numeric(reference, numeric).where("value is not null").withColumn("n_ref", F.lit(1).cast("long"))
+    spans = staged(reference_spans(cells), "spans")
     labelled = label_numeric(cells, spans, bins).select("feature", "label")
-    texts = long_text(reference, categorical).where("value is not null") if categorical else None
-    if texts is not None:
+    if categorical:
+        texts = long_text(reference, categorical).where("value is not null")
         labelled = labelled.unionByName(texts.select("feature", F.col("value").alias("label")))
     counts = labelled.groupBy("feature", "label").agg(F.count("*").alias("n_ref"))
     sizes = per_feature(counts.groupBy("feature").agg(F.sum("n_ref").alias("ref_size")))
-    return spans, counts.join(sizes, "feature")
+    return spans, staged(counts.join(sizes, "feature"), "profile")
 
 
 def window_labels(

@@ -110,8 +110,12 @@ def fit_preprocessor(
     categorical_fill: str = "most_frequent",
     handle_unknown: str = "ignore",
     drop_first: bool = False,
+    passthrough: Sequence[str] = (),
 ) -> PipelineModel:
-    """Filled and scaled numbers, one-hot categories, assembled as ``features``."""
+    """Filled and scaled numbers, one-hot categories, assembled as ``features``.
+
+    Columns in ``passthrough`` (numbers) are added as they are; others are left out.
+    """
     if not numeric and not categorical:
         raise ValueError("no columns to prepare")
     if isinstance(numeric, str) or isinstance(categorical, str):
@@ -156,6 +160,7 @@ def fit_preprocessor(
                 inputs[inputs.index(f"cat__{c}")] = f"cut__{c}"
             else:
                 inputs.remove(f"cat__{c}")
+    inputs += list(passthrough)
     tail.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     return PipelineModel(stages=[*fitted.stages, *tail])
 

@@ -150,17 +150,15 @@ def avg_precision(spark, sf):
 @query("roc_curve", CURVE + f""" SELECT model, {r('p', 9)} AS threshold, {r('fp / nn::DOUBLE')} AS fpr,
 {r('tp / np::DOUBLE')} AS tpr FROM curve UNION ALL SELECT DISTINCT model, NULL, 0::DOUBLE, 0::DOUBLE FROM scores""")
 def roc_curve(spark, sf):
-    return rounded(ev.roc_curve(ev.score_ledger(_scores(spark, sf))), 9).withColumns(
-        {c: F.round(c, 6) for c in ("fpr", "tpr")}
-    )
+    curve = ev.roc_curve(ev.score_ledger(_scores(spark, sf)))
+    return rounded(curve.withColumns({c: F.round(c, 6) for c in ("fpr", "tpr")}), 9)
 
 
 @query("pr_curve", CURVE + f""" SELECT model, {r('p', 9)} AS threshold, {r('pr')} AS "precision", {r('rc')} AS recall
 FROM curve UNION ALL SELECT DISTINCT model, NULL, 1::DOUBLE, 0::DOUBLE FROM scores""")
 def pr_curve(spark, sf):
-    return rounded(ev.pr_curve(ev.score_ledger(_scores(spark, sf))), 9).withColumns(
-        {c: F.round(c, 6) for c in ("precision", "recall")}
-    )
+    curve = ev.pr_curve(ev.score_ledger(_scores(spark, sf)))
+    return rounded(curve.withColumns({c: F.round(c, 6) for c in ("precision", "recall")}), 9)
 
 
 @query("pr_auc_trapz", CURVE + f""",
