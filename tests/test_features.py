@@ -107,6 +107,13 @@ def test_fit_without_target(eight, roles):
     assert "tenure_vs_contract_avg" in made.columns and made.count() == 8
 
 
+def test_absent_services_are_not_counted(eight, roles, stats):
+    less = eight.drop("PhoneService", "StreamingTV", "StreamingMovies")
+    row = fe.transform(less, roles, stats).where("customerID = 'G'").first()
+    assert (row.total_services, row.streaming_services, row.has_streaming) == (5, 0, 0)
+    assert row.service_density == pytest.approx(5 / 6)
+
+
 def test_equal_quartiles_use_even_edges():
     assert fe.open_edges([1.0, 1.0, 1.0, 2.0, 9.0]) == [-math.inf, 3.0, 5.0, 7.0, math.inf]
 

@@ -30,6 +30,14 @@ def number(column: Column) -> Column:
     return F.when(~F.isnan(parsed), parsed)
 
 
+def sql_name(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def long_numeric(df: DataFrame, columns: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
     """(ids, feature, value double): one row per cell of the numeric columns."""
     cast = df.select(*ids, *[number(F.col(c)).alias(c) for c in columns])

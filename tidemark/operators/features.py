@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ledger import quantiles, ranked, value_ledger
-from tidemark.functions.shape import flag, long_numeric, number, total
+from tidemark.functions.shape import flag, long_numeric, number, sql_name, sql_text, total
 from tidemark.functions.stage import staged
 from tidemark.operators.clean import binary_target, fix_total
 from tidemark.roles import (
@@ -172,9 +172,15 @@ def with_lookups(df: DataFrame, roles: Roles, stats: FeatureStats, columns: Sequ
     return df
 
 
-def _active(column: str, roles: Roles) -> Column:
-    """A service counts unless its value says it is off; null counts."""
-    return 1 - flag(F.col(column).isin(*roles.inactive_values))
+def _active_count(columns: Sequence[str], roles: Roles) -> Column:
+    """Services that are on: all whose value does not say off, so null counts.
+
+    One SQL text, as the same sums go into many derived columns.
+    """
+    if not columns:
+        return F.lit(0)
+    off = ", ".join(sql_text(v) for v in roles.inactive_values)
+    return F.expr(" + ".join(f"(1 - CAST(coalesce({sql_name(c)} IN ({off}), false) AS INT))" for c in columns))
 
 
 def tenure_features(roles: Roles) -> dict[str, Column]:
@@ -254,12 +260,12 @@ def nonlinear_features(roles: Roles) -> dict[str, Column]:
 
 
 def service_features(roles: Roles) -> dict[str, Column]:
-    count = total([_active(c, roles) for c in roles.services])
-    streams = total([_active(c, roles) for c in roles.streaming])
-    guards = total([_active(c, roles) for c in roles.security])
+    count = _active_count(roles.services, roles)
+    streams = _active_count(roles.streaming, roles)
+    guards = _active_count(roles.security, roles)
     return {
         "total_services": count,
-        "service_density": count / F.lit(len(roles.services)),
+        "service_density": F.try_divide(count.cast("double"), F.lit(len(roles.services))),
         "streaming_services": streams,
         "has_streaming": (streams > 0).cast("int"),
         "security_services": guards,
@@ -268,7 +274,7 @@ def service_features(roles: Roles) -> dict[str, Column]:
 
 
 def engagement_features(roles: Roles) -> dict[str, Column]:
-    count = service_features(roles)["total_services"]
+    count = _active_count(roles.services, roles)
     partner, family = F.col(roles.partner) == "Yes", F.col(roles.dependents) == "Yes"
     return {
         "low_engagement": (count <= LOW_ENGAGEMENT_MAX).cast("int"),
@@ -280,14 +286,15 @@ def engagement_features(roles: Roles) -> dict[str, Column]:
 
 
 def interaction_features(roles: Roles, stats: FeatureStats) -> dict[str, Column]:
-    net, services = F.col(roles.internet), service_features(roles)
-    unguarded = services["security_services"] == 0
+    net = F.col(roles.internet)
+    unguarded = _active_count(roles.security, roles) == 0
+    streams = _active_count(roles.streaming, roles) > 0
     online = ~F.coalesce(net == roles.no_internet, F.lit(False))
     median = stats.scalars.get("median_monthly")
     rich = F.lit(False) if median is None else F.col(roles.monthly) > F.lit(median)
     return {
         "fiber_no_security": flag((net == roles.fibre) & unguarded),
-        "streamer_unprotected": flag(online & (services["has_streaming"] == 1) & unguarded),
+        "streamer_unprotected": flag(online & streams & unguarded),
         "senior_monthly": flag((F.col(roles.senior) == 1) & (F.col(roles.contract) == roles.monthly_contract)),
         "new_high_value": flag((F.col(roles.tenure) == 0) & rich),
     }
@@ -295,12 +302,12 @@ def interaction_features(roles: Roles, stats: FeatureStats) -> dict[str, Column]
 
 def risk_score(roles: Roles) -> Column:
     """Weighted sum of six warning signs, 0 to 8."""
-    unguarded = service_features(roles)["security_services"] == 0
+    unguarded = _active_count(roles.security, roles) == 0
     signs = {
         "monthly_contract": flag(F.col(roles.contract) == roles.monthly_contract),
         "short_tenure": flag(F.col(roles.tenure) < EARLY_CHURN_TENURE),
         "fiber_no_security": flag((F.col(roles.internet) == roles.fibre) & unguarded),
-        "low_engagement": engagement_features(roles)["low_engagement"],
+        "low_engagement": flag(_active_count(roles.services, roles) <= LOW_ENGAGEMENT_MAX),
         "paperless_billing": flag(F.col(roles.paperless) == "Yes"),
         "electronic_check": flag(F.col(roles.payment) == roles.electronic_check),
     }
@@ -334,7 +341,7 @@ def lifecycle_features(roles: Roles) -> dict[str, Column]:
 
 def value_features(roles: Roles) -> dict[str, Column]:
     t, monthly = F.col(roles.tenure), F.col(roles.monthly)
-    count = service_features(roles)["total_services"]
+    count = _active_count(roles.services, roles)
     return {
         "estimated_clv": monthly * t,
         "value_per_month": F.when(t > 0, F.col(roles.total) / t).otherwise(monthly),
@@ -368,6 +375,7 @@ def select_features(df: DataFrame, features: dict[str, Column], keep: Sequence[s
 
 def transform(df: DataFrame, roles: Roles, stats: FeatureStats) -> DataFrame:
     """The input columns with all derived columns, in one select."""
+    roles = roles.present(df.columns)
     fixed = fix_total(df, roles)
     looked = with_lookups(fixed, roles, stats, [roles.contract, roles.internet, roles.payment])
     return select_features(looked, all_features(roles, stats), df.columns)

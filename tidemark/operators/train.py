@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.shape import sql_name, sql_text
 from tidemark.functions.stage import staged
 from tidemark.operators import features as fe
 from tidemark.operators import prep
@@ -89,14 +90,6 @@ def auto_roles(df: DataFrame, skip: Sequence[str]) -> tuple[list[str], list[str]
     return numeric, text
 
 
-def _name(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
-
-
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _double(x: float | None) -> str:
     return "CAST(NULL AS DOUBLE)" if x is None else f"CAST('{float(x)!r}' AS DOUBLE)"
 
@@ -129,15 +122,15 @@ def fit_preprocessor(
         fills = prep.numeric_fills(train, numeric, numeric_fill)
         scaled = prep.scales(train, numeric, scaler, fills)
         for c in numeric:
-            x = f"coalesce(nanvl(try_cast({_name(c)} AS DOUBLE), NULL), {_double(fills.get(c))})"
+            x = f"coalesce(nanvl(try_cast({sql_name(c)} AS DOUBLE), NULL), {_double(fills.get(c))})"
             s = scaled.get(c)
             out = f"({x} - {_double(s.centre)}) / {_double(s.spread)}" if s else x
-            parts.append(f"{out} AS {_name('num__' + c)}")
+            parts.append(f"{out} AS {sql_name('num__' + c)}")
             inputs.append(f"num__{c}")
     if categorical:
         fills = prep.categorical_fills(train, categorical, categorical_fill)
         for c in categorical:
-            parts.append(f"coalesce(CAST({_name(c)} AS STRING), {_text(fills.get(c) or 'missing')}) AS {_name('_text_' + c)}")
+            parts.append(f"coalesce(CAST({sql_name(c)} AS STRING), {sql_text(fills.get(c) or 'missing')}) AS {sql_name('_text_' + c)}")
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")]
     if categorical:
         text, code, hot = ([f"{p}{c}" for c in categorical] for p in ("_text_", "_code_", "cat__"))

@@ -22,5 +22,5 @@ _PARTS = [
     catalog_train,
 ]
 
-QUERIES = {name: fn for part in _PARTS for name, fn in part.QUERIES.items()}
-ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}
+QUERIES = {name: fn for part in _PARTS for name, fn in part.REGISTRY.queries.items()}
+ORACLE = {name: sql for part in _PARTS for name, sql in part.REGISTRY.sql.items()}

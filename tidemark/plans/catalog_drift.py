@@ -8,21 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions.shape import rounded
 from tidemark.functions.stage import staged
 from tidemark.operators import drift
+from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import big, long, r, with_
 from tidemark.roles import DRIFT_ADVICE
 from tidemark.sources.tables import table
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

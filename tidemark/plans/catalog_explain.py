@@ -11,20 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.shape import rounded, rows_of
 from tidemark.functions.stage import staged
 from tidemark.operators import explain as ex
+from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import C360, big, r, with_
 from tidemark.sources.customer360 import customer360
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 COLUMNS = ["tenure", "recency", "monthly", "total", "balance", "senior"]

@@ -15,23 +15,15 @@ from tidemark.functions.shape import rounded
 from tidemark.functions.stage import staged
 from tidemark.operators import features as fe
 from tidemark.operators import profile
+from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import C360, big, quantile, r, with_
 from tidemark.roles import ORDERS360
 from tidemark.sources.customer360 import customer360
 
 R = ORDERS360
 RECENCY = replace(R, tenure="recency")
-QUERIES, ORACLE = {}, {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 SPLIT = """

@@ -8,22 +8,14 @@ from tidemark.functions.shape import rounded
 from tidemark.functions.stage import staged
 from tidemark.operators import balance, prep
 from tidemark.plans.catalog_features import SPLIT, one
+from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import C360, big, r, with_
 from tidemark.roles import ORDERS360 as R
 from tidemark.sources.customer360 import customer360
 from tidemark.sources.tables import table
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 DRAWN = """drawn AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY md5(concat(customer_key, '-42'))) AS rn,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.shape import rounded
 from tidemark.functions.stage import staged
 from tidemark.operators import clean, iv, profile
+from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import C360, big, long, quantile, r, with_
 from tidemark.roles import ORDERS360
 from tidemark.sources.customer360 import customer360
@@ -18,17 +19,8 @@ CATEGORICAL = ["contract", "internet", "payment", "paperless", "partner", "depen
 NUMERIC = ["tenure", "recency", "monthly", "total", "balance"]
 RECENCY = replace(ORDERS360, tenure="recency", total="total_text")
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 @query(

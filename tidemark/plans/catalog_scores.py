@@ -14,22 +14,14 @@ from tidemark.functions.stage import staged
 from tidemark.operators import evaluate as ev
 from tidemark.operators.features import risk_score
 from tidemark.plans.catalog_features import ALL, one
+from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import big, r
 from tidemark.roles import ORDERS360 as R
 from tidemark.sources.customer360 import customer360
 from tidemark.sources.tables import table
 
-QUERIES, ORACLE = {}, {}
-
-
-def query(name, sql=None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql:
-            ORACLE[name] = sql
-        return fn
-
-    return register
+REGISTRY = Registry()
+query = REGISTRY.query
 
 
 def _models():

@@ -6,7 +6,8 @@ so a new table needs a new preset and no new code.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
 
 # The labels, cut points, weights and limits that define the
 # derived columns.
@@ -97,6 +98,11 @@ class Roles:
     def numeric(self) -> tuple[str, ...]:
         return (self.tenure, self.monthly, self.total)
 
+    def present(self, columns: Sequence[str]) -> Roles:
+        """The same roles with the service lists cut to the columns a table has."""
+        lists = {n: tuple(c for c in getattr(self, n) if c in columns) for n in ("services", "streaming", "security")}
+        return replace(self, **lists)
+
 
 _YES_NO = ("Yes", "No")
 _NET = ("Yes", "No", "No internet service")
