@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.shape import rounded
-from tidemark.functions.stage import staged
 from tidemark.operators import drift
 from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import big, long, r, with_
