@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import count_edited, quarter_revisions
+from tidemark.llm import line_rules
+from tidemark.llm.pieces import decode, encode_sampled
+from tidemark.llm.language import identify
+from tidemark.llm.pii import KINDS, find_pii, span_text
+from tidemark.llm import toxicity
 from tidemark.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -26,3 +32,38 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in sequences of 2048 ids."""
     return pack(table(spark, folder, "documents"))
+
+
+@query("op2_line_rules", line_rules.ORACLE)
+def op2_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict for every document."""
+    return line_rules.judge_lines(table(spark, folder, "documents"))
+
+
+@query("op8_sentencepiece")
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """A sampled segmentation of every document, and whether decoding it gives the text again."""
+    decoded = decode(encode_sampled(table(spark, folder, "documents")))
+    return decoded.select("doc_id", "n_pieces", F.crc32("ids").alias("ids_crc32"), (F.crc32(F.col("text").cast("binary")) == F.col("text_crc32")).alias("lossless"))
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document."""
+    return identify(table(spark, folder, "documents"))
+
+
+@query("op6_pii")
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    found = find_pii(table(spark, folder, "documents"))
+    counts = [F.size(F.filter("pii", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    base = span_text(F.filter("pii", lambda s: s["base"]))
+    return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), span_text(F.col("pii")).alias("spans"))
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = table(spark, folder, "documents")
+    return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))

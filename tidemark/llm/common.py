@@ -34,3 +34,11 @@ def map_rows(df: DataFrame, each: Callable[[dict[str, list]], dict[str, Any]], s
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in map(out.get, names)], names=list(names))
 
     return df.mapInArrow(batches, schema)
+
+
+def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
+    """About ``rows`` rows (all, if there are fewer), chosen by a hash of the key, so the same in every run."""
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 40)) < int(rows / total * (1 << 40)))
