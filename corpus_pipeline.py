@@ -3,20 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.functions.stage import staged
+from tidemark.llm.jaccard_join import jaccard_links
 from tidemark.llm.packing import pack
+from tidemark.llm.pii import redact
+from tidemark.llm.suffix_dedup import removed_repeats
+from tidemark.llm.toxicity import THRESHOLD, fit, scorer
 
 #: SQL cannot express the stages; tests hold each against a brute-force version.
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the threshold stay; an empty or null text is not toxic."""
+    score = scorer(spark, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return docs.where(score(F.col("text").cast("string")) < THRESHOLD)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each class stays; of rows with equal doc_id one stays; null doc_ids stay."""
+    links = staged(jaccard_links(docs).where("doc_id IS NOT NULL"), "links")
+    gone = links.where("NOT kept").select("doc_id").distinct()
+    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    again = links.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return left
+    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+
+
+def _recounted(docs: DataFrame) -> DataFrame:
+    """n_chars, where there is such a column, follows the text."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars").cast("long")))
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, without the bytes of strings of 400 bytes that repeat."""
+    return _recounted(removed_repeats(docs, keep_text=True))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, with a mark in place of each piece of personal data."""
+    return _recounted(redact(docs))
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document in sequences of 2048 ids."""
     return pack(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("ngram_jaccard_join", near_duplicates),
+    ("suffix_array_dedup", suffix_dedup),
+    ("pii", pii),
+    ("packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,11 @@ from tidemark.llm.token_counts import count_edited, quarter_revisions
 from tidemark.llm import line_rules
 from tidemark.llm.pieces import decode, encode_sampled
 from tidemark.llm.language import identify
-from tidemark.llm.pii import KINDS, find_pii, span_text
+from tidemark.llm.pii import KINDS, find_pii, of_kind, span_text
 from tidemark.llm import toxicity
+from tidemark.llm.jaccard_join import jaccard_links
+from tidemark.llm.tree_forest import forest_links
+from tidemark.llm.suffix_dedup import removed_repeats
 from tidemark.plans.registry import Registry
 
 REGISTRY = Registry()
@@ -57,7 +60,7 @@ def op5_language(spark: SparkSession, folder: str) -> DataFrame:
 def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in every document."""
     found = find_pii(table(spark, folder, "documents"))
-    counts = [F.size(F.filter("pii", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    counts = [F.size(F.filter("pii", of_kind(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     base = span_text(F.filter("pii", lambda s: s["base"]))
     return found.select("doc_id", *counts, F.sha2(base.cast("binary"), 256).alias("base_sha256"), span_text(F.col("pii")).alias("spans"))
 
@@ -67,3 +70,21 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """The toxicity of every document."""
     docs = table(spark, folder, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op3_tree_forest")
+def op3_tree_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, class and keeper of every vector."""
+    return forest_links(table(spark, folder, "embeddings"))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, class and keeper of every document."""
+    return jaccard_links(table(spark, folder, "documents"))
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that repeat."""
+    return removed_repeats(table(spark, folder, "documents"))

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SPACE = r"[\x20\x09-\x0D]+"
-SYMBOLS = "#*$%&|<>"
+from tidemark.functions.stage import staged
+
+SYMBOLS = "[#*$%&|<>]"
 #: A line is boilerplate of its host if more than so many documents hold it, and more than so many in a thousand.
 MOST_DOCS, MOST_PER_MILLE = 10, 1
 #: A document is depleted if less than this share of the words in its distinct lines is left.
@@ -21,59 +22,72 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.filter(F.split(text, _SPACE), lambda w: w != "")
+    """Words of a text: white space is brought to one kind first, so that the split is by a plain character."""
+    spaced = F.when(text.rlike(r"[\t\x0B\f\r]"), F.regexp_replace(text, r"[\t\x0B\f\r]", " ")).otherwise(text)
+    return F.array_remove(F.split(F.replace(spaced, F.lit("\n"), F.lit(" ")), " "), "")
+
+
+def _windows(words: Column) -> Column:
+    """Hashes of the three-word windows, in order."""
+    each = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    return F.when(F.size(words) > 3, F.slice(each, F.lit(1), F.size(words) - 2)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _repeat_words(words: Column) -> Column:
-    """Words inside three-word windows that occur at least twice: equal windows meet by sorting (hash, place)."""
+def _repeat_words(windows: Column) -> Column:
+    """Words inside windows that occur at least twice: equal hashes meet by sorting (hash, place).
+
+    Most texts have no equal windows, which a hash set tells without the sort.
+    """
 
-    def places(windows: Column) -> Column:
-        same = lambda j, k: F.coalesce(F.get(windows, j)["h"] == F.get(windows, k)["h"], F.lit(False))
-        found = F.filter(F.sequence(F.lit(0), F.size(windows) - 1), lambda j: same(j, j - 1) | same(j, j + 1))
-        return F.sort_array(F.transform(found, lambda j: F.get(windows, j)["i"]))
+    def places(found: Column) -> Column:
+        same = lambda a, b: F.coalesce(F.get(found, a)["h"] == F.get(found, b)["h"], F.lit(False))
+        repeated = F.filter(F.transform(found, lambda x, j: F.when(same(j, j - 1) | same(j, j + 1), x["i"])), lambda i: i.isNotNull())
+        return F.sort_array(repeated)
 
     def covered(at: Column) -> Column:
         steps = F.transform(at, lambda p, j: F.least(F.lit(3), F.coalesce(F.get(at, j + 1) - p, F.lit(3))))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda total, s: total + s)
 
-    window = lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("h"), i.alias("i"))
-    windows = F.sort_array(F.transform(F.sequence(F.lit(0), F.size(words) - 3), window))
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(let(windows, lambda s: let(places(s), covered)))
+    ordered = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    unequal = F.size(F.array_distinct(windows)) == F.size(windows)
+    return F.when(unequal, F.lit(0).cast("long")).otherwise(let(ordered, lambda s: let(places(s), covered)))
 
 
-def text_counts(text: Column) -> Column:
-    """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; a null text has none of anything."""
-    text = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, " \t\v\f\r", "") != "")
-    return let(
-        _words(text),
-        lambda words: F.struct(
-            F.size(words).cast("long").alias("n_words"),
-            F.length(F.translate(text, " \t\n\v\f\r", "")).cast("long").alias("word_chars"),
-            (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
-            _repeat_words(words).alias("n_repeat_words"),
-        ),
-    )
+def with_text_counts(docs: DataFrame) -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words; a null text has none of anything."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    split = docs.withColumn("_words", _words(text)).withColumn("_windows", _windows(F.col("_words")))
+    counts = {
+        "n_words": F.size("_words"),
+        "word_chars": F.length(F.array_join("_words", "")),
+        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)),
+        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))),
+        "n_repeat_words": _repeat_words(F.col("_windows")),
+    }
+    return split.withColumns({name: value.cast("long") for name, value in counts.items()}).drop("_words", "_windows")
 
 
 def normal_lines(text: Column) -> Column:
     """Lines in lower case with digits as 0 and runs of white space as one space; empty ones left out."""
-    flat = F.lower(F.translate(F.coalesce(text, F.lit("")), "123456789\t\v\f\r", "0" * 9 + " " * 4))
-    lines = F.split(F.regexp_replace(flat, " +", " "), " ?\n ?")
-    return F.filter(F.transform(lines, F.trim), lambda x: x != "")
+    low = F.lower(F.coalesce(text, F.lit("")))
+    digits = F.when(low.rlike("[1-9]"), F.regexp_replace(low, "[1-9]", "0")).otherwise(low)
+    flat = F.when(digits.rlike(r"[\t\x0B\f\r]|  "), F.regexp_replace(digits, r"[ \t\x0B\f\r]+", " ")).otherwise(digits)
+    return F.filter(F.transform(F.split(flat, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def line_rows(docs: DataFrame, host: str) -> DataFrame:
-    """(doc_id, key, n_words) for the distinct normal lines of each row; the key is a hash of host and line."""
-    line = lambda x: F.struct(F.xxhash64(F.col(host), x).alias("key"), (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long").alias("n_words"))
-    return docs.select("doc_id", F.xxhash64(F.col(host)).alias("host_key"), F.explode(F.array_distinct(F.transform(normal_lines(F.col("text")), line))).alias("line")).select("doc_id", "host_key", "line.*")
+def line_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, host_key, key, n_words) for the distinct normal lines of each row; the key is a hash of host and line."""
+    spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
+    line = lambda x: F.struct(F.xxhash64(F.col("host"), x).alias("key"), (spaces(x) + 1).cast("long").alias("n_words"))
+    found = F.explode(F.array_distinct(F.transform(normal_lines(F.col("text")), line))).alias("line")
+    return docs.select("doc_id", F.xxhash64("host").alias("host_key"), found).select("doc_id", "host_key", "line.*")
 
 
-def frequent_lines(docs: DataFrame, host: str, most_docs: int, most_per_mille: int) -> DataFrame:
+def frequent_lines(lines: DataFrame, docs: DataFrame, most_docs: int, most_per_mille: int) -> DataFrame:
     """Keys of the lines that more than ``most_docs`` and ``most_per_mille`` of the host's documents hold."""
-    counts = line_rows(docs, host).groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("host_key").alias("host_key")).where(F.col("n_docs") > most_docs)
-    sizes = docs.groupBy(F.xxhash64(F.col(host)).alias("host_key")).agg(F.count(F.lit(1)).alias("host_docs"))
+    counts = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.max("host_key").alias("host_key")).where(F.col("n_docs") > most_docs)
+    sizes = docs.groupBy(F.xxhash64("host").alias("host_key")).agg(F.count(F.lit(1)).alias("host_docs"))
     return counts.join(sizes, "host_key").where(F.col("n_docs") * 1000 > F.col("host_docs") * most_per_mille).select("key")
 
 
@@ -85,24 +99,20 @@ def judge_lines(docs: DataFrame, host: str = "source", most_docs: int = MOST_DOC
     hot line). Rows with equal doc_id share their lines' verdict; a null doc_id is matched as a value. A null or empty
     text has no words, so it fails. Extra columns are ignored; an empty table gives no rows.
     """
-    docs = docs.select("doc_id", "text", F.col(host).alias("host"))
-    removed = (
-        line_rows(docs, "host")
-        .join(frequent_lines(docs, "host", most_docs, most_per_mille).withColumn("hit", F.lit(True)), "key")
-        .groupBy(F.col("doc_id").alias("line_doc"))
-        .agg(F.sum("n_words").alias("removed_words"), F.collect_set("key").alias("removed_keys"))
-    )
-    if not clean_text:
-        removed = removed.drop("removed_keys")
-    words = F.aggregate(F.transform(F.array_distinct(normal_lines(F.col("text"))), lambda x: (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
-    counted = docs.select("*", text_counts(F.col("text")).alias("counts"), words.alias("line_words"))
-    if not clean_text:
-        counted = counted.drop("text", "host")
-    joined = counted.join(removed, F.col("doc_id").eqNullSafe(F.col("line_doc")), "left")
-    left = joined.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
-    failed = (F.col("counts.n_words") < 50) | (100 * F.col("counts.n_repeat_words") > 50 * F.col("counts.n_words"))
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(host).alias("host"))
+    lines = staged(line_rows(docs), "lines")
+    often = frequent_lines(lines, docs, most_docs, most_per_mille).withColumn("hit", F.lit(True))
+    removed = F.coalesce(F.sum(F.when(F.col("hit"), F.col("n_words"))), F.lit(0)).alias("removed_words")
+    keys = [F.collect_set(F.when(F.col("hit"), F.col("key"))).alias("removed_keys")] if clean_text else []
+    by_doc = lines.join(often, "key", "left").groupBy(F.col("doc_id").alias("line_doc")).agg(F.sum("n_words").alias("line_words"), removed, *keys)
+    counted = with_text_counts(docs)
+    joined = counted if clean_text else counted.drop("text", "host")
+    joined = joined.join(by_doc, F.col("doc_id").eqNullSafe(F.col("line_doc")), "left")
+    left = joined.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("line_words", "removed_words")})
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = 100 * (F.col("line_words") - F.col("removed_words")) < least_left_percent * F.col("line_words")
-    out = [F.col("doc_id"), F.col("counts.*"), failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), F.col("line_words"), F.col("removed_words")]
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    out = [F.col("doc_id"), *counts, failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "line_words", "removed_words"]
     if clean_text:
         gone = lambda x: F.coalesce(F.array_contains("removed_keys", F.xxhash64(F.col("host"), let(normal_lines(x), lambda n: F.get(n, F.lit(0))))), F.lit(False))
         out.append(F.array_join(F.filter(F.split("text", "\n"), lambda x: ~gone(x)), "\n").alias("clean_text"))

@@ -32,10 +32,10 @@ DIGIT_WORDS = (
 _VALUE = {w: str(i) for words in DIGIT_WORDS for i, w in enumerate(words)} | {"oh": "0"}
 #: Words so rare in prose that two different ones are needed before spelled digits are looked for.
 _RARE = [w for words in DIGIT_WORDS for w in words if len(w) > 2]
-_LEAST_SPELLED = 4
+_LEAST_SPELLED = 3
 _WORDS = "|".join(sorted(_VALUE, key=len, reverse=True))
-_SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS})(?:[\s,-]{{1,3}}(?:{_WORDS})){{{_LEAST_SPELLED - 1},}}(?!\w)", re.I)
-_WORD = re.compile(rf"(?:{_WORDS})", re.I)
+_SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS}|[0-9]+)(?:[\s,-]{{1,3}}(?:{_WORDS}|[0-9]+))+(?!\w)", re.I)
+_WORD = re.compile(rf"{_WORDS}|[0-9]+", re.I)
 _PLUS = re.compile(r"(?<!\w)plus\s{1,3}(?=[+0-9(])", re.I)
 _AT = re.compile(r"\s{0,2}[(\[{<]\s{0,2}(?:at|ät|arroba|chez)\s{0,2}[)\]}>]\s{0,2}|\s{0,2}[(\[{<]\s{0,2}@\s{0,2}[)\]}>]\s{0,2}", re.I)
 _DOT = re.compile(r"\s{0,2}[(\[{<]\s{0,2}(?:dot|punkt|point|punto|\.)\s{0,2}[)\]}>]\s{0,2}", re.I)
@@ -125,15 +125,17 @@ def _letter_edits(text: str) -> list[tuple[int, int, str]]:
 
 
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
-    """Runs of spelled digits, word for word; the gaps inside a run go, as a separator of at most one space."""
+    """Runs of spelled digits, perhaps among figures, word for word; the gaps inside a run go."""
     low = text.lower()
     if sum(w in low for w in _RARE) < 2:
         return []
     out = []
     for run in _SPELLED.finditer(text):
         words = list(_WORD.finditer(text, *run.span()))
+        if sum(not m[0][0].isdigit() for m in words) < _LEAST_SPELLED:
+            continue
         for m, after in zip(words, [*words[1:], None]):
-            out.append((m.start(), after.start() if after else m.end(), _VALUE[m[0].lower()]))
+            out.append((m.start(), after.start() if after else m.end(), _VALUE.get(m[0].lower(), m[0])))
     return out
 
 
@@ -213,6 +215,10 @@ def redact(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", F.pandas_udf(_redacted_texts, "string")(F.col("text").cast("string")))
 
 
+def of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:stop of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
