@@ -57,28 +57,59 @@ def _stretch(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarra
     return _mix((sums[stop] - sums[start]) * _powers()[1][start] + (stop - start).astype(np.uint64))
 
 
-def anchors(raw: bytes, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(gram hash, context hash, place of the gram, first and last window start) of the runs of each slice of a text."""
-    data = np.frombuffer(raw, np.uint8)
+def runs(data: np.ndarray, stops: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(gram hash, context hash, place of the gram, first and last window start) of the runs of joined texts.
+
+    ``stops`` says where the text of each byte ends; windows that cross a border are left out.
+    """
     width = length - gram + 1
-    for at in range(0, len(data) - length + 1, _SLICE):
-        part = data[at : at + _SLICE + length - 1]
-        sums = _sums(part)
-        starts = np.arange(len(part) - gram + 1)
-        hashes = _stretch(sums, starts, starts + gram)
-        least = (hashes & ~_PLACE) | starts.astype(np.uint64)
-        span = 1
-        while 2 * span <= width:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if span < width:
-            least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
-        place = (least & _PLACE).astype(np.int64)
-        first = np.flatnonzero(np.diff(place, prepend=-1))
-        last = np.append(first[1:], len(place)) - 1
-        place = place[first]
-        context = _mix(_stretch(sums, first, last + length) + _mix((place - first).astype(np.uint64) << np.uint64(20) | (last - first).astype(np.uint64)))
-        yield hashes[place].view(np.int64), context.view(np.int64), place + at, first + at, last + at
+    sums = _sums(data)
+    starts = np.arange(len(data) - gram + 1)
+    hashes = _stretch(sums, starts, starts + gram)
+    least = (hashes & ~_PLACE) | starts.astype(np.uint64)
+    span = 1
+    while 2 * span <= width:
+        least = np.minimum(least[:-span], least[span:])
+        span *= 2
+    if span < width:
+        least = np.minimum(least[: len(least) - (width - span)], least[width - span :])
+    inside = np.flatnonzero(starts[: len(least)] + length <= stops[: len(least)])
+    place = (least[inside] & _PLACE).astype(np.int64)
+    heads = np.flatnonzero(np.diff(place, prepend=-1))
+    first, last = inside[heads], inside[np.append(heads[1:], len(inside)) - 1]
+    place = place[heads]
+    shape = (place - first).astype(np.uint64) << np.uint64(20) | (last - first).astype(np.uint64)
+    context = _mix(_stretch(sums, first, last + length) + _mix(shape))
+    return hashes[place].view(np.int64), context.view(np.int64), place, first, last
+
+
+def joined_texts(raws: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, stop of each byte's text, number of each byte's text, place of the first byte in it) in bounded pieces.
+
+    Short texts are joined; a long one comes in slices that overlap by a window less one byte.
+    """
+    held: list[int] = []
+
+    def piece() -> tuple[np.ndarray, ...]:
+        sizes = np.array([len(raws[i]) for i in held])
+        ends = np.cumsum(sizes)
+        data = np.frombuffer(b"".join([raws[i] for i in held]), np.uint8)
+        return data, np.repeat(ends, sizes), np.repeat(held, sizes), np.repeat(ends - sizes, sizes)
+
+    size = 0
+    for i, raw in enumerate(raws):
+        if len(raw) > _SLICE:
+            for at in range(0, len(raw) - length + 1, _SLICE):
+                part = np.frombuffer(raw[at : at + _SLICE + length - 1], np.uint8)
+                yield part, np.full(len(part), len(part)), np.full(len(part), i), np.full(len(part), -at)
+            continue
+        if held and size + len(raw) > _SLICE // 2:
+            yield piece()
+            held, size = [], 0
+        held.append(i)
+        size += len(raw)
+    if held:
+        yield piece()
 
 
 def common(x: bytes, y: bytes) -> int:
@@ -141,18 +172,17 @@ def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple
     """(node, n_bytes, raw) of each text that shares a gram, and (node, spans) with the byte stretches to remove."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "ctx", "pos", "lo", "hi"]
+        names = ["doc_id", "node", "n_bytes", "gram", "ctx", "pos", "lo", "hi"]
         for batch in batches:
-            for doc_id, node, n_bytes, raw in zip(*(batch.column(c) for c in ("doc_id", "node", "n_bytes", "raw"))):
-                for found in anchors(raw.as_py(), length, gram):
-                    n = len(found[0])
-                    same = [pa.repeat(pa.scalar(x.as_py(), pa.int64()), n) for x in (doc_id, node, n_bytes)]
-                    place = found[2]
-                    cells = [found[0], found[1], place, found[3] - place, found[4] - place]
-                    yield pa.RecordBatch.from_arrays([*same, *(pa.array(c, pa.int64()) for c in cells)], names=["doc_id", "node", "n_bytes", *names])
+            same = [batch.column(c) for c in names[:3]]
+            for data, stops, number, origin in joined_texts(batch.column("raw").to_pylist(), length):
+                grams, contexts, place, first, last = runs(data, stops, length, gram)
+                own = [c.take(pa.array(number[place])) for c in same]
+                cells = [grams, contexts, place - origin[place], first - place, last - place]
+                yield pa.RecordBatch.from_arrays([*own, *map(pa.array, cells)], names=names)
 
     schema = ", ".join(f"{c} long" for c in ("doc_id", "node", "n_bytes", "gram", "ctx", "pos", "lo", "hi"))
-    found = long.mapInArrow(_together(find), schema)
+    found = long.mapInArrow(find, schema)
     often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
     shared = staged(found.join(often, "gram", "left_semi"), "shared")
     rep = F.min(F.struct("doc_id", "node", "pos", "lo", "hi")).alias("rep")
@@ -210,11 +240,14 @@ def _together(fn, rows: int = 20_000, size: int = 8 << 20):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        n = n_bytes = 0
         for batch in fn(batches):
             held.append(batch)
-            if sum(b.num_rows for b in held[-1:]) and (len(held) >= 256 or sum(b.num_rows for b in held) >= rows or sum(b.nbytes for b in held) >= size):
+            n += batch.num_rows
+            n_bytes += batch.get_total_buffer_size()
+            if n >= rows or n_bytes >= size:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held = []
+                held, n, n_bytes = [], 0, 0
         if held:
             yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
