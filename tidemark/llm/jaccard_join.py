@@ -93,11 +93,14 @@ def _digest(grams: np.ndarray) -> bytes | None:
     return hashlib.md5(grams.tobytes()).digest() if len(grams) else None
 
 
+def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240229)
+    return rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 63, n, dtype=np.uint64)
+
+
 def band_keys(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One key per band: a hash of the band's number and its least shingle under each of its rows' permutations."""
-    rng = np.random.default_rng(20240229)
-    by = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    plus = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
+    by, plus = once_per_worker(f"permutations:{bands * rows}", lambda: _permutations(bands * rows))
     least = np.full(bands * rows, np.iinfo(np.uint64).max)
     for at in range(0, len(grams), 2048):
         least = np.minimum(least, (grams[at : at + 2048, None] * by + plus).min(axis=0))
