@@ -43,6 +43,11 @@ HEADLINE = [
     "rank_agreement",
     "knn_minority",
     "tomek_links",
+    "smote",
+    "train_logistic",
+    "search_trials",
+    "tree_attribution",
+    "stream_drift",
 ]
 
 

@@ -36,14 +36,14 @@ _NO_NET = dict(
 )
 
 EIGHT = [
-    _customer("A", 1, 29.85, "29.85", "Yes"),
-    _customer("B", 1, 95.0, "95.0", "Yes", **_FIBRE, StreamingTV="Yes", SeniorCitizen=1),
-    _customer("C", 12, 50.0, "600.0", "No", Contract="One year", PaymentMethod="Mailed check", PaperlessBilling="No", Partner="Yes", OnlineSecurity="Yes"),
-    _customer("D", 24, 20.0, "480.0", "No", **_NO_NET, Contract="Two year", PaymentMethod="Bank transfer (automatic)", Partner="Yes", Dependents="Yes"),
-    _customer("E", 36, 75.0, "2700.0", "No", Contract="One year", OnlineSecurity="Yes", TechSupport="Yes", StreamingTV="Yes", StreamingMovies="Yes", PaymentMethod="Credit card (automatic)"),
-    _customer("F", 48, 90.0, "4320.0", "Yes", **_FIBRE, MultipleLines="Yes", OnlineBackup="Yes"),
-    _customer("G", 60, 105.0, "6300.0", "Yes", **_FIBRE, Contract="Two year", MultipleLines="Yes", OnlineSecurity="Yes", DeviceProtection="Yes", TechSupport="Yes", StreamingTV="Yes", StreamingMovies="Yes"),
-    _customer("H", 72, 35.0, "2520.0", "No", Contract="Two year", Dependents="Yes", PaymentMethod="Mailed check"),
+    _customer("A", 2, 31.0, "62.0", "Yes"),
+    _customer("B", 3, 96.0, "288.0", "Yes", **_FIBRE, StreamingTV="Yes", SeniorCitizen=1),
+    _customer("C", 10, 48.0, "480.0", "No", Contract="One year", PaymentMethod="Mailed check", PaperlessBilling="No", Partner="Yes", OnlineSecurity="Yes"),
+    _customer("D", 20, 22.0, "440.0", "No", **_NO_NET, Contract="Two year", PaymentMethod="Bank transfer (automatic)", Partner="Yes", Dependents="Yes"),
+    _customer("E", 30, 76.0, "2280.0", "Yes", Contract="One year", OnlineSecurity="Yes", TechSupport="Yes", StreamingTV="Yes", StreamingMovies="Yes", PaymentMethod="Credit card (automatic)"),
+    _customer("F", 44, 88.0, "3872.0", "Yes", **_FIBRE, MultipleLines="Yes", OnlineBackup="Yes"),
+    _customer("G", 58, 104.0, "6032.0", "No", **_FIBRE, Contract="Two year", MultipleLines="Yes", OnlineSecurity="Yes", DeviceProtection="Yes", TechSupport="Yes", StreamingTV="Yes", StreamingMovies="Yes"),
+    _customer("H", 70, 37.0, "2590.0", "No", Contract="Two year", Dependents="Yes", PaymentMethod="Mailed check"),
 ]
 EDGES = [
     _customer("I", 0, 40.0, " ", "No"),

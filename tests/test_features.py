@@ -16,19 +16,19 @@ def rows(eight, edges, roles, stats):
 
 
 def test_fitted_numbers(stats):
-    # monthly: 20 29.85 35 50 75 90 95 105; per month: 20 29.85 35 50 75 90 95 105
-    assert stats.scalars["median_monthly"] == 62.5
-    assert stats.scalars["median_avg_charge"] == 62.5
-    assert stats.edges == [-math.inf, 33.7125, 62.5, 91.25, math.inf]
+    # monthly, and total per month: 22 31 37 48 76 88 96 104
+    assert stats.scalars["median_monthly"] == 62.0
+    assert stats.scalars["median_avg_charge"] == 62.0
+    assert stats.edges == [-math.inf, 35.5, 62.0, 90.0, math.inf]
     assert stats.scalars["global_rate"] == 0.5
-    assert stats.scalars["global_tenure"] == 31.75
+    assert stats.scalars["global_tenure"] == 29.625
     table = {(r.feature, r.category): r for r in stats.categories.collect()}
     monthly = table[("Contract", "Month-to-month")]
     assert (monthly.rate, monthly.ordinal, monthly.n) == (1.0, 0, 3)
-    assert monthly.tenure_mean == pytest.approx(50 / 3)
-    assert table[("Contract", "Two year")].ordinal == 1
-    assert table[("Contract", "One year")].ordinal == 2
-    assert table[("InternetService", "Fiber optic")].rate == 1.0
+    assert monthly.tenure_mean == pytest.approx(49 / 3)
+    assert table[("Contract", "Two year")].ordinal == 2
+    assert table[("Contract", "One year")].ordinal == 1
+    assert table[("InternetService", "Fiber optic")].rate == pytest.approx(2 / 3)
 
 
 def test_all_columns(eight, roles, stats):
@@ -50,18 +50,18 @@ def test_base_features(rows):
     assert (rows["B"].price_sensitive_contract, a.price_sensitive_contract) == (1, 0)
     assert (rows["B"].is_high_MonthlyCharges, a.is_high_MonthlyCharges) == (1, 0)
     assert (a.early_churn_risk, rows["F"].early_churn_risk) == (1, 0)
-    assert a.MonthlyCharges_log == pytest.approx(math.log1p(29.85))
-    assert c.TotalCharges_squared == 360000.0
+    assert a.MonthlyCharges_log == pytest.approx(math.log1p(31.0))
+    assert c.TotalCharges_squared == 230400.0
     assert rows["J"].TotalCharges_log is None
 
 
 def test_segments_and_fallbacks(rows):
-    assert rows["A"].tenure_vs_contract_avg == pytest.approx(3 / 50)
-    assert rows["M"].tenure_vs_contract_avg == pytest.approx(10 / 31.75)
+    assert rows["A"].tenure_vs_contract_avg == pytest.approx(6 / 49)
+    assert rows["M"].tenure_vs_contract_avg == pytest.approx(10 / 29.625)
     assert (rows["M"].contract_risk_ordinal, rows["M"].contract_churn_rate) == (0, 0.5)
     assert (rows["L"].contract_risk_ordinal, rows["L"].contract_churn_rate) == (0, 0.5)
-    # unweighted mean of the rates: DSL 1/4, fibre 1, none 0
-    assert rows["M"].internet_risk == pytest.approx((0.25 + 1 + 0) / 3)
+    # unweighted mean of the rates: DSL 1/2, fibre 2/3, none 0
+    assert rows["M"].internet_risk == pytest.approx((1 / 2 + 2 / 3 + 0) / 3)
 
 
 def test_services_count_null_as_active(rows):
@@ -89,10 +89,10 @@ def test_flags_and_scores(rows):
 def test_lifecycle_and_value(rows):
     assert [(r.lifecycle_new, r.lifecycle_early, r.lifecycle_mid, r.lifecycle_mature) for r in map(rows.get, "ACEG")] == [
         (1, 0, 0, 0), (0, 1, 0, 0), (0, 0, 1, 0), (0, 0, 0, 1)]
-    assert (rows["C"].tenure_years, rows["E"].tenure_sqrt) == (1.0, 6.0)
-    assert rows["E"].estimated_clv == 2700.0
-    assert (rows["I"].value_per_month, rows["C"].value_per_month) == (40.0, 50.0)
-    assert rows["A"].cost_per_service == pytest.approx(29.85 / 2)
+    assert (rows["C"].tenure_years, rows["E"].tenure_sqrt) == pytest.approx((10 / 12, math.sqrt(30)))
+    assert rows["E"].estimated_clv == 2280.0
+    assert (rows["I"].value_per_month, rows["C"].value_per_month) == (40.0, 48.0)
+    assert rows["A"].cost_per_service == pytest.approx(31.0 / 2)
 
 
 def test_fit_ignores_other_rows(eight, edges, roles, stats):

@@ -113,5 +113,3 @@ def test_encodings(spark):
     codes = prep.category_codes(train, ["c"])
     assert sorted(r.c for r in prep.with_codes(test, codes, ["c"]).collect()) == [-1, -1, 2]
     assert prep.one_hot_long(train.withColumn("id", F.lit(1)), "id", ["c"]).count() == 3
-    with pytest.raises(ValueError):
-        prep.known_categories(train, ["c"], most=2)

@@ -138,7 +138,7 @@ def test_resampled_fit(customers):
 
 
 def test_search(customers):
-    space = {"max_depth": (2, 3), "learning_rate": (0.1, 0.3), "n_estimators": (2, 3), "reg_lambda": (0.0, 1.0)}
+    space = {"max_depth": tr.Range(2, 3, "whole"), "learning_rate": tr.Range(0.1, 0.3, "log"), "n_estimators": tr.Range(2, 3, "whole"), "reg_lambda": tr.Range(0.0, 1.0)}
     found = tr.search(customers, R, SPEC, space, n_trials=2, k=2, **COLUMNS)
     rows = found.trials.collect()
     assert [r.number for r in rows] == [0, 1] and found.best_value == max(r.value for r in rows)

@@ -26,8 +26,9 @@ def class_cuts(df: DataFrame, key: str, label: str | None, parts: Sequence[tuple
 
     ``parts`` holds fractions (a, b): part p ends after floor(rows * a / b).
     Returns one row per class with a hash ``_cut<i>`` per part, '' for an empty
-    one. Keys must be unique, and the label a class label (few values): the
-    cut points, classes x parts rows, are broadcast.
+    one; rows without a label are a class of their own. Keys must be unique, and
+    the label a class label (few values): the cut points, classes x parts rows,
+    are broadcast.
     """
     cls = F.col(label) if label else F.lit(0)
     drawn = df.select(cls.alias("_c"), draw_order(key, seed).alias("_h"))
@@ -36,7 +37,7 @@ def class_cuts(df: DataFrame, key: str, label: str | None, parts: Sequence[tuple
     upto = F.sum("_n").over(by_group.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     size = F.sum("_n").over(Window.partitionBy("_c"))
     wanted = F.array(
-        *[F.struct(F.lit(i).alias("part"), F.floor(size * a / b).alias("rank")) for i, (a, b) in enumerate(parts)]
+        *[F.struct(F.lit(i).alias("part"), ((size * a - size * a % b) / b).cast("long").alias("rank")) for i, (a, b) in enumerate(parts)]
     )
     located = (
         counts.select("_c", "_g", (upto - F.col("_n")).alias("_before"), upto.alias("_upto"), wanted.alias("_w"))
@@ -51,7 +52,9 @@ def class_cuts(df: DataFrame, key: str, label: str | None, parts: Sequence[tuple
         .select("_c", "_g", (F.col("_w.rank") - F.col("_before")).alias("_k"), F.col("_w.part").alias("part"))
     )
     # one digit group per class and part; all other rows are dropped before any shuffle
-    near = drawn.withColumn("_g", F.substring("_h", 1, 4)).join(F.broadcast(located), ["_c", "_g"])
+    located = located.withColumnsRenamed({"_c": "_lc", "_g": "_lg"})
+    same = F.col("_c").eqNullSafe(F.col("_lc")) & (F.col("_g") == F.col("_lg"))
+    near = drawn.withColumn("_g", F.substring("_h", 1, 4)).join(F.broadcast(located), same)
     place = F.row_number().over(Window.partitionBy("_c", "_g", "part").orderBy("_h"))
     found = near.withColumn("_r", place).where("_r = _k").select("_c", "part", F.col("_h").alias("cut"))
     return found.groupBy("_c").agg(

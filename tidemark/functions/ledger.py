@@ -40,13 +40,6 @@ def running_sums(
         "ledger",
     )
     whole = Window.partitionBy(*groups)
-    if len(slabs.inputFiles()) <= 1:
-        upto = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return slabs.select(
-            *df.columns,
-            *[F.sum(s).over(upto).alias(f"cum_{s}") for s in sums],
-            *[F.sum(s).over(whole).alias(f"tot_{s}") for s in sums],
-        )
     here = [*groups, _SLAB]
     upto = (
         Window.partitionBy(*here)

@@ -9,6 +9,7 @@ below ``spark.sql.autoBroadcastJoinThreshold`` and a large one is shuffled.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,16 +25,20 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return context.getCheckpointDir().rstrip("/")
 
 
+def new_path(spark: SparkSession, label: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and go on from the written table."""
     spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/tidemark-{app}/{label}-{uuid.uuid4().hex}"
+    path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

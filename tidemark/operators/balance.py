@@ -73,8 +73,11 @@ def smote(
         .where("_m > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_m"))))
     )
-    pick = F.pmod(F.xxhash64(key, "copy", F.lit(seed)), F.size("near")).cast("int")
-    gap = F.pmod(F.xxhash64(key, "copy", F.lit(seed), F.lit("gap")), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    # digits of an md5, so that any engine draws the same neighbour and gap
+    drawn_hash = F.md5(F.concat_ws("-", F.col(key).cast("string"), F.col("copy").cast("string"), F.lit(str(seed))))
+    digits = lambda start, n: F.conv(F.substring(drawn_hash, start, n), 16, 10).cast("long")
+    pick = F.pmod(digits(1, 8), F.size("near")).cast("int")
+    gap = digits(9, 12) / F.lit(float(1 << 48))
     drawn = copies.select(
         F.col(key).alias("parent"), F.element_at("near", pick + 1).alias("neighbour"), gap.alias("gap"), "copy", "vec"
     )

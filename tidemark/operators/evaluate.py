@@ -22,11 +22,15 @@ from tidemark.roles import RISK_BAND_HIGH, RISK_BAND_MEDIUM
 EPS = 1e-10
 
 
+def usable(scores: DataFrame) -> DataFrame:
+    """Rows with a label and a score; NaN is no score. Every operator of this module starts here."""
+    return scores.where(F.col("y").isNotNull() & F.col("p").isNotNull() & ~F.isnan("p"))
+
+
 def score_ledger(scores: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """(by, p, pos, neg) per distinct score with running sums."""
     y = F.col("y").cast("long")
-    usable = scores.where(F.col("y").isNotNull() & ~F.isnan("p"))
-    return value_ledger(usable, "p", {"pos": F.sum(y), "neg": F.sum(1 - y)}, by)
+    return value_ledger(usable(scores), "p", {"pos": F.sum(y), "neg": F.sum(1 - y)}, by)
 
 
 def threshold_counts(ledger: DataFrame) -> DataFrame:
@@ -105,9 +109,8 @@ def pr_auc_trapezoid(ledger: DataFrame, by: Sequence[str] = ("model",)) -> DataF
 
 def confusion_counts(scores: DataFrame, threshold: float = 0.5, by: Sequence[str] = ("model",)) -> DataFrame:
     """tp, fp, fn, tn of ``p >= threshold`` in one aggregate."""
-    usable = scores.where(F.col("y").isNotNull() & F.col("p").isNotNull())
     hit, pos = F.col("p") >= F.lit(float(threshold)), F.col("y") == 1
-    return usable.groupBy(*by).agg(
+    return usable(scores).groupBy(*by).agg(
         F.count_if(hit & pos).alias("tp"),
         F.count_if(hit & ~pos).alias("fp"),
         F.count_if(~hit & pos).alias("fn"),
@@ -119,7 +122,7 @@ def confusion_matrix(scores: DataFrame, threshold: float = 0.5, by: Sequence[str
     """Rows per (y, pred) and their share of the actual class."""
     pred = (F.col("p") >= F.lit(float(threshold))).cast("int")
     counts = (
-        scores.where(F.col("y").isNotNull() & F.col("p").isNotNull())
+        usable(scores)
         .groupBy(*by, "y", pred.alias("pred"))
         .agg(F.count("*").alias("n"))
     )
@@ -271,7 +274,7 @@ def financial_impact(
     plan = thresholds.groupBy(*by).agg(
         F.array_sort(F.collect_list(F.struct("strategy", "threshold"))).alias("_plan")
     )
-    per_score = scores.where(F.col("y").isNotNull()).groupBy(*by, "p").agg(
+    per_score = usable(scores).groupBy(*by, "p").agg(
         F.sum(F.col("y").cast("long")).alias("pos"), F.sum(1 - F.col("y").cast("long")).alias("neg")
     )
     # one row per model
@@ -323,7 +326,7 @@ def loss_sweep(
     step = (high - low) / (steps - 1)
     grid = F.array(*[F.lit(low + i * step) for i in range(steps)])
     y = F.col("y").cast("long")
-    per_score = scores.where(F.col("y").isNotNull()).groupBy(*by, "p").agg(
+    per_score = usable(scores).groupBy(*by, "p").agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")
     )
     placed = per_score.withColumn("_reached", F.size(F.filter(grid, lambda g: g <= F.col("p"))))
@@ -414,12 +417,15 @@ def generalisation_gap(cv: DataFrame, test: DataFrame, metric: str = "auprc") ->
 
 
 def risk_bands(scored: DataFrame, p: str = "p", threshold: float = 0.5) -> DataFrame:
-    """Add the label, risk band and confidence of each score (4 digits)."""
-    x = F.col(p)
+    """Add the label, risk band and confidence of each score (4 digits).
+
+    A row without a score (null or NaN) is not flagged: label 0, band LOW, no confidence.
+    """
+    x = F.when(~F.isnan(F.col(p)), F.col(p))
     band = F.when(x >= RISK_BAND_HIGH, "HIGH").when(x >= RISK_BAND_MEDIUM, "MEDIUM").otherwise("LOW")
     return scored.withColumns(
         {
-            "prediction": (x >= F.lit(float(threshold))).cast("int"),
+            "prediction": F.coalesce((x >= F.lit(float(threshold))).cast("int"), F.lit(0)),
             "risk": band,
             "confidence": F.round(F.abs(x - 0.5) * 2, 4),
             p: F.round(x, 4),
@@ -428,18 +434,19 @@ def risk_bands(scored: DataFrame, p: str = "p", threshold: float = 0.5) -> DataF
 
 
 def score_summary(scored: DataFrame, key: str, p: str = "p") -> DataFrame:
-    """Rows, high-risk rows, and the highest and lowest scored key (ties: lowest key)."""
+    """Rows, high-risk rows, and the highest and lowest scored key (ties: lowest key; NaN is no score)."""
+    x = F.when(~F.isnan(F.col(p)), F.col(p))
     return scored.agg(
         F.count("*").alias("total"),
-        F.count_if(F.col(p) >= RISK_BAND_HIGH).alias("high_risk"),
-        F.min_by(key, F.struct(-F.col(p), F.col(key))).alias("highest"),
-        F.min_by(key, F.struct(F.col(p), F.col(key))).alias("lowest"),
+        F.count_if(x >= RISK_BAND_HIGH).alias("high_risk"),
+        F.min_by(key, F.when(x.isNotNull(), F.struct(-x, F.col(key)))).alias("highest"),
+        F.min_by(key, F.when(x.isNotNull(), F.struct(x, F.col(key)))).alias("lowest"),
     )
 
 
 def revenue_at_risk(scored: DataFrame, amount: str, threshold: float = 0.5) -> DataFrame:
     """Amount over customers that left and were flagged."""
     caught = (F.col("y") == 1) & (F.col("p") >= F.lit(float(threshold)))
-    return scored.agg(
+    return usable(scored).agg(
         F.count_if(caught).alias("customers"), F.coalesce(F.sum(F.when(caught, F.col(amount))), F.lit(0.0)).alias("revenue")
     )

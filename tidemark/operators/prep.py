@@ -28,7 +28,7 @@ def stratified_split(
     df: DataFrame, key: str, target: str | None, test_size: float = 0.2, seed: int = 42, name: str = "split"
 ) -> DataFrame:
     """Add 'test' for floor(n * test_size) rows of each class, 'train' for the rest."""
-    f = Fraction(test_size).limit_denominator(1000)
+    f = Fraction(str(test_size))
     parted = with_part(df, key, target, [(f.numerator, f.denominator)], seed, name)
     return parted.withColumn(name, F.when(F.col(name) == 0, "test").otherwise("train"))
 
@@ -176,15 +176,13 @@ def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return long_text(df, columns, [key]).where("value is not null").withColumnRenamed("value", "category")
 
 
-def known_categories(train: DataFrame, columns: Sequence[str], most: int = 5000) -> dict[str, list[str]]:
+def known_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted categories per column, for encodings that make a column of each.
 
-    A wide table holds only so many columns, so more than ``most`` categories
-    in all is refused in favour of the long or vector encodings.
+    The caller asks for a table that wide, so the names come to the driver as
+    its schema does; ``one_hot_long`` and the vector encoding need no names.
     """
-    seen = long_text(train, columns).where("value is not null").distinct().limit(most + 1).collect()
-    if len(seen) > most:
-        raise ValueError(f"more than {most} categories; use one_hot_long or the vector encoding")
+    seen = long_text(train, columns).where("value is not null").distinct().collect()
     out = {c: [] for c in columns}
     for r in seen:
         out[r.feature].append(r.value)

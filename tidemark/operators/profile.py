@@ -24,11 +24,11 @@ QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Nulls and their percentage (2 digits) for columns that have any."""
+    """Missing cells (null, or NaN in a fraction) and their percentage (2 digits) for columns that have any."""
     names = list(columns or df.columns)
-    counts = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_{c}") for c in names]
-    )
+    fractions = {name for name, kind in df.dtypes if kind in ("float", "double")}
+    missing = {c: F.col(c).isNull() | F.isnan(c) if c in fractions else F.col(c).isNull() for c in names}
+    counts = df.agg(F.count("*").alias("_rows"), *[F.count_if(m).alias(f"_{c}") for c, m in missing.items()])
     table = rows_of(
         counts,
         [

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import math
-import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
+from hashlib import md5
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -29,7 +31,7 @@ from tidemark.functions.stage import staged
 from tidemark.operators import features as fe
 from tidemark.operators import prep
 from tidemark.operators.balance import smote_tomek, with_weights
-from tidemark.operators.clean import binary_target, fix_total
+from tidemark.operators.clean import binary_target, drop_null_target, fix_total
 from tidemark.operators.evaluate import average_precision, best_threshold, evaluate, roc_auc, score_ledger
 from tidemark.roles import Roles
 
@@ -41,6 +43,7 @@ REGISTRY = {
             "n_estimators": "maxIter",
             "learning_rate": "stepSize",
             "subsample": "subsamplingRate",
+            "colsample_bytree": "featureSubsetStrategy",
             "max_depth": "maxDepth",
             "min_child_samples": "minInstancesPerNode",
             "gamma": "minInfoGain",
@@ -53,6 +56,7 @@ REGISTRY = {
         {
             "n_estimators": "numTrees",
             "subsample": "subsamplingRate",
+            "colsample_bytree": "featureSubsetStrategy",
             "max_depth": "maxDepth",
             "min_child_samples": "minInstancesPerNode",
             "gamma": "minInfoGain",
@@ -60,17 +64,41 @@ REGISTRY = {
         },
         {},
     ),
-    "logistic_regression": (LogisticRegression, {"max_iter": "maxIter", "reg_lambda": "regParam"}, {}),
+    "logistic_regression": (LogisticRegression, {"max_iter": "maxIter", "reg_lambda": "regParam", "reg_alpha": "elasticNetParam"}, {}),
 }
 
-# (low, high) per tunable parameter; integers draw integers, the rate draws on a log scale
+#: Spark jobs of a search or cross-validation that are submitted side by side.
+PARALLEL = 4
+
+
+@dataclass(frozen=True)
+class Range:
+    """Bounds of a tunable parameter and how it spreads between them: 'whole', 'even' or 'log'."""
+
+    low: float
+    high: float
+    kind: str = "even"
+
+    def at(self, u: float) -> float | int:
+        """The value a share ``u`` in [0, 1) of the way."""
+        if self.kind == "whole":
+            return int(self.low + math.floor(u * (self.high - self.low + 1)))
+        if self.kind == "log":
+            return self.low * (self.high / self.low) ** u
+        return self.low + u * (self.high - self.low)
+
+
+# fixed values: the tunable parameters and their bounds
 SEARCH_SPACE = {
-    "n_estimators": (100, 500),
-    "max_depth": (3, 10),
-    "learning_rate": (0.01, 0.3),
-    "subsample": (0.6, 1.0),
-    "min_child_samples": (5, 100),
-    "reg_lambda": (0.0, 1.0),
+    "n_estimators": Range(100, 500, "whole"),
+    "max_depth": Range(3, 10, "whole"),
+    "learning_rate": Range(0.01, 0.3, "log"),
+    "subsample": Range(0.6, 1.0),
+    "colsample_bytree": Range(0.6, 1.0),
+    "min_child_samples": Range(5, 100, "whole"),
+    "gamma": Range(0.0, 0.01),
+    "reg_lambda": Range(0.0, 1.0),
+    "reg_alpha": Range(0.0, 1.0),
 }
 
 
@@ -80,6 +108,8 @@ def create_model(algorithm: str, params: Mapping[str, object]):
         raise ValueError(f"unknown algorithm {algorithm!r}; known: {', '.join(sorted(REGISTRY))}")
     cls, names, fixed = REGISTRY[algorithm]
     given = {names[k]: v for k, v in params.items() if k in names and v is not None}
+    if "featureSubsetStrategy" in given:
+        given["featureSubsetStrategy"] = str(float(given["featureSubsetStrategy"]))
     return cls(featuresCol="features", labelCol="label", **{**given, **fixed})
 
 
@@ -204,7 +234,7 @@ class ChurnModel:
 
     def scores(self, df: DataFrame, *keep: str) -> DataFrame:
         """(key, keep, model, y, p): the form the evaluation operators read."""
-        labelled = binary_target(df, self.roles.target, self.roles.positive)
+        labelled = binary_target(drop_null_target(df, self.roles.target), self.roles.target, self.roles.positive)
         out = self.score(labelled, [self.roles.target, *keep])
         return out.select(
             self.roles.key, *keep, F.lit(self.spec.algorithm).alias("model"), F.col(self.roles.target).alias("y"), "p"
@@ -245,27 +275,41 @@ class ChurnModel:
         )
 
 
-def fit_model(
+@dataclass(frozen=True)
+class Prepared:
+    """What does not depend on a model's parameters: fitted stages, statistics and the table to learn from."""
+
+    stages: PipelineModel
+    stats: fe.FeatureStats | None
+    ready: DataFrame
+    weighted: bool
+
+    def fit(self, spec: ModelSpec):
+        estimator = create_model(spec.algorithm, {"random_state": spec.seed, **spec.params})
+        return (estimator.setWeightCol("weight") if self.weighted else estimator).fit(self.ready)
+
+
+def prepare(
     train: DataFrame,
     roles: Roles,
     spec: ModelSpec,
     numeric: Sequence[str] | None = None,
     categorical: Sequence[str] | None = None,
     skip: Sequence[str] = (),
-) -> ChurnModel:
-    """Features, preprocessing and classifier, all learned on the training rows.
+) -> Prepared:
+    """Features and preprocessing learned on the training rows; synthetic rows, if asked for, are made after it.
 
-    Synthetic rows, if asked for, are made after preprocessing.
+    Rows without a label are left out.
     """
-    train = binary_target(train, roles.target, roles.positive)
+    train = binary_target(drop_null_target(train, roles.target), roles.target, roles.positive)
     stats = fe.fit(train, roles) if spec.engineered else None
     rows = staged(fe.transform(train, roles, stats) if stats else fix_total(train, roles), "train")
     auto_num, auto_cat = auto_roles(rows, [roles.key, roles.target, *skip])
     numeric = auto_num if numeric is None else list(numeric)
     categorical = auto_cat if categorical is None else list(categorical)
-    prepared = fit_preprocessor(rows, numeric, categorical, spec.scaler)
-    ready = prepared.transform(rows).select(roles.key, "features", F.col(roles.target).cast("double").alias("label"))
-    estimator = create_model(spec.algorithm, {"random_state": spec.seed, **spec.params})
+    stages = fit_preprocessor(rows, numeric, categorical, spec.scaler)
+    ready = stages.transform(rows).select(roles.key, "features", F.col(roles.target).cast("double").alias("label"))
+    weighted = spec.weighted and not spec.resample
     if spec.resample:
         meta = ready.schema["features"].metadata
         arrays = ready.select(roles.key, vector_to_array("features").alias("vec"), F.col("label").cast("int").alias("y"))
@@ -273,11 +317,18 @@ def fit_model(
         ready = mixed.select(
             array_to_vector("vec").alias("features", metadata=_continuous(meta)), F.col("y").cast("double").alias("label")
         )
-    elif spec.weighted:
+    elif weighted:
         ready = with_weights(ready, "label")
-        estimator = estimator.setWeightCol("weight")
-    fitted = estimator.fit(staged(ready, "ready"))
-    return ChurnModel(PipelineModel(stages=[*prepared.stages, fitted]), stats, roles, spec)
+    return Prepared(stages, stats, staged(ready, "ready"), weighted)
+
+
+def fit_model(train: DataFrame, roles: Roles, spec: ModelSpec, **columns) -> ChurnModel:
+    """Features, preprocessing and classifier, all learned on the training rows.
+
+    ``columns`` are those of ``prepare``.
+    """
+    done = prepare(train, roles, spec, **columns)
+    return ChurnModel(PipelineModel(stages=[*done.stages.stages, done.fit(spec)]), done.stats, roles, spec)
 
 
 def _continuous(meta: dict) -> dict:
@@ -290,19 +341,44 @@ def _continuous(meta: dict) -> dict:
 # ---------------------------------------------------------------- folds
 
 
+@dataclass(frozen=True)
+class Fold:
+    """One fold, prepared on the rows outside it, and the rows inside with their ``features``."""
+
+    prepared: Prepared
+    held: DataFrame
+
+
+def prepare_folds(df: DataFrame, roles: Roles, spec: ModelSpec, k: int = 5, **columns) -> list[Fold]:
+    """Seeded folds, each prepared once; any number of models can then be fitted on them."""
+    labelled = binary_target(drop_null_target(df, roles.target), roles.target, roles.positive)
+    folded = staged(prep.assign_folds(labelled, roles.key, roles.target, k, spec.seed), "folds")
+
+    def one(i: int) -> Fold:
+        done = prepare(folded.where(F.col("fold") != i).drop("fold"), roles, spec, **columns)
+        rows = folded.where(F.col("fold") == i)
+        ready = done.stages.transform(fe.transform(rows, roles, done.stats) if done.stats else fix_total(rows, roles))
+        return Fold(done, staged(ready.select(roles.key, "fold", F.col(roles.target).alias("y"), "features"), "held"))
+
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(one, range(k)))
+
+
+def score_fold(fold: Fold, roles: Roles, spec: ModelSpec) -> DataFrame:
+    """(key, fold, model, y, p) of the fold's rows by a model fitted outside it."""
+    p = vector_to_array("probability")[1].alias("p")
+    return fold.prepared.fit(spec).transform(fold.held).select(roles.key, "fold", F.lit(spec.algorithm).alias("model"), "y", p)
+
+
 def out_of_fold(df: DataFrame, roles: Roles, spec: ModelSpec, k: int = 5, **columns) -> DataFrame:
     """(key, fold, model, y, p): each row scored by the model that did not see it."""
-    folded = staged(
-        prep.assign_folds(binary_target(df, roles.target, roles.positive), roles.key, roles.target, k, spec.seed), "folds"
-    )
-    parts = []
-    for i in range(k):
-        model = fit_model(folded.where(F.col("fold") != i).drop("fold"), roles, spec, **columns)
-        parts.append(model.scores(folded.where(F.col("fold") == i), "fold"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return staged(out, "oof")
+    return score_folds(prepare_folds(df, roles, spec, k, **columns), roles, spec)
+
+
+def score_folds(folds: Sequence[Fold], roles: Roles, spec: ModelSpec) -> DataFrame:
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        parts = list(pool.map(lambda f: score_fold(f, roles, spec), folds))
+    return staged(reduce(DataFrame.unionByName, parts), "oof")
 
 
 def fold_metrics(oof: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -324,20 +400,15 @@ def cross_validate(oof: DataFrame) -> dict[str, float]:
 # ---------------------------------------------------------------- search
 
 
-def draw_params(algorithm: str, space: Mapping[str, tuple], rng: random.Random) -> dict[str, object]:
-    """One random setting of the parameters the algorithm knows."""
-    out = {}
-    for name in sorted(space):
-        if name not in REGISTRY[algorithm][1]:
-            continue
-        low, high = space[name]
-        if isinstance(low, int) and isinstance(high, int):
-            out[name] = rng.randint(low, high)
-        elif name == "learning_rate":
-            out[name] = math.exp(rng.uniform(math.log(low), math.log(high)))
-        else:
-            out[name] = rng.uniform(low, high)
-    return out
+def draw(seed: int, trial: int, name: str) -> float:
+    """A number in [0, 1) from the first 13 hex digits of an md5, the same in any engine."""
+    return int(md5(f"{seed}-{trial}-{name}".encode()).hexdigest()[:13], 16) / 16.0**13
+
+
+def draw_params(algorithm: str, space: Mapping[str, Range], seed: int, trial: int) -> dict[str, object]:
+    """The setting of a trial for the parameters the algorithm knows, each drawn by its range's kind."""
+    known = REGISTRY[algorithm][1]
+    return {name: space[name].at(draw(seed, trial, name)) for name in sorted(space) if name in known}
 
 
 @dataclass
@@ -352,8 +423,8 @@ def search(
     train: DataFrame,
     roles: Roles,
     spec: ModelSpec,
-    space: Mapping[str, tuple] = SEARCH_SPACE,
-    n_trials: int = 10,
+    space: Mapping[str, Range] = SEARCH_SPACE,
+    n_trials: int = 50,
     k: int = 5,
     metric: str = "f1",
     optimise_threshold: bool = True,
@@ -365,15 +436,17 @@ def search(
 
     The objective is the best F1 over the out-of-fold scores, with the
     threshold that gives it, or the mean over the folds of 'f1', 'roc_auc' or
-    'auprc'. It stops after ``patience`` trials without gain.
+    'auprc'. It stops after ``patience`` trials without gain. Folds are
+    prepared once; ``PARALLEL`` trials run side by side.
     """
-    rng = random.Random(spec.seed)
-    rows, best, idle = [], None, 0
-    for number in range(n_trials):
-        algorithm = rng.choice(list(algorithms)) if algorithms else spec.algorithm
-        params = draw_params(algorithm, space, rng)
+    folds = prepare_folds(train, roles, spec, k, **columns)
+
+    def run(number: int) -> tuple:
+        names = list(algorithms or [spec.algorithm])
+        algorithm = names[int(draw(spec.seed, number, "algorithm") * len(names))]
+        params = draw_params(algorithm, space, spec.seed, number)
         trial = replace(spec, algorithm=algorithm, params={**spec.params, **params})
-        oof = out_of_fold(train, roles, trial, k, **columns)
+        oof = staged(reduce(DataFrame.unionByName, [score_fold(f, roles, trial) for f in folds]), "oof")
         threshold = 0.5
         if optimise_threshold:
             top = best_threshold(score_ledger(oof)).first()
@@ -384,16 +457,25 @@ def search(
             value = roc_auc(score_ledger(oof, ["fold"]), ["fold"]).agg(F.avg("roc_auc")).first()[0]
         else:
             value = fold_metrics(oof).agg(F.avg("f1_score")).first()[0]
-        rows.append((number, float(value), algorithm, {p: float(v) for p, v in params.items()}, "COMPLETE", float(threshold)))
-        if best is None or value > best[0]:
-            best, idle = (value, trial, threshold), 0
-        else:
-            idle += 1
-        if patience and idle >= patience:
-            break
+        return trial, params, float(value), float(threshold)
+
+    rows, best, idle = [], None, 0
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        for first in range(0, n_trials, PARALLEL):
+            numbers = range(first, min(n_trials, first + PARALLEL))
+            for number, (trial, params, value, threshold) in zip(numbers, pool.map(run, numbers)):
+                if patience and idle >= patience:
+                    break
+                rows.append((number, value, trial.algorithm, {p: float(v) for p, v in params.items()}, "COMPLETE", threshold))
+                if best is None or value > best[0]:
+                    best, idle = (value, trial, threshold), 0
+                else:
+                    idle += 1
+            if patience and idle >= patience:
+                break
     schema = "number int, value double, algorithm string, params map<string,double>, state string, threshold double"
     trials = train.sparkSession.createDataFrame(rows, schema)
-    return SearchResult(trials, best[1], float(best[0]), float(best[2]))
+    return SearchResult(trials, best[1], best[0], best[2])
 
 
 def best_per_algorithm(trials: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from tidemark.plans import (
     catalog_drift,
     catalog_explain,
     catalog_features,
+    catalog_io,
     catalog_prep,
     catalog_profile,
     catalog_scores,
@@ -20,6 +21,7 @@ _PARTS = [
     catalog_explain,
     catalog_prep,
     catalog_train,
+    catalog_io,
 ]
 
 QUERIES = {name: fn for part in _PARTS for name, fn in part.REGISTRY.queries.items()}

@@ -160,7 +160,7 @@ def dist_compare(spark, sf):
     return rounded(out.withColumn("share", F.round("share", 6)), 9)
 
 
-@query("drift_by_window", with_("""days AS (SELECT date_trunc('day', ts) AS d, value, event_type,
+WINDOWED = with_("""days AS (SELECT date_trunc('day', ts) AS d, value, event_type,
   date_trunc('day', ts) >= (SELECT date_trunc('day', min(ts)) + INTERVAL 7 DAY FROM events) AS cur FROM events),
 span AS (SELECT min(value) AS lo, max(value) AS hi FROM days WHERE NOT cur),
 edges AS (SELECT i * ((hi - lo) / 10) + lo AS e FROM span, range(1, 10) t(i)),
@@ -175,13 +175,18 @@ pairs AS (SELECT size.d, size.feature, greatest(coalesce(ref.n, 0) / (SELECT max
   greatest(coalesce(win.n, 0) / size.s::DOUBLE, 1e-6) AS a FROM size JOIN labels_all l ON l.feature = size.feature
   LEFT JOIN ref ON ref.feature = size.feature AND ref.label = l.label
   LEFT JOIN win ON win.d = size.d AND win.feature = size.feature AND win.label = l.label),
-scored AS (SELECT d, feature, sum((a - e) * ln(a / e)) AS psi FROM pairs GROUP BY 1, 2)""")
-       + f"SELECT strftime(d, '%Y-%m-%d') AS window_start, feature, {r('psi')} AS psi, {SEVERITY} AS severity FROM scored")
-def drift_by_window(spark, sf):
+scored AS (SELECT d, feature, sum((a - e) * ln(a / e)) AS psi FROM pairs GROUP BY 1, 2)""") + f"SELECT strftime(d, '%Y-%m-%d') AS window_start, feature, {r('psi')} AS psi, {SEVERITY} AS severity FROM scored"
+
+
+def event_sides(spark, sf):
+    """Events of the first week, and those after it."""
     events = table(spark, sf, "events").select("ts", "value", "event_type")
-    first = F.date_trunc("day", events.agg(F.min("ts")).scalar())
-    edge = first + F.expr("interval 7 days")
-    out = drift.drift_by_window(
-        events.where(F.col("ts") < edge), events.where(F.col("ts") >= edge), "ts", ["value"], ["event_type"]
-    )
+    edge = F.date_trunc("day", events.agg(F.min("ts")).scalar()) + F.expr("interval 7 days")
+    return events.where(F.col("ts") < edge), events.where(F.col("ts") >= edge)
+
+
+@query("drift_by_window", WINDOWED)
+def drift_by_window(spark, sf):
+    reference, current = event_sides(spark, sf)
+    out = drift.drift_by_window(reference, current, "ts", ["value"], ["event_type"])
     return rounded(out.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")))

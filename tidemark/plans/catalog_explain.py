@@ -98,13 +98,25 @@ def importance_share(spark, sf):
     return rounded(ex.importance_share(ex.mean_parts(_parts(spark, sf))))
 
 
-@query("direction_lists", BASE.rstrip() + f""", drift_means AS (SELECT feature, avg(attribution) AS m FROM parts WHERE target = 1 GROUP BY 1),
-sided AS (SELECT *, CASE WHEN m > 0 THEN 'raises' ELSE 'lowers' END AS direction FROM drift_means WHERE m <> 0)
+_STAYED = "stayed AS (SELECT " + ", ".join(f"avg({c}) AS s_{c}" for c in COLUMNS) + " FROM c360 WHERE target = 0)"
+_FROM_STAYED = "moved AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, avg(w_{c} * ({c} - s_{c})) AS m FROM c360, stats, stayed" for c in COLUMNS
+) + ")"
+
+
+@query("direction_lists", with_(C360, STATS, _STAYED, _FROM_STAYED).rstrip() + f""",
+sided AS (SELECT *, CASE WHEN m > 0 THEN 'raises' ELSE 'lowers' END AS direction FROM moved WHERE m <> 0)
 SELECT direction, rank, feature, {r('m')} AS mean_signed FROM (SELECT *, row_number() OVER (PARTITION BY direction
 ORDER BY abs(m) DESC, feature) AS rank FROM sided) WHERE rank <= 5""")
 def direction_lists(spark, sf):
-    lost = _parts(spark, sf).where("target = 1")
-    return rounded(ex.direction_lists(ex.mean_parts(lost)))
+    """Mean attribution over all customers, measured from the mean customer that stayed."""
+    base = _customers(spark, sf)
+    stats = _weights(base).select(F.struct(*COLUMNS)).scalar()
+    stayed = base.where("target = 0").agg(*[F.avg(c).alias(c) for c in COLUMNS]).select(F.struct(*COLUMNS)).scalar()
+    parts = ex.linear_parts(
+        base, ["customer_key", "target"], {c: stats[c]["weight"] for c in COLUMNS}, {c: stayed[c] for c in COLUMNS}
+    )
+    return rounded(ex.direction_lists(ex.mean_parts(parts)))
 
 
 _NATIVE = "native AS (" + " UNION ALL ".join(f"SELECT '{c}' AS nf, i_{c} AS importance FROM stats" for c in COLUMNS) + ")"

@@ -258,20 +258,68 @@ def f_segment_window(spark, sf):
     )
 
 
-@query("feature_table", ALL + f"""SELECT customer_key, {big('part')} AS part, contract, {r('risk')} AS churn_risk_score,
-{r('coalesce(c_rate, g_rate)')} AS contract_churn_rate, {one('avg_charge > m_avg')} AS is_high_monthly,
-{big('services')} AS total_services, {r('sqrt(tenure)')} AS tenure_sqrt,
-{r('CASE WHEN services > 0 THEN monthly / services ELSE monthly END', 8)} AS cost_per_service,
-{r('ln(1 + total)')} AS total_log FROM scored""")
+_SQUARES = {n: x for n, x in (("monthly", "monthly"), ("total", "total"), ("avg_monthly_charge", "avg_charge"))}
+_DERIVED = {
+    "new_customer_flag": one("tenure = 0"),
+    "tenure_group": """CASE WHEN tenure < 0 THEN NULL WHEN tenure <= 6 THEN '0-6m' WHEN tenure <= 12 THEN '7-12m'
+WHEN tenure <= 24 THEN '1-2a' WHEN tenure <= 48 THEN '2-4a' WHEN tenure <= 72 THEN '4-6a' END""",
+    "avg_monthly_charge": r("avg_charge", 8),
+    "charges_mismatch_flag": one("abs(total - monthly * tenure) / (total + 1e-6) > 0.3"),
+    "is_monthly_contract": one("contract = 'BUILDING'"),
+    "long_term_contract": one("contract IN ('FURNITURE', 'MACHINERY')"),
+    "monthly_binned": """CASE WHEN monthly <= e[2] THEN 'muito_baixo' WHEN monthly <= e[3] THEN 'baixo'
+WHEN monthly <= e[4] THEN 'medio' ELSE 'alto' END""",
+    "is_high_monthly": one("avg_charge > m_avg"),
+    "price_sensitive_contract": one("contract = 'BUILDING' AND monthly > m_monthly"),
+    "early_churn_risk": one("contract = 'BUILDING' AND tenure < 12"),
+    "tenure_vs_contract_avg": r("tenure / CASE WHEN coalesce(seg, g_tenure) = 0 THEN 1 ELSE coalesce(seg, g_tenure) END"),
+    "contract_risk_ordinal": big("coalesce(c_ord, 0)"),
+    "contract_churn_rate": r("coalesce(c_rate, g_rate)"),
+    **{f"{n}_log": r(f"ln(1 + greatest({x}, 0))") for n, x in _SQUARES.items()},
+    **{f"{n}_squared": r(f"{x} * {x}", -2) for n, x in _SQUARES.items()},
+    "total_services": big("services"),
+    "service_density": r("services / 6::DOUBLE"),
+    "streaming_services": big("streams"),
+    "has_streaming": one("streams > 0"),
+    "security_services": big("guards"),
+    "has_security": one("guards > 0"),
+    "low_engagement": one("services <= 2"),
+    "high_engagement": one("services >= 5"),
+    "digital_only": one("paperless = 'Yes' AND regexp_matches(payment, '(?i)^[op]$')"),
+    "family_account": one("partner = 'Yes' OR dependents = 'Yes'"),
+    "family_stability": one("partner = 'Yes' AND dependents = 'Yes'"),
+    "fiber_no_security": one("internet = 'ASIA' AND guards = 0"),
+    "streamer_unprotected": one("coalesce(internet <> 'AFRICA', true) AND streams > 0 AND guards = 0"),
+    "senior_monthly": one("senior = 1 AND contract = 'BUILDING'"),
+    "new_high_value": one("tenure = 0 AND monthly > m_monthly"),
+    "churn_risk_score": r("risk"),
+    "high_risk_flag": one("risk >= 4"),
+    "very_high_risk_flag": one("risk >= 6"),
+    "internet_risk": r("coalesce(i_rate, i_mean)"),
+    "payment_risk": r("coalesce(p_rate, p_mean)"),
+    "lifecycle_new": one("tenure <= 3"),
+    "lifecycle_early": one("tenure > 3 AND tenure <= 12"),
+    "lifecycle_mid": one("tenure > 12 AND tenure <= 36"),
+    "lifecycle_mature": one("tenure > 36"),
+    "tenure_years": r("tenure / 12::DOUBLE"),
+    "tenure_sqrt": r("sqrt(tenure)"),
+    "estimated_clv": r("monthly * tenure"),
+    "value_per_month": r("CASE WHEN tenure > 0 THEN total / tenure ELSE monthly END", 8),
+    "cost_per_service": r("CASE WHEN services > 0 THEN monthly / services ELSE monthly END", 8),
+}
+
+
+@query("feature_table", ALL + f"SELECT customer_key, {big('part')} AS part, " + ", ".join(f"{x} AS {n}" for n, x in _DERIVED.items()) + " FROM scored")
 def feature_table(spark, sf):
-    """All 48 derived columns in one transform; a spread of them is compared."""
+    """All 48 derived columns in one transform."""
     base = staged(customer360(spark, sf), "c360")
     parted = with_part(base, R.key, R.target, [(2, 10)], 42, "part")
     stats = fe.fit(parted.where("part = 1").drop("part"), R)
-    six = ["churn_risk_score", "contract_churn_rate", "tenure_sqrt", "total_log"]
-    wide = fe.transform(parted, R, stats).withColumns({c: F.round(c, 6) for c in six})
-    kept = [R.key, "part", "contract", "is_high_monthly", "total_services", "cost_per_service", *six]
-    return rounded(wide.select(*kept), 8)
+    wide = fe.transform(parted, R, stats)
+    # quotients of money end in halves at six digits, where engines round apart
+    fine = ("avg_monthly_charge", "value_per_month", "cost_per_service")
+    digits = {c: -2 if c.endswith("_squared") else 6 for c, kind in wide.dtypes if kind == "double" and c in _DERIVED and c not in fine}
+    return rounded(wide.withColumns({c: F.round(c, d) for c, d in digits.items()}).select(R.key, "part", *_DERIVED), 8)
 
 
 _FLAGS = ["is_monthly_contract", "early_churn_risk", "price_sensitive_contract", "long_term_contract",

@@ -201,11 +201,39 @@ def smote_balance(spark, sf):
     )
 
 
-@query("smote")
+def _hex(digits: str) -> str:
+    return f"CAST('0x' || {digits} AS BIGINT)"
+
+
+_MADE = _PAIRS.format(" WHERE label = 0") + f""", sizes AS (SELECT count(*) FILTER (label = 0) AS small,
+count(*) FILTER (label <> 0) - count(*) FILTER (label = 0) AS missing FROM embeddings),
+ordered AS (SELECT vec_id, e, row_number() OVER (ORDER BY md5(concat(vec_id, '-42'))) AS place FROM v),
+copies AS (SELECT vec_id, e, c AS copy, md5(concat(vec_id, '-', c, '-42')) AS h FROM ordered, sizes,
+range(1, CAST(missing // small + CASE WHEN place <= missing % small THEN 1 ELSE 0 END + 1 AS BIGINT)) t(c)),
+near AS (SELECT k, list(o ORDER BY rank) AS mates FROM n WHERE rank <= 5 GROUP BY k),
+picked AS (SELECT vec_id AS parent, e, copy, mates[CAST({_hex('substr(h, 1, 8)')} % len(mates) + 1 AS BIGINT)] AS neighbour,
+{_hex('substr(h, 9, 12)')} / {1 << 48}::DOUBLE AS gap FROM copies JOIN near ON vec_id = k),
+made AS (SELECT parent, neighbour, gap, copy, list_transform(range(1, len(p.e) + 1), lambda i : p.e[i] + (q.e[i] - p.e[i]) * gap) AS vec
+FROM picked p JOIN v q ON neighbour = vec_id)"""
+
+
+@query("smote", with_(_MADE) + f"""SELECT parent, neighbour, {r('gap')} AS gap, {big('copy')} AS copy, {r('vec[1]')} AS first,
+{r('list_sum(vec)')} AS total, CAST(1 AS BIGINT) AS y FROM made""")
 def smote(spark, sf):
-    return balance.smote(_vectors(spark, sf), "vec_id", "vec", "y")
+    made = balance.smote(_vectors(spark, sf), "vec_id", "vec", "y")
+    total = F.aggregate("vec", F.lit(0.0), lambda a, b: a + b)
+    return rounded(made.select("parent", "neighbour", "gap", "copy", F.get("vec", F.lit(0)).alias("first"), total.alias("total"), "y"))
+
+
+_BOTH = _MADE + """, both_kinds AS (SELECT CAST(vec_id AS VARCHAR) AS vec_id, CAST(embedding AS DOUBLE[]) AS e,
+CASE WHEN label = 0 THEN 1 ELSE 0 END AS y FROM embeddings UNION ALL SELECT concat(parent, '~', copy), vec, 1 FROM made),
+d2 AS (SELECT a.vec_id AS k, b.vec_id AS o, a.y AS ya, b.y AS yb, list_distance(a.e, b.e) AS dist
+FROM both_kinds a JOIN both_kinds b ON a.vec_id <> b.vec_id),
+n2 AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY dist, o) AS rank FROM d2)"""
 
 
-@query("smote_tomek")
+@query("smote_tomek", with_(_BOTH) + f"""SELECT vec_id, {big('y')} AS y, {r('list_sum(e)')} AS total FROM both_kinds WHERE vec_id NOT IN (
+SELECT a.k FROM n2 a JOIN n2 b ON a.k = b.o AND a.o = b.k WHERE a.rank = 1 AND b.rank = 1 AND a.ya <> a.yb)""")
 def smote_tomek(spark, sf):
-    return balance.smote_tomek(_vectors(spark, sf), "vec_id", "vec", "y")
+    rows = balance.smote_tomek(_vectors(spark, sf), "vec_id", "vec", "y")
+    return rounded(rows.select("vec_id", "y", F.aggregate("vec", F.lit(0.0), lambda a, b: a + b).alias("total")))

@@ -21,7 +21,7 @@ def train_and_evaluate(
 ) -> tr.ChurnModel:
     """Split, cross-validate on the training part, fit, pick the threshold on
     out-of-fold scores, and measure on the test part."""
-    clean = drop_null_target(binary_target(customers, roles.target, roles.positive), roles.target)
+    clean = binary_target(drop_null_target(customers, roles.target), roles.target, roles.positive)
     rows = staged(stratified_split(clean, roles.key, roles.target, test_size, spec.seed), "split")
     train, test = (rows.where(F.col("split") == s).drop("split") for s in ("train", "test"))
     oof = tr.out_of_fold(train, roles, spec, k, **columns)

@@ -30,12 +30,7 @@ def customer360(spark: SparkSession, folder: str) -> DataFrame:
         "o_orderpriority",
         (F.col("o_orderdate") <= cut).alias("past"),
         F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
-        # order dates carry no time of day: day and key in one long, and the
-        # one-letter status as its code, keep the grouping below a hash one
-        (F.shiftleft(F.unix_date(F.col("o_orderdate").cast("date")).cast("long"), 47) + F.col("o_orderkey")).alias(
-            "recent"
-        ),
-        F.ascii("o_orderstatus").alias("status"),
+        "o_orderstatus",
     )
     returned = (
         table(spark, folder, "lineitem")
@@ -59,12 +54,11 @@ def customer360(spark: SparkSession, folder: str) -> DataFrame:
             F.max(F.when(past, F.col("o_orderdate"))).alias("last"),
             F.count(amount).alias("n"),
             F.sum(amount).alias("amount"),
-            F.max_by("status", F.when(past, F.col("recent"))).alias("status"),
+            F.max_by("o_orderstatus", F.when(past, F.struct("o_orderdate", "o_orderkey"))).alias("payment"),
             yes(F.col("returned") == 1).alias("paperless"),
             *[yes(F.col("o_orderpriority") == v).alias(c) for c, v in _SERVICES.items()],
         )
         .where("n > 0")
-        .withColumn("payment", F.char("status"))
     )
     place = (
         table(spark, folder, "nation")

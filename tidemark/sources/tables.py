@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.roles import Roles
 
 
-@lru_cache(maxsize=256)
-def _schema(application: str, path: str) -> T.StructType:
-    return SparkSession.active().read.parquet(path).schema
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Fractions that are no number become null, so that missing means one thing."""
+    fractions = [name for name, kind in df.dtypes if kind in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in fractions}) if fractions else df
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table; its schema is read from the footers once per application."""
-    path = f"{folder}/{name}.parquet"
-    return spark.read.schema(_schema(spark.sparkContext.applicationId, path)).parquet(path)
+    """A parquet table with NaN read as null."""
+    return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def customer_schema(roles: Roles) -> T.StructType:
@@ -42,7 +41,7 @@ def read_customers(spark: SparkSession, path: str, roles: Roles) -> DataFrame:
     header = spark.read.option("header", True).csv(path).columns
     kinds = {f.name: f.dataType for f in schema.fields}
     ordered = T.StructType([T.StructField(c, kinds.get(c, T.StringType())) for c in header])
-    return (
+    return nan_to_null(
         spark.read.schema(ordered)
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)

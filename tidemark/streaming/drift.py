@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,6 +30,22 @@ def window_counts(
     return labels.groupBy(F.col("_w"), "feature", "label").agg(F.count("*").alias("n"))
 
 
+def open_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(window_start, feature, label, n) of the windows a stopped stream still holds open, read from its state."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key._w.start").alias("window_start"),
+        F.col("key.feature").alias("feature"),
+        F.col("key.label").alias("label"),
+        F.col("value.count").alias("n"),
+    )
+
+
+def flush_drift(spark: SparkSession, checkpoint: str, profile: DataFrame) -> DataFrame:
+    """Drift of the windows that the watermark had not closed when the stream ended, so that none is lost."""
+    return windowed_psi(open_counts(spark, checkpoint), profile, "window_start")
+
+
 def start_drift(
     stream: DataFrame,
     spans: DataFrame,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.evaluate import risk_bands
@@ -14,9 +14,19 @@ def score_stream(stream: DataFrame, model: ChurnModel) -> DataFrame:
     return risk_bands(model.score(stream), "p", model.threshold)
 
 
+def band_stream(stream: DataFrame, p: Column, threshold: float = 0.5) -> DataFrame:
+    """Label, risk band and confidence of each arriving row by a score that is an expression of its columns."""
+    return risk_bands(stream.withColumn("p", p), "p", threshold)
+
+
 def start_scoring(stream: DataFrame, model: ChurnModel, out: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append rows scored by a model to parquet."""
+    return start_writing(score_stream(stream, model), out, checkpoint, **trigger)
+
+
+def start_writing(scored: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Append scored rows to parquet."""
-    writer = score_stream(stream, model).writeStream.format("parquet").outputMode("append")
+    writer = scored.writeStream.format("parquet").outputMode("append")
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.option("path", out).option("checkpointLocation", checkpoint).start()
