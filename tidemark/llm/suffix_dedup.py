@@ -183,7 +183,8 @@ def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple
 
     schema = ", ".join(f"{c} long" for c in ("doc_id", "node", "n_bytes", "gram", "ctx", "pos", "lo", "hi"))
     found = long.mapInArrow(find, schema)
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # written first, so that adaptive execution can split a gram that many places share
+    often = staged(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "often")
     shared = staged(found.join(often, "gram", "left_semi"), "shared")
     rep = F.min(F.struct("doc_id", "node", "pos", "lo", "hi")).alias("rep")
     contexts = staged(shared.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), rep), "contexts")
