@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stage import staged
 from tidemark.llm import links
 from tidemark.llm.common import once_per_worker
+from tidemark.llm.links import partial_links
 
 WORDS, THRESHOLD = 5, 0.8
 #: Rows of a band, the share of pairs at the threshold that must meet in a bucket, and members of a block.
@@ -212,7 +213,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, threshold: float = THRESH
         if sets[1]:
             right = right + len(sets[0])
         keys = rows_of[0] + rows_of[1]
-        return links.partial_links([k[1] for k in keys], np.array([found[k][0] for k in keys]), left, right)
+        return partial_links([k[1] for k in keys], np.array([found[k][0] for k in keys]), left, right)
 
     joined = texts.join(chosen.withColumnRenamed("first", "doc"), F.col("doc_id").eqNullSafe(F.col("doc"))).select("text", "node", "copies", "pairs")
     spreads = joined.mapInArrow(spread, "pair long, side int, node binary, copies long, grams binary")

@@ -100,11 +100,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     name. Whole texts are read; equal rows are scored alike; extra columns are ignored; an empty table gives no rows.
     The broadcast matrix has ``BUCKETS`` rows and a column per language.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.log_prob, model.log_prior))
 
     @F.pandas_udf("lang_pred string, score double")
     def guess(texts: pd.Series) -> pd.DataFrame:
-        model = shared.value
+        model = Model(*shared.value)
         values = ["" if t is None else t for t in texts]
         lang, score = ["und"] * len(values), np.zeros(len(values))
         some = [i for i, t in enumerate(values) if model.langs and any(map(str.isalpha, t))]

@@ -212,13 +212,13 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
     rows = staged(texts.join(marks, F.col("doc_id") == F.col("label_doc")).select("text", "toxic").repartition(TRAIN_TASKS, F.xxhash64("text")), "toxic-train")
     model = Model(_learn_stems(rows))
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = rows.sparkSession.sparkContext.broadcast((model.stems, model.weights))
 
     def events(batches):
-        counts = Counter()
+        counts, model = Counter(), Model(*shared.value)
         for batch in batches:
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns)):
-                counts[(toxic, *shared.value.events(text).tolist())] += 1
+                counts[(toxic, *model.events(text).tolist())] += 1
         yield pa.RecordBatch.from_arrays([pa.array([int(k[0]) for k in counts], pa.int32()), pa.array([list(k[1:]) for k in counts], pa.list_(pa.float64())), pa.array(list(counts.values()), pa.int64())], names=["toxic", "events", "n"])
 
     seen = rows.select("text", "toxic").mapInArrow(events, "toxic int, events array<double>, n long").collect()  # at most one per sampled row
@@ -229,11 +229,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 
 def scorer(spark, model: Model):
     """Column function: the toxicity score of a text; a null text is empty."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.stems, model.weights))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        model = shared.value
+        model = Model(*shared.value)
         return pd.Series(model.scores(np.array([model.events(t or "") for t in texts]).reshape(-1, len(EVENTS))))
 
     return score

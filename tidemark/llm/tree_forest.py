@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stage import staged
 from tidemark.llm import links
 from tidemark.llm.common import bounded_sample
+from tidemark.llm.links import partial_links
 
 THRESHOLD = 0.93
 #: Trees, the share of a node's rows on each side of its median that go to both children, rows of a leaf aimed at,
@@ -116,7 +117,7 @@ def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedd
     for row, v in zip(fitted, sample):
         row[: len(v)] = v
     aim = max(LEAST_LEAF, int(leaf * len(sample) / max(1, total)))
-    forest = nodes.sparkSession.sparkContext.broadcast([grow(fitted, aim, spill, seed) for seed in range(trees)])
+    forest = nodes.sparkSession.sparkContext.broadcast([astuple(grow(fitted, aim, spill, seed)) for seed in range(trees)])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,7 +127,7 @@ def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedd
                 row[: min(width, len(v))] = v[:width]
             rows, tree_no, leaf_no = [], [], []
             for t, tree in enumerate(forest.value):
-                r, k = tree.leaves(padded)
+                r, k = Tree(*tree).leaves(padded)
                 rows.append(r)
                 leaf_no.append(k)
                 tree_no.append(np.full(len(r), t))
@@ -162,7 +163,7 @@ def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedd
         place = table.column("place")[0].as_py()
         before = [{p for p in own if p < place} for own in table.column("places").to_pylist()]
         here = np.fromiter((before[a].isdisjoint(before[b]) for a, b in zip(left.tolist(), right.tolist())), bool, len(left))
-        return links.partial_links(table.column("node").to_pylist(), table.column("copies").to_numpy(), left[here], right[here])
+        return partial_links(table.column("node").to_pylist(), table.column("copies").to_numpy(), left[here], right[here])
 
     linked = staged(links.map_groups(rows, "pair", compare, "node binary, n_links long, root binary"), "linked")
     found = links.classes(members.select(F.col("item").alias(item), "node"), item, linked)
