@@ -9,14 +9,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, once_per_worker
+from tidemark.llm.common import once_per_worker
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
 #: Exponent on piece probabilities (0: all segmentations alike, 1: as the model says) and characters sampled at a time.
-ALPHA, CHUNK_CHARS = 0.5, 4_000_000
+ALPHA, CHUNK_CHARS = 0.5, 1_500_000
+_DECODED = 500
 #: No piece holds a space after another character, nor a line end, so the lattice falls apart into such parts.
 _PARTS = re.compile(r" *[^ \n]+|\n| +")
 
@@ -39,21 +41,32 @@ class Pieces:
     raw: list[bytes]
 
 
-def _read(path: str) -> Pieces:
+def _raw_pieces(path: str) -> list[bytes]:
+    """What each id decodes to: a byte, nothing for control pieces, else the piece with spaces."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    raw, ordinary, byte_ids = [], [], np.full(256, -1, np.int64)
+    raw = []
     for i in range(model.vocab_size()):
         piece = model.id_to_piece(i)
         if model.is_byte(i):
             raw.append(bytes([int(piece[3:5], 16)]))
-            byte_ids[raw[-1][0]] = i
         elif model.is_control(i) or model.is_unknown(i) or model.is_unused(i):
             raw.append(b"")
         else:
             raw.append(piece.replace("▁", " ").encode())
-            ordinary.append((piece.replace("▁", " "), i))
+    return raw
+
+
+def _read(path: str) -> Pieces:
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    raw, byte_ids = _raw_pieces(path), np.full(256, -1, np.int64)
+    for i in range(model.vocab_size()):
+        if model.is_byte(i):
+            byte_ids[raw[i][0]] = i
+    ordinary = [(r.decode(), i) for i, r in enumerate(raw) if r and not model.is_byte(i)]
     if (byte_ids < 0).any():
         raise ValueError("the model has no byte pieces, so decoding could lose characters")
     scores = np.array([model.get_score(i) for i in range(model.vocab_size())])
@@ -63,17 +76,18 @@ def _read(path: str) -> Pieces:
         log_weight[[i for _, i in ordinary]] = -np.log(ranks + 2.7) - np.log(np.log(len(ranks)))
     else:
         log_weight = scores.copy()
-    children: dict[tuple[int, int], int] = {}
+    children: dict[int, int] = {}
     ends = [-1]
     for piece, i in ordinary:
         node = 0
         for c in map(ord, piece):
-            if (node, c) not in children:
-                children[node, c] = len(ends)
+            key = node << 21 | c
+            if key not in children:
+                children[key] = len(ends)
                 ends.append(-1)
-            node = children[node, c]
+            node = children[key]
         ends[node] = i
-    keys = np.array([n << 21 | c for n, c in children], np.int64)
+    keys = np.fromiter(children, np.int64, len(children))
     order = np.argsort(keys)
     return Pieces(keys[order], np.array(list(children.values()), np.int64)[order], np.array(ends, np.int64), log_weight, byte_ids, raw)
 
@@ -108,9 +122,9 @@ def lattice(parts: list[str], model: Pieces, alpha: float) -> Lattice:
     starts = stops - lengths
     # Borders are numbered so that each part has its own first border: part k's character i leaves border i + k.
     chars = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.int64)
-    part = np.repeat(np.arange(len(parts)), lengths)
-    limit = stops[part]
-    at = np.arange(len(chars))
+    part = np.repeat(np.arange(len(parts), dtype=np.int32), lengths)
+    limit = stops[part].astype(np.int32)
+    at = np.arange(len(chars), dtype=np.int32)
     node = np.zeros(len(chars), np.int64)
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     single = np.zeros(len(chars), bool)
@@ -130,13 +144,17 @@ def lattice(parts: list[str], model: Pieces, alpha: float) -> Lattice:
         at, node = at[more], node[more]
     lone = np.flatnonzero(~single)
     found.append((lone, lone + 1, -1 - chars[lone]))
-    source, target, piece = map(np.concatenate, zip(*found))
+    source, target, piece = (np.concatenate(x).astype(np.int32) for x in zip(*found))
+    del found, node, limit
+    # Each length gave its edges in order, so sorting by target merges a few runs; sorting by depth keeps that order.
+    order = np.argsort(target, kind="stable")
+    source, target, piece = source[order], target[order], piece[order]
     own = part[source]
-    depth = target - starts[own]
+    depth = target - starts.astype(np.int32)[own]
     source, target = source + own, target + own
-    log_weight = np.where(piece >= 0, alpha * model.log_weight[np.maximum(piece, 0)], 0.0)
+    log_weight = np.where(piece >= 0, (alpha * model.log_weight)[np.maximum(piece, 0)], 0.0)
     borders = len(chars) + len(parts)
-    order = np.lexsort((target, depth))
+    order = np.argsort(depth.astype(np.int16) if lengths.max() < 1 << 15 else depth, kind="stable")
     forward = np.full(borders, -np.inf)
     forward[starts + np.arange(len(parts))] = 0.0
     cuts = np.flatnonzero(np.diff(depth[order], prepend=0, append=-1))
@@ -147,10 +165,8 @@ def lattice(parts: list[str], model: Pieces, alpha: float) -> Lattice:
         top = np.maximum.reduceat(value, heads)
         sums = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(heads, append=len(e)))), heads)
         forward[target[e[heads]]] = top + np.log(sums)
-    order = np.argsort(target, kind="stable")
-    source, target, piece = source[order], target[order], piece[order]
-    share = np.exp(forward[source] + log_weight[order] - forward[target])
-    upto = np.cumsum(share)
+    del order, depth, own
+    upto = np.cumsum(np.exp(forward[source] + log_weight - forward[target]))
     first = np.searchsorted(target, np.arange(borders))
     upto -= np.concatenate([[0.0], upto])[first[target]]
     last = np.flatnonzero(np.diff(target, append=-1))
@@ -209,14 +225,15 @@ def _with_bytes(ids: np.ndarray, model: Pieces) -> np.ndarray:
     return out
 
 
-def _chunks(texts: list[str | None], most: int) -> Iterator[slice]:
+def _chunks(lengths: list[int | None], most: int) -> Iterator[slice]:
     start = held = 0
-    for i, text in enumerate(texts):
-        if held and held + len(text or "") > most:
+    for i, length in enumerate(lengths):
+        if held and held + (length or 0) > most:
             yield slice(start, i)
             start, held = i, 0
-        held += len(text or "")
-    yield slice(start, len(texts))
+        held += length or 0
+    if lengths:
+        yield slice(start, len(lengths))
 
 
 def encode_sampled(docs: DataFrame, model: str | None = None, alpha: float = ALPHA, seed: int = 0) -> DataFrame:
@@ -229,32 +246,37 @@ def encode_sampled(docs: DataFrame, model: str | None = None, alpha: float = ALP
     """
     path = model or default_model()
 
-    def each(batch: dict[str, list]) -> dict[str, pa.Array | list]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = pieces_of(path)
-        out: list[np.ndarray] = []
-        texts, ids = batch["text"], batch["doc_id"]
-        for part in _chunks(texts, CHUNK_CHARS):
-            keys = _mix(np.array([-1 if i is None else i for i in ids[part]], np.int64).view(np.uint64) + np.uint64(seed * 2 + 1))
-            out += sample([t or "" for t in texts[part]], keys, loaded, alpha)
-        return {
-            "doc_id": pa.array(ids, pa.int64()),
-            "ids": pa.array([x.tobytes() for x in out], pa.binary()),
-            "n_pieces": pa.array(list(map(len, out)), pa.int64()),
-            "text_crc32": pa.array([zlib.crc32((t or "").encode()) for t in texts], pa.int64()),
-        }
+        for batch in batches:
+            for rows in _chunks(pc.utf8_length(batch.column("text")).to_pylist(), CHUNK_CHARS):
+                ids, texts = (c.slice(rows.start, rows.stop - rows.start).to_pylist() for c in batch.columns)
+                keys = _mix(np.array([-1 if i is None else i for i in ids], np.int64).view(np.uint64) + np.uint64(seed * 2 + 1))
+                drawn = sample([t or "" for t in texts], keys, loaded, alpha)
+                columns = [
+                    pa.array(ids, pa.int64()),
+                    pa.array([x.tobytes() for x in drawn], pa.binary()),
+                    pa.array(list(map(len, drawn)), pa.int64()),
+                    pa.array([zlib.crc32((t or "").encode()) for t in texts], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "n_pieces", "text_crc32"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return map_rows(slim, each, "doc_id long, ids binary, n_pieces long, text_crc32 long")
+    return slim.mapInArrow(each, "doc_id long, ids binary, n_pieces long, text_crc32 long")
 
 
 def decode(encoded: DataFrame, model: str | None = None) -> DataFrame:
     """Adds ``text``, what the ids spell; without ids (null or empty) the text is empty. Works on sampled and best segmentations alike."""
     path = model or default_model()
-    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in encoded.schema if f.name != "text")
-
-    def each(batch: dict[str, list]) -> dict[str, list]:
-        raw = pieces_of(path).raw
-        spelled = [b"".join(map(raw.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in batch["ids"]]
-        return batch | {"text": [x[1:].decode() for x in spelled]}
-
-    return map_rows(encoded.drop("text"), each, f"{names}, text string")
+    columns = [c for c in encoded.columns if c != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name != "text") + ", text string"
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw = once_per_worker(f"raw:{path}", lambda: _raw_pieces(path))
+        for batch in batches:
+            for at in range(0, batch.num_rows, _DECODED):
+                part = batch.slice(at, _DECODED)
+                spelled = [b"".join(map(raw.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([x[1:].decode() for x in spelled], pa.string())], names=[*columns, "text"])
+
+    return encoded.drop("text").mapInArrow(each, schema)
