@@ -45,7 +45,6 @@ HEADLINE = [
     "tomek_links",
     "smote",
     "train_logistic",
-    "search_trials",
     "tree_attribution",
     "stream_drift",
 ]
