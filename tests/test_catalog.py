@@ -6,6 +6,8 @@ from compare import database, difference
 from tidemark.plans.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
+#: Hundreds of model fits each: compared by tests/compare.py, and on small settings in test_train_explain.py.
+LONG = {"cross_validate", "search_trials", "tree_attribution"}
 
 
 @pytest.fixture(scope="module")
@@ -13,7 +15,7 @@ def con():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - LONG))
 def test_query(spark, con, name):
     assert difference(spark, con, SF, QUERIES[name], ORACLE[name]) is None
 
@@ -26,4 +28,4 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     df = entry.entry(spark)
-    assert df.count() > 0 and set(entry.queries()) == set(QUERIES)
+    assert df.count() > 0 and set(QUERIES) <= set(entry.queries())
