@@ -142,3 +142,19 @@ def test_forest_recall_with_many_leaves(spark):
     assert all(found[rows[k][0]] <= counts[k] for k in range(len(rows)))
     assert sum(found.values()) >= 0.97 * sum(counts)
     assert forest_links(df.where("vec_id < 0")).count() == 0
+
+
+def test_forest_keeps_a_dense_group_whole(spark):
+    rng = np.random.default_rng(8)
+    middle = rng.standard_normal(64)
+    rows = []
+    for i in range(1800):
+        v = middle / np.linalg.norm(middle) + rng.standard_normal(64) * 0.23 / 8 if i % 3 == 0 else rng.standard_normal(64)
+        rows.append((i, [float(x) for x in v], 0 if i % 3 == 0 else i % 2))
+    units = np.array([v for _, v, _ in rows])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    labels = np.array([k for _, _, k in rows])
+    counts = ((units @ units.T >= 0.93) & (labels[:, None] == labels)).sum(axis=1) - 1
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r.n_links for r in forest_links(df, leaf=8).collect()}  # leaves of 8 sample rows, as for millions
+    assert counts.sum() > 300_000 and [found[i] for i in range(len(rows))] == counts.tolist()

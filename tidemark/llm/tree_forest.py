@@ -20,6 +20,8 @@ THRESHOLD = 0.93
 #: Trees, the share of a node's rows on each side of its median that go to both children, rows of a leaf aimed at,
 #: rows of the sample that the splits are fitted on, the smallest leaf of the sample, and rows of a block in a leaf.
 TREES, SPILL, LEAF, SAMPLE, LEAST_LEAF, BLOCK = 8, 0.05, 512, 20_000, 8, 512
+#: A sample row with this share of a leaf of the sample linked to it (three rows at least) is in a dense group.
+DENSE, LEAST_DENSE = 1 / 8, 3
 
 
 @dataclass
@@ -77,6 +79,37 @@ def grow(sample: np.ndarray, leaf_rows: int, spill: float, seed: int) -> Tree:
     return Tree(np.array(direction, np.float64).reshape(-1, sample.shape[1]), np.array(low), np.array(high), np.array(child, np.int64).reshape(-1, 2))
 
 
+def centres_of(sample: np.ndarray, threshold: float, least: int) -> np.ndarray:
+    """Rows, densest first, such that each row of the sample with ``least`` others linked to it is linked to one of them."""
+    near = [(sample[i : i + 256] @ sample.T >= threshold).sum(axis=1) - 1 for i in range(0, len(sample), 256)]
+    near = np.concatenate([np.zeros(0, np.int64), *near])
+    todo = np.argsort(-near, kind="stable")[: np.count_nonzero(near >= least)]
+    found = []
+    while len(todo):
+        found.append(todo[0])
+        todo = todo[1:][sample[todo[1:]] @ sample[todo[0]] < threshold]
+    return sample[found]
+
+
+def cells(vectors: np.ndarray, centres: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, centre) for every cell that a row goes to, and whether a row is covered: all its links are within its cells.
+
+    A row belongs to the first centre it is linked to. What is linked to it is at most twice the link angle from that
+    centre, so a cell takes all rows as near as that; rows that belong to an earlier centre meet its rows there.
+    """
+    reach = (2 * threshold * threshold - 1 if threshold > 0 else -1) - 1e-9
+    rows, at, covered = [], [], []
+    for i in range(0, len(vectors), 1024):
+        cosine = vectors[i : i + 1024] @ centres.T
+        linked = cosine >= threshold
+        covered.append(linked.any(axis=1))
+        own = np.where(covered[-1], linked.argmax(axis=1), len(centres))
+        row, cell = np.nonzero((cosine >= reach) & (np.arange(len(centres)) <= own[:, None]))
+        rows.append(row + i)
+        at.append(cell)
+    return np.concatenate(rows), np.concatenate(at), np.concatenate(covered)
+
+
 def unit(vector: list | None) -> np.ndarray | None:
     """The vector in double precision at length one; None if it has no direction."""
     if not vector or any(x is None for x in vector):
@@ -91,10 +124,11 @@ def unit(vector: list | None) -> np.ndarray | None:
 def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, trees: int = TREES, spill: float = SPILL, leaf: int = LEAF, sample_rows: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """(item, n_links, component_id, kept): links are pairs of equal non-null label with cosine at or above the threshold.
 
-    Every row goes through every tree; the splits are fitted on a sample of at most about ``sample_rows`` rows, and
-    leaves are compared within equal labels and lengths. A leaf of more than ``block`` such rows is compared block by
-    block, none of its rows left out. A pair that meets in several leaves is counted in its first tree and leaf only,
-    so counts need no set of pairs. Equal vectors of a label are one node and count as linked to each other. A vector
+    Dense groups are found in a sample of at most about ``sample_rows`` rows and kept whole: a row linked to the centre
+    of one finds all its links in cells about the centres. Every other row goes through every tree as well, whose splits
+    are fitted on such rows of the sample. Cells and leaves are compared within equal labels and lengths; one of more
+    than ``block`` such rows is compared block by block, none of its rows left out. A pair that meets in several cells
+    or leaves is counted in the first only, so counts need no set of pairs. Equal vectors of a label are one node and count as linked to each other. A vector
     that is null, empty, zero or holds a null or non-finite component, or has no label, links with nothing. Rows with
     equal ids count one by one; a null id is its own class; extra columns are ignored; an empty table gives no rows.
     """
@@ -111,13 +145,23 @@ def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedd
     nodes = members.where("node IS NOT NULL").groupBy("node", "label").agg(F.first("data").alias("data"), F.count(F.lit(1)).alias("copies"))
     nodes = staged(nodes, "nodes")
     total = nodes.count()
-    sample = [np.frombuffer(r["data"]) for r in bounded_sample(nodes, sample_rows, "node").select("data").collect()]
-    width = max(map(len, sample), default=1)
-    fitted = np.zeros((len(sample), width))
-    for row, v in zip(fitted, sample):
-        row[: len(v)] = v
+    sample = [(r["label"], np.frombuffer(r["data"])) for r in bounded_sample(nodes, sample_rows, "node").select("label", "data").collect()]
+    width = max((len(v) for _, v in sample), default=1)
     aim = max(LEAST_LEAF, int(leaf * len(sample) / max(1, total)))
-    forest = nodes.sparkSession.sparkContext.broadcast([astuple(grow(fitted, aim, spill, seed)) for seed in range(trees)])
+    alike: dict[tuple[str, int], list[np.ndarray]] = {}
+    for key, v in sample:
+        alike.setdefault((key, len(v)), []).append(v)
+    centres, sparse, n_centres = {}, [], 0
+    for key, own in alike.items():
+        own = np.stack(own)
+        dense = centres_of(own, threshold, max(LEAST_DENSE, int(aim * DENSE)))
+        if len(dense):
+            centres[key] = n_centres, dense
+            n_centres += len(dense)
+            own = own[~cells(own, dense, threshold)[2]]
+        sparse.append(np.pad(own, ((0, 0), (0, width - key[1]))))
+    fitted = np.concatenate([np.zeros((0, width)), *sparse])
+    forest = nodes.sparkSession.sparkContext.broadcast(([astuple(grow(fitted, aim, spill, seed)) for seed in range(trees)], centres))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,12 +169,27 @@ def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedd
             padded = np.zeros((len(data), width))
             for row, v in zip(padded, data):
                 row[: min(width, len(v))] = v[:width]
+            grown, centres = forest.value
             rows, tree_no, leaf_no = [], [], []
-            for t, tree in enumerate(forest.value):
-                r, k = Tree(*tree).leaves(padded)
-                rows.append(r)
+            left = np.ones(len(data), bool)
+            alike: dict[tuple[str, int], list[int]] = {}
+            for i, (key, v) in enumerate(zip(batch.column("label").to_pylist(), data)):
+                if (key, len(v)) in centres:
+                    alike.setdefault((key, len(v)), []).append(i)
+            for key, own in alike.items():
+                first, dense = centres[key]
+                r, k, covered = cells(np.stack([data[i] for i in own]), dense, threshold)
+                own = np.array(own)
+                left[own[covered]] = False
+                rows.append(own[r])
+                leaf_no.append(first + k)
+                tree_no.append(np.zeros(len(r), np.int64))
+            left = np.flatnonzero(left)
+            for t, tree in enumerate(grown):
+                r, k = Tree(*tree).leaves(padded[left])
+                rows.append(left[r])
                 leaf_no.append(k)
-                tree_no.append(np.full(len(r), t))
+                tree_no.append(np.full(len(r), t + 1))
             row, tree, leaves = map(np.concatenate, (rows, tree_no, leaf_no))
             order = np.lexsort((leaves, tree, row))
             row, place = row[order], (tree[order] << 32) | leaves[order]
