@@ -30,21 +30,29 @@ DIGIT_WORDS = (
     "cero uno dos tres cuatro cinco seis siete ocho nueve".split(),
 )
 _VALUE = {w: str(i) for words in DIGIT_WORDS for i, w in enumerate(words)} | {"oh": "0"}
-#: Words so rare in prose that two different ones are needed before spelled digits are looked for.
-_RARE = [w for words in DIGIT_WORDS for w in words if len(w) > 2]
 _LEAST_SPELLED = 3
 _WORDS = "|".join(sorted(_VALUE, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS}|[0-9]+)(?:[\s,-]{{1,3}}(?:{_WORDS}|[0-9]+))+(?!\w)", re.I)
+#: In small letters: in any run of spelled digits, one is followed by another or by figures.
+_SPELLED_GATE = re.compile(rf"(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS}|[0-9])")
 _WORD = re.compile(rf"{_WORDS}|[0-9]+", re.I)
 _PLUS = re.compile(r"(?<!\w)plus\s{1,3}(?=[+0-9(])", re.I)
 _AT = re.compile(r"\s{0,2}[(\[{<]\s{0,2}(?:at|ät|arroba|chez)\s{0,2}[)\]}>]\s{0,2}|\s{0,2}[(\[{<]\s{0,2}@\s{0,2}[)\]}>]\s{0,2}", re.I)
 _DOT = re.compile(r"\s{0,2}[(\[{<]\s{0,2}(?:dot|punkt|point|punto|\.)\s{0,2}[)\]}>]\s{0,2}", re.I)
+#: What a text must hold for a disguise in brackets; each begins with the bracket, which is quick to look for.
+_AT_GATE = re.compile(r"[(\[{<]\s{0,2}(?:at|ät|arroba|chez|@)", re.I)
+_DOT_GATE = re.compile(r"[(\[{<]\s{0,2}(?:dot|punkt|point|punto|\.)", re.I)
 #: Without brackets both words must appear: name at host dot end.
-_BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}( at )[A-Za-z0-9-]{1,63}((?: dot [A-Za-z0-9-]{1,63}){1,4})(?!\w)")
-_HINTS = ("at)", "at]", "at}", "at>", "arroba", "chez", "@)", "@]", "@}", "@>", "@ ", "at ", "dot", "punkt", "point", "punto", ".)", ".]", ".}")
+_BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}( [Aa][Tt] )[A-Za-z0-9-]{1,63}((?: [Dd][Oo][Tt] [A-Za-z0-9-]{1,63}){1,4})(?!\w)")
+_BARE_DOT = re.compile(" dot ", re.I)
 _FOREIGN = re.compile("[ɐ-\U0010ffff]")
 
 
+def _low(text: str) -> str:
+    """Small letters, also for the letters that patterns without case take for i and s."""
+    return (text if text.isascii() else text.replace("İ", "i").replace("ı", "i").replace("ſ", "s")).lower()
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -126,8 +134,7 @@ def _letter_edits(text: str) -> list[tuple[int, int, str]]:
 
 def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     """Runs of spelled digits, perhaps among figures, word for word; the gaps inside a run go."""
-    low = text.lower()
-    if sum(w in low for w in _RARE) < 2:
+    if not _SPELLED_GATE.search(_low(text)):
         return []
     out = []
     for run in _SPELLED.finditer(text):
@@ -135,21 +142,19 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
         if sum(not m[0][0].isdigit() for m in words) < _LEAST_SPELLED:
             continue
         for m, after in zip(words, [*words[1:], None]):
-            out.append((m.start(), after.start() if after else m.end(), _VALUE.get(m[0].lower(), m[0])))
+            out.append((m.start(), after.start() if after else m.end(), _VALUE.get(_low(m[0]), m[0])))
     return out
 
 
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
-    low = text.lower()
-    if not any(h in low for h in _HINTS) and "plus" not in low:
-        return []
+    low = _low(text)
     out = [(*m.span(), "+") for m in _PLUS.finditer(text)] if "plus" in low else []
-    out += [(*m.span(), "@") for m in _AT.finditer(text)] if any(h in low for h in _HINTS[:10]) else []
-    out += [(*m.span(), ".") for m in _DOT.finditer(text)] if any(h in low for h in _HINTS[12:]) else []
+    out += [(*m.span(), "@") for m in _AT.finditer(text)] if _AT_GATE.search(text) else []
+    out += [(*m.span(), ".") for m in _DOT.finditer(text)] if _DOT_GATE.search(text) else []
     if " dot " in low and " at " in low:
         for m in _BARE.finditer(text):
             out.append((*m.span(1), "@"))
-            out += [(m.start(2) + d.start(), m.start(2) + d.end(), ".") for d in re.finditer(" dot ", m[2])]
+            out += [(m.start(2) + d.start(), m.start(2) + d.end(), ".") for d in _BARE_DOT.finditer(m[2])]
     kept, last = [], 0
     for a, b, new in sorted(out):
         if a >= last:
