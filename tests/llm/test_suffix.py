@@ -51,6 +51,15 @@ def test_removal_equals_brute_force(spark, length, gram, crowd):
     assert found == brute(rows, length)
 
 
+@pytest.mark.parametrize("crowd", [4096, 2])
+def test_equal_rows_and_null_ids_come_out_once(spark, crowd):
+    rows = [t for _, t in corpus(np.random.default_rng(7), 40)]
+    rows = [(i, t) for i, t in enumerate(rows)] + [(2, rows[2])] * 4 + [(None, rows[4])] * 3 + [(70 + i, rows[2]) for i in range(2)] + [(None, "n" * 41 + "m" * 30)] * 2 + [(90, rows[1]), (90, rows[6]), (90, rows[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((tuple(r) for r in removed_repeats(df, 40, 12, crowd).collect()), key=str) == brute(rows, 40)
+    assert sorted(str(r.doc_id) for r in removed_repeats(df, 40, 12, crowd, keep_text=True).collect()) == sorted(str(i) for i, _ in rows)
+
+
 def test_kept_text_and_columns(spark):
     shared = "".join(np.random.default_rng(1).choice(list("abcd "), 90))
     rows = [(1, "é" + shared + "tail", "a"), (2, "head" + shared, "b"), (3, None, "c"), (None, "short", None), (1, "other", "d")]

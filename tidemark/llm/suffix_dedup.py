@@ -197,7 +197,8 @@ def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple
     # The smallest doc_id of a text stands for its copies, in its contexts as well.
     firsts = firsts.join(wanted.select(F.col("node").alias("wanted_node"), "wanted"), F.col("own") == F.col("wanted_node"), "left").drop("wanted_node")
     texts = long.join(firsts, (F.col("node") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("doc")))
-    texts = staged(texts.select("node", "n_bytes", "raw", "wanted"), "texts")
+    # several rows may have that doc_id, or all of them none
+    texts = staged(texts.select("node", "n_bytes", "raw", "wanted").dropDuplicates(["node", "n_bytes"]), "texts")
 
     def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,7 +270,8 @@ def removed_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     Every byte covered by a string of ``length`` bytes that also starts elsewhere, in the same document or another, is
     removed; strings are judged on the input. Texts are their UTF-8 bytes; null is empty; shorter texts lose nothing;
     kept text drops the remains of characters that were cut. Equal texts are one node after the first shuffle: a
-    context and its copies meet as one row with a count. The contexts of a gram are one task's work up to ``crowd``;
+    context and its copies meet as one row with a count, and one row of a text is cut, also where doc_ids repeat or are
+    null; every row of ``docs`` comes out once. The contexts of a gram are one task's work up to ``crowd``;
     beyond that every window is counted on its own, with partial counts, so no group grows with the corpus. A text's
     spans are as many as its own windows at most. Extra columns are ignored; an empty table gives no rows.
     """
