@@ -10,7 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm import line_rules, pii, toxicity
+from tidemark.llm import language, line_rules, pii, toxicity
 from tidemark.llm.language import identify
 
 SF = "/root/testdata/sf0.01"
@@ -100,6 +100,16 @@ def test_language_held_out_accuracy(spark):
     assert sum(found[i].lang_pred == truth[i] for i in apart) >= 0.98 * len(apart)
 
 
+def test_language_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(2)
+    log_prob = np.log(rng.random((language.BUCKETS, 3))).astype(np.float32)
+    model = language.Model(["a", "b", "c"], log_prob, np.log(np.full(3, 1 / 3)))
+    texts = ["one", "yes no", "é", "東京", "", "der Hund", "zeta"]
+    alone = np.concatenate([model.score([t]) for t in texts])
+    assert (model.score(texts) == alone).all()
+    assert (model.score(texts[::-1]) == alone[::-1]).all()
+
+
 def test_language_edges(spark):
     rows = [(i, "the cat sat on the mat and then it ran" if i % 2 else "der hund lief über die straße und bellte", ["de", "en"][i % 2]) for i in range(40)]
     rows += [(100, None, "en"), (101, "12 34 !!", "en"), (102, "", None), (103, "über die " * 30_000, None), (None, "the mat", "en")]

@@ -23,19 +23,24 @@ def _letters() -> np.ndarray:
     return once_per_worker("letters", lambda: np.array([c if chr(c).isalpha() else 32 for c in range(0x110000)], np.uint32))
 
 
-def grams(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-    """For each n the bucket of the n-gram at every place of the joined texts, and where each text begins."""
+def grams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each n the buckets of the n-grams within each text, one text after the other, and where each text's begin."""
     padded = [f" {t.lower()}  " for t in texts]
     lengths = np.fromiter(map(len, padded), np.int64, len(padded))
     codes = _letters()[np.frombuffer("".join(padded).encode("utf-32-le"), "<u4")]
+    stops = np.cumsum(lengths)
     out = []
     for n in GRAMS:
         h = np.full(len(codes) - n + 1, n, np.uint32)
         for k in range(n):
             h = (h ^ codes[k : len(codes) - n + 1 + k]) * np.uint32(0x01000193)
             h ^= h >> np.uint32(15)
-        out.append(((h * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64))
-    return out, np.cumsum(lengths) - lengths
+        within = np.ones(len(codes), bool)
+        for k in range(1, n):
+            within[stops - k] = False  # would go on into the next text
+        h = h[within[: len(h)]]
+        out.append((((h * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64), stops - lengths - np.arange(len(texts)) * (n - 1)))
+    return out
 
 
 @dataclass
@@ -47,8 +52,7 @@ class Model:
     def score(self, texts: list[str]) -> np.ndarray:
         """Log joint probability, text x language."""
         out = np.tile(self.log_prior, (len(texts), 1))
-        buckets, starts = grams(texts)
-        for h in buckets:
+        for h, starts in grams(texts):
             out += np.add.reduceat(self.log_prob[h], starts, axis=0)
         return out
 
@@ -76,7 +80,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
             for text, lang in zip(texts, langs):
                 held = counts.setdefault(lang, np.zeros(BUCKETS, "<i8"))
                 n_docs[lang] = n_docs.get(lang, 0) + 1
-                for h in grams([text])[0]:
+                for h, _ in grams([text]):
                     held += np.bincount(h, minlength=BUCKETS)
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([n_docs[x] for x in counts], pa.int64()), pa.array([x.tobytes() for x in counts.values()], pa.binary())], names=["lang", "n_docs", "counts"])
 
