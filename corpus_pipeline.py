@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,14 +25,24 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each class stays; of rows with equal doc_id one stays; null doc_ids stay."""
-    links = staged(jaccard_links(docs).where("doc_id IS NOT NULL"), "links")
-    gone = links.where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    again = links.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if again.isEmpty():
-        return left
-    return left.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    """One row of each class stays: that with the smallest doc_id, or one without doc_id if the class has no other.
+
+    Texts without words are in no class; of such rows with equal doc_id one stays, and all that have none.
+    """
+    if docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
+        gone = jaccard_links(docs).where("NOT kept").select("doc_id")
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # a doc_id does not name a row: classes of texts by hash, then the first row of each class
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumns({"_text": F.xxhash64(text), "_words": text.rlike(r"[^ \t\n\x0B\f\r]")})
+    texts = staged(keyed.where("_words").groupBy("_text").agg(F.first("text").alias("text"), F.min("doc_id").alias("first")), "texts")
+    found = jaccard_links(texts.select(F.col("_text").alias("doc_id"), "text")).select(F.col("doc_id").alias("_text"), "class_id")
+    best = F.min(F.struct(F.col("first").isNull(), "first", "_text")).alias("best")
+    best = found.join(texts.select("_text", "first"), "_text").groupBy("class_id").agg(best).select(F.col("best._text").alias("own"), F.col("best.first").alias("first"))
+    kept = keyed.where("_words").join(best, (F.col("_text") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["_text"])
+    blank = keyed.where("NOT _words")
+    parts = kept, blank.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), blank.where("doc_id IS NULL")
+    return reduce(DataFrame.unionByName, [part.select(docs.columns) for part in parts])
 
 
 def _recounted(docs: DataFrame) -> DataFrame:

@@ -72,6 +72,15 @@ def test_repeated_rows_leave_one(spark, folder):
     assert sorted(r.doc_id for r in left.collect()) == [1, 2]
 
 
+def test_ids_that_repeat_lose_only_copies(spark):
+    x, y, z, n, m = (f"{w} one two three four five six seven" for w in "xyznm")
+    rows = [(1, x), (1, y), (0, y), (2, z), (2, m), (2, m), (None, n), (None, n), (None, z), (3, ""), (3, " "), (None, ""), (None, None)]
+    left = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    assert left.columns == ["doc_id", "text"]
+    found = sorted((str(r.doc_id), (r.text or "").strip()) for r in left.collect())
+    assert found == sorted([("1", x), ("0", y), ("2", z), ("2", m), ("None", n), ("3", ""), ("None", ""), ("None", "")])
+
+
 def test_run(spark, folder):
     pieces = pipeline.run(spark, folder).collect()
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} <= set(pieces[0].asDict())
