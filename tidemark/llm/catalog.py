@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import count_edited, quarter_revisions
-from tidemark.llm import line_rules
+from tidemark.llm import line_rules, prefix_trie, sharding
 from tidemark.llm.pieces import decode, encode_sampled
 from tidemark.llm.language import identify
 from tidemark.llm.pii import KINDS, find_pii, of_kind, span_text
@@ -88,3 +88,15 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without strings of 400 bytes that repeat."""
     return removed_repeats(table(spark, folder, "documents"))
+
+
+@query("op11_jump_shards", sharding.ORACLE)
+def op11_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.shard_slots(table(spark, folder, "documents"))
+
+
+@query("op12_prefix_trie", prefix_trie.ORACLE)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the prefix trie of all conversations."""
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
