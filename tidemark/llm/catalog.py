@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.packing import pack
 from tidemark.llm.token_counts import count_edited, quarter_revisions
-from tidemark.llm import line_rules, prefix_trie, sharding
+from tidemark.llm import alignment, line_rules, prefix_trie, sharding
 from tidemark.llm.pieces import decode, encode_sampled
 from tidemark.llm.language import identify
 from tidemark.llm.pii import KINDS, find_pii, of_kind, span_text
@@ -100,3 +100,9 @@ def op11_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Every node of the prefix trie of all conversations."""
     return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups and links of the tokens of two vocabularies in every document, scored by the whole table."""
+    return alignment.alignment_scores(table(spark, folder, "documents"))
