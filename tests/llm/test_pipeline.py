@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as pipeline
-from test_suffix import brute
+from test_suffix import brute_passages
 from tidemark.llm.pii import find_spans, redacted
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -50,12 +50,11 @@ def test_stages_in_order(spark, folder):
 
     cut = pipeline.suffix_dedup(spark, once, folder)
     assert cut.columns == COLUMNS
-    expected = {r[0]: r for r in brute(list(kept.items()), 400)}
+    expected = dict(zip(kept, brute_passages(list(kept.items()), pipeline.PASSAGE_BYTES, pipeline.PASSAGE_WORDS)))
     for r in cut.collect():
-        n = 0 if r.text is None else len(r.text.encode())
-        assert n == expected[r.doc_id][1] - expected[r.doc_id][2]
+        assert (r.text or "") == expected[r.doc_id]
         assert r.text is None or r.n_chars == len(r.text)
-    assert sum(e[2] for e in expected.values()) > 0
+    assert sum(len(kept[i] or "") > len(e) for i, e in expected.items()) > 5
 
     masked = pipeline.pii(spark, cut, folder)
     assert masked.columns == COLUMNS
@@ -78,7 +77,29 @@ def test_ids_that_repeat_lose_only_copies(spark):
     left = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
     assert left.columns == ["doc_id", "text"]
     found = sorted((str(r.doc_id), (r.text or "").strip()) for r in left.collect())
-    assert found == sorted([("1", x), ("0", y), ("2", z), ("2", m), ("None", n), ("3", ""), ("None", ""), ("None", "")])
+    assert found == sorted([("1", x), ("0", y), ("2", z), ("2", m), ("None", n), ("3", ""), ("3", ""), ("None", ""), ("None", "")])
+
+
+def test_columns_of_clashing_names_and_no_rows(spark, folder):
+    names = ["left_text", "_node", "first", "own", "_text", "_words", "row", "h", "id", "none", "node", "spans", "pii", "a.b"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 40 OR doc_id >= 200")
+    wide = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    for stage in (pipeline.toxicity, pipeline.near_duplicates, pipeline.suffix_dedup, pipeline.pii):
+        plain, more = stage(spark, docs, folder), stage(spark, wide, folder)
+        assert more.columns == wide.columns
+        assert sorted(map(tuple, more.select(docs.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+        assert all(r[f"{n}"] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in more.collect() for n in names)
+        assert stage(spark, docs.where("doc_id > 999"), folder).collect() == []
+    assert pipeline.packing(spark, docs.where("doc_id > 999"), folder).collect() == []
+
+
+def test_a_third_of_the_rows_with_one_id(spark):
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(500)]
+    texts = [" ".join(rng.choice(words, 40)) for _ in range(60)]
+    rows = [(7, t) for t in texts] + [(7, texts[0])] * 20 + [(100 + i, t + " more") for i, t in enumerate(texts[:30])] + [(1, texts[5])]
+    left = pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "")
+    assert sorted(map(tuple, left.collect())) == sorted([(7, t) for i, t in enumerate(texts) if i != 5] + [(1, texts[5])])
 
 
 def test_run(spark, folder):

@@ -26,6 +26,36 @@ def brute(rows, length):
     return sorted(out, key=str)
 
 
+def brute_passages(rows, length, words, across=True):
+    """Texts without the runs of repeated strings that hold so many whole words; rows differ in doc_id or text."""
+    space = b" \t\n\x0b\x0c\r"
+    raws = [(t or "").encode() for _, t in rows]
+    seen = {}
+    for row, r in zip(rows, raws):
+        for i in range(len(r) - length + 1):
+            seen.setdefault(r[i : i + length], []).append(row)
+    left = []
+    for r in raws:
+        gone = np.zeros(len(r), bool)
+        for i in range(len(r) - length + 1):
+            held = seen[r[i : i + length]]
+            if len(set(held) if across else held) > 1:
+                gone[i : i + length] = True
+        edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0, append=0)).reshape(-1, 2).tolist()
+        out, at = b"", 0
+        for a, b in edges:
+            if words and a and r[a - 1] not in space:
+                while a < b and r[a] not in space:
+                    a += 1
+            if words and b < len(r) and r[b] not in space:
+                while b > a and r[b - 1] not in space:
+                    b -= 1
+            if len(r[a:b].split()) >= words:
+                out, at = out + r[at:a], b
+        left.append((out + r[at:]).decode("utf-8", "ignore"))
+    return left
+
+
 def corpus(rng, length):
     letters = list("abcdéß \n")
     text = lambda n: "".join(rng.choice(letters, n))
@@ -70,6 +100,27 @@ def test_kept_text_and_columns(spark):
     assert removed_repeats(df.where("doc_id > 9"), 40, 12).count() == 0
 
 
+@pytest.mark.parametrize(("crowd", "across", "words"), [(4096, True, 0), (2, True, 0), (4096, True, 9), (2, True, 9), (4096, False, 9)])
+def test_passages_across_documents(spark, crowd, across, words):
+    rows = [t for _, t in corpus(np.random.default_rng(11), 40)]
+    rows = [(i, t) for i, t in enumerate(rows)] + [(2, rows[2])] * 3 + [(None, rows[4])] * 3 + [(300, "own words here " * 9), (301, ("shared by two " * 4) * 2), (302, "x " + ("shared by two " * 4) * 2 + "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = removed_repeats(df, 40, 12, crowd, keep_text=True, across=across, words=words)
+    expected = [(i, t if t is None else e) for (i, t), e in zip(rows, brute_passages(rows, 40, words, across))]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(expected, key=str)
+    if across and words:
+        assert (300, "own words here " * 9) in expected and (302, "xy") in expected
+
+
+def test_columns_of_clashing_names(spark):
+    names = ["left_text", "_node", "node", "n_bytes", "_n_bytes", "raw", "row", "spans", "a.b"]
+    rows = [(i, "q" * i + "same" * 30, *[f"{n}{i}" for n in names]) for i in range(2)] + [(5, None, *names)]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    kept = removed_repeats(spark.createDataFrame(rows, schema), 40, 12, keep_text=True)
+    assert kept.columns == ["doc_id", "text", *names]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(0, "", *rows[0][2:]), (1, "q", *rows[1][2:]), rows[2]], key=str)
+
+
 def test_intervals_and_groups():
     assert list(intervals([2, 1, 0, 3])) == [(2, 0, 1), (1, 0, 2), (3, 3, 4), (0, 0, 4)]
     words = [b"xabcab", b"yabcad", b"xabc", b"zq"]

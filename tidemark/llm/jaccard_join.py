@@ -18,8 +18,8 @@ from tidemark.llm.common import once_per_worker
 from tidemark.llm.links import partial_links
 
 WORDS, THRESHOLD = 5, 0.8
-#: Rows of a band, the share of pairs at the threshold that must meet in a bucket, and members of a block.
-ROWS, RECALL, BLOCK = 5, 0.9999, 512
+#: Rows of a band, the share of pairs at the threshold that must meet in a bucket, members of a block and their shingles.
+ROWS, RECALL, BLOCK, SHINGLES = 5, 0.9999, 512, 4_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _COLUMNS, _CHUNK = 8192, 1 << 21
 
@@ -130,20 +130,21 @@ def shared_counts(left: list[np.ndarray], right: list[np.ndarray] | None) -> np.
     return out.astype(np.int64)
 
 
-def _candidates(nodes: DataFrame, block: int) -> DataFrame:
+def _candidates(nodes: DataFrame, block: int, shingles: int) -> DataFrame:
     """(node, pairs): which pairs of blocks each node that shares a bucket belongs to.
 
     Two nodes of a bucket always lie in a common pair of blocks. A block is a group of nodes that lead to the same
-    smallest node in at most two steps over buckets, cut to ``block`` members, so nodes alike mostly share one block.
+    smallest node in at most two steps over buckets, dealt into blocks of about ``block`` members or ``shingles`` shingles,
+    whichever are more blocks, so nodes alike mostly share one block and long texts share it with few.
     """
-    rows = staged(nodes.select("node", F.explode("bands").alias("key")), "bands")
+    rows = staged(nodes.select("node", "n_grams", F.explode("bands").alias("key")), "bands")
     leaders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1").select("key", "leader")
-    member = staged(rows.join(leaders, "key").select("key", "node", "leader"), "members")
+    member = staged(rows.join(leaders, "key").select("key", "node", "n_grams", "leader"), "members")
     near = member.groupBy("node").agg(F.min("leader").alias("near"))
     further = member.join(near, "node").groupBy("key").agg(F.min("near").alias("far"))
-    groups = member.select("key", "node").join(further, "key").groupBy("node").agg(F.min("far").alias("grp"))
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    blocks = groups.join(sizes, "grp").select("node", F.xxhash64("grp", links.block_of(F.col("node"), F.col("size"), block)).alias("block"))
+    groups = member.select("key", "node", "n_grams").join(further, "key").groupBy("node").agg(F.min("far").alias("grp"), F.max("n_grams").alias("n_grams"))
+    sizes = groups.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n_grams") / shingles)).alias("blocks"))
+    blocks = groups.join(sizes, "grp").select("node", F.xxhash64("grp", F.pmod(F.xxhash64("node"), "blocks")).alias("block"))
     blocks = staged(blocks, "blocks")
     met = member.select("key", "node").join(blocks, "node").select("key", "block").distinct()
     left, right = met.select("key", F.col("block").alias("x")), met.select("key", F.col("block").alias("y"))
@@ -154,30 +155,30 @@ def _candidates(nodes: DataFrame, block: int) -> DataFrame:
     return blocks.join(sides, "block").select("node", "pairs")
 
 
-def jaccard_links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_links (documents at or above the threshold), class_id (smallest doc_id of the class), kept (doc_id = class_id).
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and what names a text: two hashes and the length in bytes."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.hash(text).alias("g"), F.octet_length(text).alias("b"))
 
-    Words are runs of characters other than ASCII white space, as they stand; a text of fewer words than ``words`` is one
-    shingle; null, empty and blank texts link with nothing. Texts with equal shingle sets are one node, collapsed before
-    anything is compared; they count as linked to each other. Candidates share a band; every pair of blocks in which
-    candidates meet is compared in full on the whole shingle sets, each pair of nodes in one task only, so links found
-    are exact. A task sees two blocks at most. Rows with equal doc_id count one by one; a null doc_id is its own class
-    and not kept (null). Extra columns are ignored; an empty table gives no rows.
-    """
+
+def _signed_links(docs: DataFrame, words: int, threshold: float, rows: int, recall: float, block: int, shingles: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, h, g, b, node) of every row, and the partial links of the nodes: texts with equal shingle sets."""
     bands = bands_for(threshold, rows, recall)
     exact = Fraction(str(threshold))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column(1).to_pylist(), words)
+            sets = shingle_sets(batch.column("text").to_pylist(), words)
             keys = [band_keys(s, bands, rows) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(map(_digest, sets)), pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
+            own = [batch.column(c) for c in ("doc_id", "h", "g", "b")]
+            made = [pa.array(list(map(_digest, sets)), pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*own, *made], names=["doc_id", "h", "g", "b", "node", "n_grams", "bands"])
 
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = staged(texts.mapInArrow(sign, "doc_id long, node binary, bands array<long>"), "signed")
-    nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    texts = _keyed(docs)
+    signed = staged(texts.mapInArrow(sign, "doc_id long, h long, g int, b int, node binary, n_grams long, bands array<long>"), "signed")
+    nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.first("bands").alias("bands"), F.first("n_grams").alias("n_grams"), F.min(F.struct("h", "g", "b")).alias("text"), F.count(F.lit(1)).alias("copies"))
     nodes = staged(nodes, "nodes")
-    chosen = nodes.drop("bands").join(_candidates(nodes, block), "node")
+    chosen = nodes.select("node", "copies", "text.*").join(_candidates(nodes, block, shingles), "node")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +186,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, threshold: float = THRESH
             held = 0
             for text, node, copies, pairs in zip(*(batch.column(c).to_pylist() for c in ("text", "node", "copies", "pairs"))):
                 grams = shingle_sets([text], words)[0]
-                if _digest(grams) == node:  # else another row with this doc_id
+                if _digest(grams) == node:  # else another text of these hashes
                     data = grams.tobytes()
                     out += [(p["pair"], p["side"], node, copies, data) for p in pairs]
                     held += len(data) * len(pairs)
@@ -215,12 +216,50 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, threshold: float = THRESH
         keys = rows_of[0] + rows_of[1]
         return partial_links([k[1] for k in keys], np.array([found[k][0] for k in keys]), left, right)
 
-    joined = texts.join(chosen.withColumnRenamed("first", "doc"), F.col("doc_id").eqNullSafe(F.col("doc"))).select("text", "node", "copies", "pairs")
-    spreads = joined.mapInArrow(spread, "pair long, side int, node binary, copies long, grams binary")
-    linked = staged(links.map_groups(spreads, "pair", compare, "node binary, n_links long, root binary"), "linked")
+    # copies of a text are one row before it is joined
+    once = texts.groupBy("h", "g", "b").agg(F.first("text").alias("text"))
+    spreads = once.join(chosen, ["h", "g", "b"]).select("text", "node", "copies", "pairs").mapInArrow(spread, "pair long, side int, node binary, copies long, grams binary")
+    return signed.drop("bands", "n_grams"), staged(links.map_groups(spreads, "pair", compare, "node binary, n_links long, root binary"), "linked")
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, block: int = BLOCK, shingles: int = SHINGLES) -> DataFrame:
+    """doc_id, n_links (documents at or above the threshold), class_id (smallest doc_id of the class), kept (doc_id = class_id).
+
+    Words are runs of characters other than ASCII white space, as they stand; a text of fewer words than ``words`` is one
+    shingle; null, empty and blank texts link with nothing. Texts with equal shingle sets are one node, collapsed before
+    anything is compared; they count as linked to each other. Candidates share a band; every pair of blocks in which
+    candidates meet is compared in full on the whole shingle sets, each pair of nodes in one task only, so links found
+    are exact. A task sees two blocks at most, bounded by members and by shingles; m different near-copies of one text are
+    compared in (m / block)^2 / 2 pairs of blocks, as exact counts need. Rows with equal doc_id count one by one; a null
+    doc_id is its own class and not kept (null). Extra columns are ignored; an empty table gives no rows.
+    """
+    signed, linked = _signed_links(docs, words, threshold, rows, recall, block, shingles)
     return links.classes(signed.select("doc_id", "node"), "doc_id", linked).withColumnRenamed("component", "class_id")
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, threshold: float = THRESHOLD, rows: int = ROWS, recall: float = RECALL, block: int = BLOCK, shingles: int = SHINGLES) -> DataFrame:
+    """The rows of ``docs`` with one row of each class of linked texts: that with the smallest doc_id, of the smallest text key.
+
+    A row is known by doc_id and text, so a doc_id that repeats loses only copies. A row without doc_id stays if its class
+    has no other; of equal rows one stays. Texts without words are in no class: all such rows stay. All columns are kept,
+    whatever their names; an empty table gives no rows.
+    """
+    signed, linked = _signed_links(docs, words, threshold, rows, recall, block, shingles)
+    number = F.coalesce("doc_id", F.lit(0).cast("long"))
+    item = F.struct(F.col("doc_id").isNull().alias("none"), number.alias("id"), "h", "g", "b").alias("item")
+    members = signed.where("node IS NOT NULL").select(item, "node").distinct()
+    best = links.classes(members, "item", linked).where("kept").select("item.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows_ = docs.select(
+        row.alias("row"), F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"),
+        F.xxhash64(text).alias("h"), F.hash(text).alias("g"), F.octet_length(text).alias("b"), text.rlike(r"[^ \t\n\x0B\f\r]").alias("worded"),
+    )
+    key = ["none", "id", "h", "g", "b"]
+    kept = rows_.where("worded").join(best, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row")).select("row")
+    return kept.unionByName(rows_.where("NOT worded").select("row")).select(*[F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def _spread_batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [()] * 5
     types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary()]

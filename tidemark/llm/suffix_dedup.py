@@ -144,15 +144,21 @@ def repeat_groups(lefts: list[bytes], rights: list[bytes], least: int) -> Iterat
                 yield left, right, members[p : q + 1]
 
 
-def scan(table: pa.Table, length: int, gram: int) -> dict[str, list] | None:
-    """For the contexts of one gram: the stretches, relative to the gram, that maximal repeat groups cover."""
-    rows = {c: (l, r) for c, l, r in zip(*(table.column(n).to_pylist() for n in ("ctx", "left", "right")))}
+def scan(table: pa.Table, length: int, gram: int, across: bool) -> dict[str, list] | None:
+    """For the contexts of one gram: the stretches, relative to the gram, that maximal repeat groups cover.
+
+    With ``across`` only groups count that occur in two documents; ``only`` names a context's document if it has one.
+    """
+    rows = {c: (l, r, o) for c, l, r, o in zip(*(table.column(n).to_pylist() for n in ("ctx", "left", "right", "only")))}
     if len(rows) < 2:
         return None
     keys = list(rows)
+    owners = [rows[c][2] for c in keys]
     reach = length - gram
     cover = np.zeros((len(keys), 2 * reach + gram + 1), np.int32)
     for left, right, members in repeat_groups([rows[c][0] for c in keys], [rows[c][1] for c in keys], reach):
+        if across and None not in (held := {owners[m] for m in members}) and len(held) == 1:
+            continue
         cover[members, reach - left] += 1
         cover[members, reach + gram + right] -= 1
     out: dict[str, list] = {"gram": [], "ctx": [], "spans": []}
@@ -168,8 +174,8 @@ def scan(table: pa.Table, length: int, gram: int) -> dict[str, list] | None:
 _SPANS = "gram long, ctx long, spans array<struct<lo:long,hi:long>>"
 
 
-def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """(node, n_bytes, raw) of each text that shares a gram, and (node, spans) with the byte stretches to remove."""
+def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int, across: bool) -> tuple[DataFrame, DataFrame]:
+    """(node, n_bytes, raw) of each text that shares a gram, and (node, n_bytes, spans) with the byte stretches to remove."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "node", "n_bytes", "gram", "ctx", "pos", "lo", "hi"]
@@ -186,17 +192,23 @@ def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple
     # written first, so that adaptive execution can split a gram that many places share
     often = staged(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "often")
     shared = staged(found.join(often, "gram", "left_semi"), "shared")
-    rep = F.min(F.struct("doc_id", "node", "pos", "lo", "hi")).alias("rep")
-    contexts = staged(shared.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), rep), "contexts")
+    place = F.struct("doc_id", "node", "n_bytes", "pos", "lo", "hi")
+    doc = F.struct("doc_id", "node", "n_bytes")
+    contexts = shared.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("rep"), F.max(doc).alias("far"))
+    # the one document a context occurs in; null if it occurs in several
+    one_doc = F.struct("rep.doc_id", "rep.node", "rep.n_bytes").eqNullSafe(F.col("far"))
+    only = F.when(one_doc, F.concat_ws("/", "far.doc_id", "far.node", "far.n_bytes"))
+    contexts = contexts.withColumn("only", only).withColumn("repeats", (F.col("n") > 1) & (F.col("only").isNull() if across else F.lit(True)))
+    contexts = staged(contexts.drop("far"), "contexts")
     # A context that occurs twice repeats as a whole: it is a leaf of its own, however many copies it has.
-    whole = contexts.where("n > 1").select("gram", "ctx", F.array(F.struct(F.col("rep.lo").alias("lo"), (F.col("rep.hi") + length).alias("hi"))).alias("spans"))
-    sizes = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n_contexts"), F.min("n").alias("fewest")).where("n_contexts > 1 AND fewest = 1")
-    todo = contexts.join(sizes, "gram").select("gram", "ctx", "n", (F.col("n_contexts") > crowd).alias("crowded"), "rep.*")
-    wanted = todo.groupBy("node", "doc_id").agg(F.collect_list(F.struct("gram", "ctx", "n", "crowded", "pos", "lo", "hi")).alias("wanted"))
-    firsts = shared.groupBy("node").agg(F.min(F.struct("doc_id")).alias("first")).select(F.col("node").alias("own"), F.col("first.doc_id").alias("doc"))
+    whole = contexts.where("repeats").select("gram", "ctx", F.array(F.struct(F.col("rep.lo").alias("lo"), (F.col("rep.hi") + length).alias("hi"))).alias("spans"))
+    sizes = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n_contexts"), F.bool_and("repeats").alias("done")).where("n_contexts > 1 AND NOT done")
+    todo = contexts.join(sizes, "gram").select("gram", "ctx", "n", "only", (F.col("n_contexts") > crowd).alias("crowded"), "rep.*")
+    wanted = todo.groupBy("node", "n_bytes", "doc_id").agg(F.collect_list(F.struct("gram", "ctx", "n", "only", "crowded", "pos", "lo", "hi")).alias("wanted"))
+    firsts = shared.groupBy("node", "n_bytes").agg(F.min(F.struct("doc_id")).alias("first")).select("node", "n_bytes", F.col("first.doc_id").alias("doc"))
     # The smallest doc_id of a text stands for its copies, in its contexts as well.
-    firsts = firsts.join(wanted.select(F.col("node").alias("wanted_node"), "wanted"), F.col("own") == F.col("wanted_node"), "left").drop("wanted_node")
-    texts = long.join(firsts, (F.col("node") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("doc")))
+    firsts = firsts.join(wanted.select("node", "n_bytes", "wanted"), ["node", "n_bytes"], "left")
+    texts = long.join(firsts, ["node", "n_bytes"]).where(F.col("doc_id").eqNullSafe(F.col("doc")))
     # several rows may have that doc_id, or all of them none
     texts = staged(texts.select("node", "n_bytes", "raw", "wanted").dropDuplicates(["node", "n_bytes"]), "texts")
 
@@ -209,8 +221,8 @@ def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple
                 if rows:
                     cuts = [(w["pos"], w["pos"] + w["lo"], w["pos"] + w["hi"] + length) for w in rows]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([w["gram"] for w in rows], pa.int64()), pa.array([w["ctx"] for w in rows], pa.int64()), pa.array([data[a:p][::-1] for p, a, _ in cuts], pa.binary()), pa.array([data[p + gram : b] for p, _, b in cuts], pa.binary())],
-                        names=["gram", "ctx", "left", "right"],
+                        [pa.array([w["gram"] for w in rows], pa.int64()), pa.array([w["ctx"] for w in rows], pa.int64()), pa.array([data[a:p][::-1] for p, a, _ in cuts], pa.binary()), pa.array([data[p + gram : b] for p, _, b in cuts], pa.binary()), pa.array([w["only"] for w in rows], pa.string())],
+                        names=["gram", "ctx", "left", "right", "only"],
                     )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,18 +234,19 @@ def _spans_by_text(long: DataFrame, length: int, gram: int, crowd: int) -> tuple
                         sums = _sums(np.frombuffer(raw.as_py()[first : last + length], np.uint8))
                         at = np.arange(last - first + 1)
                         same = [pa.repeat(pa.scalar(w[c], pa.int64()), len(at)) for c in ("gram", "ctx", "n")]
-                        yield pa.RecordBatch.from_arrays([*same, pa.array(_stretch(sums, at, at + length).view(np.int64)), pa.array(at + w["lo"])], names=["gram", "ctx", "n", "window", "at"])
+                        yield pa.RecordBatch.from_arrays([*same, pa.repeat(pa.scalar(w["only"], pa.string()), len(at)), pa.array(_stretch(sums, at, at + length).view(np.int64)), pa.array(at + w["lo"])], names=["gram", "ctx", "n", "only", "window", "at"])
 
-    cut = texts.mapInArrow(_together(contents), "gram long, ctx long, left binary, right binary")
-    scanned = links.map_groups(cut, "gram", lambda table: scan(table, length, gram), _SPANS)
-    one_by_one = texts.where(F.exists("wanted", lambda w: w["crowded"])).mapInArrow(_together(windows), "gram long, ctx long, n long, window long, at long")
-    twice = one_by_one.groupBy("gram", "window").agg(F.sum("n").alias("times")).where("times > 1").select("gram", "window")
+    cut = texts.mapInArrow(_together(contents), "gram long, ctx long, left binary, right binary, only string")
+    scanned = links.map_groups(cut, "gram", lambda table: scan(table, length, gram, across), _SPANS)
+    one_by_one = texts.where(F.exists("wanted", lambda w: w["crowded"])).mapInArrow(_together(windows), "gram long, ctx long, n long, only string, window long, at long")
+    counted = one_by_one.groupBy("gram", "window").agg(F.sum("n").alias("times"), F.bool_or(F.col("only").isNull()).alias("several"), F.min("only").alias("least"), F.max("only").alias("most"))
+    twice = counted.where("several OR least < most" if across else "times > 1").select("gram", "window")
     span = F.struct(F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
     crowded = one_by_one.join(twice, ["gram", "window"]).groupBy("gram", "ctx").agg(F.collect_set(span).alias("spans"))
     spans = staged(whole.unionByName(scanned).unionByName(crowded), "spans")
-    placed = shared.select("gram", "ctx", "node", "pos").join(spans, ["gram", "ctx"])
+    placed = shared.select("gram", "ctx", "node", "n_bytes", "pos").join(spans, ["gram", "ctx"])
     absolute = F.transform("spans", lambda s: F.struct((s["lo"] + F.col("pos")).alias("lo"), (s["hi"] + F.col("pos")).alias("hi")))
-    by_text = placed.select("node", F.explode(absolute).alias("span")).groupBy("node").agg(F.collect_set("span").alias("spans"))
+    by_text = placed.select("node", "n_bytes", F.explode(absolute).alias("span")).groupBy("node", "n_bytes").agg(F.collect_set("span").alias("spans"))
     return texts.drop("wanted"), by_text
 
 
@@ -264,39 +277,66 @@ def merged(spans: list[dict]) -> np.ndarray:
     return np.stack([pairs[new, 0], top[np.append(new[1:], len(pairs)) - 1]], axis=1)
 
 
-def removed_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, keep_text: bool = False) -> DataFrame:
+_SPACE = b" \t\n\x0b\x0c\r"
+
+
+def whole_words(raw: bytes, runs: np.ndarray, least: int) -> np.ndarray:
+    """The runs, cut back to whole words (ASCII white space between them), that hold ``least`` words."""
+    out = []
+    for a, b in runs.tolist():
+        if a and raw[a - 1] not in _SPACE:
+            while a < b and raw[a] not in _SPACE:
+                a += 1
+        if b < len(raw) and raw[b] not in _SPACE:
+            while b > a and raw[b - 1] not in _SPACE:
+                b -= 1
+        if len(raw[a:b].split()) >= least:
+            out.append((a, b))
+    return np.array(out, np.int64).reshape(-1, 2)
+
+
+def removed_repeats(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, keep_text: bool = False, across: bool = False, words: int = 0
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and with ``keep_text`` all columns of ``docs``, text being what is left).
 
     Every byte covered by a string of ``length`` bytes that also starts elsewhere, in the same document or another, is
-    removed; strings are judged on the input. Texts are their UTF-8 bytes; null is empty; shorter texts lose nothing;
-    kept text drops the remains of characters that were cut. Equal texts are one node after the first shuffle: a
+    removed, every occurrence alike; strings are judged on the input. With ``across`` a string counts only if it occurs in
+    two documents (rows that differ in doc_id or text), and with ``words`` a maximal run only if it holds that many whole
+    words, to which it is cut back. Texts are their UTF-8 bytes; null is empty; shorter texts lose nothing; kept text drops
+    the remains of characters that were cut. Equal texts are one node (64-bit hash and length) after the first shuffle: a
     context and its copies meet as one row with a count, and one row of a text is cut, also where doc_ids repeat or are
     null; every row of ``docs`` comes out once. The contexts of a gram are one task's work up to ``crowd``;
     beyond that every window is counted on its own, with partial counts, so no group grows with the corpus. A text's
-    spans are as many as its own windows at most. Extra columns are ignored; an empty table gives no rows.
+    spans are as many as its own windows at most. Extra columns, whatever their names, are carried by ``keep_text`` and
+    else ignored; an empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    base = docs.withColumns({"_node": F.xxhash64(text), "_raw": text.cast("binary")}).withColumn("_n_bytes", F.length("_raw").cast("long"))
-    long = base.where(F.col("_n_bytes") >= length).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_node").alias("node"), F.col("_n_bytes").alias("n_bytes"), F.col("_raw").alias("raw"))
-    texts, spans = _spans_by_text(long, length, gram, crowd)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    base = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), text.cast("binary").alias("raw"))
+    base = base.withColumn("n_bytes", F.length("raw").cast("long"))
+    long = base.where(F.col("n_bytes") >= length).select("doc_id", "node", "n_bytes", "raw")
+    texts, spans = _spans_by_text(long, length, gram, crowd, across)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for node, n_bytes, raw, own in zip(*(batch.column(c).to_pylist() for c in ("node", "n_bytes", "raw", "spans"))):
                 runs = merged(own)
+                if words:
+                    runs = whole_words(raw, runs, words)
                 left = b"".join(raw[a:b] for a, b in zip([0, *runs[:, 1].tolist()], [*runs[:, 0].tolist(), len(raw)]))
                 rows.append((node, n_bytes, int((runs[:, 1] - runs[:, 0]).sum()), len(runs), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore") if keep_text else None))
             columns = list(zip(*rows)) if rows else [()] * 6
             types = [pa.int64()] * 4 + [pa.string()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["_node", "_n_bytes", "n_removed", "n_spans", "sha", "left_text"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["node", "n_bytes", "n_removed", "n_spans", "sha", "left_text"])
 
-    schema = "_node long, _n_bytes long, n_removed long, n_spans long, sha string, left_text string"
-    results = staged(texts.join(spans, "node").mapInArrow(cut, schema), "cut")
+    schema = "node long, n_bytes long, n_removed long, n_spans long, sha string, left_text string"
+    results = staged(texts.join(spans, ["node", "n_bytes"]).mapInArrow(cut, schema), "cut")
     if keep_text:
-        joined = base.drop("_raw").join(results.select("_node", "_n_bytes", "left_text"), ["_node", "_n_bytes"], "left")
-        return joined.withColumn("text", F.coalesce("left_text", "text")).select(docs.columns)
-    plain = base.select("doc_id", "_node", "_n_bytes", F.sha2("_raw", 256).alias("whole_sha"))
-    joined = plain.join(results.drop("left_text"), ["_node", "_n_bytes"], "left")
+        joined = base.select("row", "node", "n_bytes").join(results.select("node", "n_bytes", "left_text"), ["node", "n_bytes"], "left")
+        return joined.select(*[F.coalesce("left_text", "row.text").alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
+    plain = base.select("doc_id", "node", "n_bytes", F.sha2("raw", 256).alias("whole_sha"))
+    joined = plain.join(results.drop("left_text"), ["node", "n_bytes"], "left")
     zero = F.lit(0).cast("long")
-    return joined.select("doc_id", F.col("_n_bytes").alias("n_bytes"), F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("sha", "whole_sha").alias("kept_sha256"))
+    return joined.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("sha", "whole_sha").alias("kept_sha256"))
