@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.stage import staged
-from tidemark.llm.jaccard_join import jaccard_links
+from tidemark.llm.jaccard_join import keep_one
 from tidemark.llm.packing import pack
 from tidemark.llm.pii import redact
 from tidemark.llm.suffix_dedup import removed_repeats
@@ -16,6 +14,9 @@ from tidemark.llm.toxicity import THRESHOLD, fit, scorer
 
 #: SQL cannot express the stages; tests hold each against a brute-force version.
 ORACLE_SQL = None
+#: A shared passage has at least so many whole words; strings of so many bytes (of which so many are hashed) are looked for,
+#: as 51 words of prose with the spaces between them are longer.
+PASSAGE_WORDS, PASSAGE_BYTES, PASSAGE_GRAM = 51, 200, 80
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,24 +26,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class stays: that with the smallest doc_id, or one without doc_id if the class has no other.
-
-    Texts without words are in no class; of such rows with equal doc_id one stays, and all that have none.
-    """
-    if docs.groupBy("doc_id").count().where("doc_id IS NULL OR count > 1").isEmpty():
-        gone = jaccard_links(docs).where("NOT kept").select("doc_id")
-        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
-    # a doc_id does not name a row: classes of texts by hash, then the first row of each class
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumns({"_text": F.xxhash64(text), "_words": text.rlike(r"[^ \t\n\x0B\f\r]")})
-    texts = staged(keyed.where("_words").groupBy("_text").agg(F.first("text").alias("text"), F.min("doc_id").alias("first")), "texts")
-    found = jaccard_links(texts.select(F.col("_text").alias("doc_id"), "text")).select(F.col("doc_id").alias("_text"), "class_id")
-    best = F.min(F.struct(F.col("first").isNull(), "first", "_text")).alias("best")
-    best = found.join(texts.select("_text", "first"), "_text").groupBy("class_id").agg(best).select(F.col("best._text").alias("own"), F.col("best.first").alias("first"))
-    kept = keyed.where("_words").join(best, (F.col("_text") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("first"))).dropDuplicates(["_text"])
-    blank = keyed.where("NOT _words")
-    parts = kept, blank.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]), blank.where("doc_id IS NULL")
-    return reduce(DataFrame.unionByName, [part.select(docs.columns) for part in parts])
+    """One row of each class of texts alike stays; texts without words are in no class and stay."""
+    return keep_one(docs)
 
 
 def _recounted(docs: DataFrame) -> DataFrame:
@@ -53,8 +38,13 @@ def _recounted(docs: DataFrame) -> DataFrame:
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays, without the bytes of strings of 400 bytes that repeat."""
-    return _recounted(removed_repeats(docs, keep_text=True))
+    """Every document stays, without the passages of more than 50 words that two documents share.
+
+    All occurrences go, the first one too: near-copies have left one document each before this stage, so what different
+    documents still share at that length is licence, boilerplate, quotation or a benchmark's text, none of which is the
+    first document's own. Repeats inside one document, and passages of up to 50 words, stay as they are.
+    """
+    return _recounted(removed_repeats(docs, length=PASSAGE_BYTES, gram=PASSAGE_GRAM, keep_text=True, across=True, words=PASSAGE_WORDS))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
