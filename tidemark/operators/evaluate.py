@@ -118,6 +118,13 @@ def confusion_counts(scores: DataFrame, threshold: float = 0.5, by: Sequence[str
     )
 
 
+def ledger_counts(ledger: DataFrame, threshold: float = 0.5, by: Sequence[str] = ("model",)) -> DataFrame:
+    """The counts of ``confusion_counts`` from a ledger."""
+    flagged = F.col("p") >= F.lit(float(threshold))
+    counts = {"tp": (flagged, "pos"), "fp": (flagged, "neg"), "fn": (~flagged, "pos"), "tn": (~flagged, "neg")}
+    return ledger.groupBy(*by).agg(*[F.sum(F.when(on, F.col(n)).otherwise(0)).alias(c) for c, (on, n) in counts.items()])
+
+
 def confusion_matrix(scores: DataFrame, threshold: float = 0.5, by: Sequence[str] = ("model",)) -> DataFrame:
     """Rows per (y, pred) and their share of the actual class."""
     pred = (F.col("p") >= F.lit(float(threshold))).cast("int")
@@ -156,11 +163,11 @@ def metrics_from_counts(counts: DataFrame, by: Sequence[str] = ("model",)) -> Da
 def evaluate(
     scores: DataFrame, threshold: float = 0.5, by: Sequence[str] = ("model",), ledger: DataFrame | None = None
 ) -> DataFrame:
-    """All metrics per model at one threshold, with both areas."""
+    """All metrics per model at one threshold, with both areas, from one scan of the scores."""
     ledger = staged(score_ledger(scores, by), "ledger") if ledger is None else ledger
     # one row per model in each table
     return (
-        metrics_from_counts(confusion_counts(scores, threshold, by), by)
+        metrics_from_counts(ledger_counts(ledger, threshold, by), by)
         .join(roc_auc(ledger, by), list(by))
         .join(average_precision(ledger, by), list(by))
         .withColumn("threshold", F.lit(float(threshold)))

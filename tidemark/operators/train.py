@@ -30,6 +30,8 @@ from tidemark.functions.shape import sql_name, sql_text
 from tidemark.functions.stage import staged
 from tidemark.operators import features as fe
 from tidemark.operators import prep
+from tidemark.operators.batch_fit import LogisticBatch, Penalty
+from tidemark.operators.boost import BoostedTreesClassifier, Boosting, Setting
 from tidemark.operators.balance import smote_tomek, with_weights
 from tidemark.operators.clean import binary_target, drop_null_target, fix_total
 from tidemark.operators.evaluate import average_precision, best_threshold, evaluate, roc_auc, score_ledger
@@ -64,11 +66,16 @@ REGISTRY = {
         },
         {},
     ),
-    "logistic_regression": (LogisticRegression, {"max_iter": "maxIter", "reg_lambda": "regParam", "reg_alpha": "elasticNetParam"}, {}),
+    "boosted": (BoostedTreesClassifier, {name: name for name in Setting.__dataclass_fields__}, {}),
+    "logistic_regression": (LogisticRegression, {"max_iter": "maxIter", "reg_lambda": "regParam", "reg_alpha": "elasticNetParam", "tol": "tol"}, {}),
 }
 
 #: Spark jobs of a search or cross-validation that are submitted side by side.
 PARALLEL = 4
+#: Algorithms whose folds and trials are fitted in shared passes.
+BATCHED = ("boosted", "logistic_regression")
+#: A search of boosted trees keeps the best third of its trials after so many trees.
+RUNGS, KEPT = (25, 75), 3
 
 
 @dataclass(frozen=True)
@@ -375,12 +382,43 @@ def out_of_fold(df: DataFrame, roles: Roles, spec: ModelSpec, k: int = 5, **colu
     return score_folds(prepare_folds(df, roles, spec, k, **columns), roles, spec)
 
 
+def fold_rows(folds: Sequence[Fold], roles: Roles) -> DataFrame:
+    """(fold, name, y, weight, held, x): the rows each fold learns from, and those it holds back."""
+    parts = []
+    for i, fold in enumerate(folds):
+        ready, held = fold.prepared.ready, fold.held
+        # rows made by resampling have no key; the table is written, so their numbers stay
+        name = F.col(roles.key) if roles.key in ready.columns else F.monotonically_increasing_id()
+        weight = F.col("weight").cast("double") if fold.prepared.weighted else F.lit(1.0)
+        x = vector_to_array("features").alias("x")
+        same = lambda name, y, weight, held: [F.lit(i).alias("fold"), name.cast("string").alias("name"), F.col(y).cast("double").alias("y"), weight.alias("weight"), F.lit(held).alias("held"), x]  # noqa: E731, B023
+        parts += [ready.select(*same(name, "label", weight, False)), held.select(*same(F.col(roles.key), "y", F.lit(1.0), True))]
+    return staged(reduce(DataFrame.unionByName, parts), "fold-rows")
+
+
 def score_folds(folds: Sequence[Fold], roles: Roles, spec: ModelSpec) -> DataFrame:
+    """(key, fold, model, y, p) of every row by the model of the other folds; all folds at once where passes can be shared."""
+    if spec.algorithm in BATCHED:
+        rows = fold_rows(folds, roles)
+        if spec.algorithm == "boosted":
+            setting = Setting.of({"random_state": spec.seed, **spec.params})
+            boosting = Boosting(rows, [setting])
+            boosting.run(setting.n_estimators, [0])
+            scored = boosting.held_scores([0])
+        else:
+            scored = LogisticBatch(rows, [_penalty(spec.params)], int(spec.params.get("max_iter", 100))).fit().held_scores()
+        key = F.col("name").cast(folds[0].held.schema[roles.key].dataType).alias(roles.key)
+        y = F.col("y").cast(folds[0].held.schema["y"].dataType).alias("y")
+        return staged(scored.select(key, "fold", F.lit(spec.algorithm).alias("model"), y, "p"), "oof")
     with ThreadPoolExecutor(PARALLEL) as pool:
         parts = list(pool.map(lambda f: score_fold(f, roles, spec), folds))
     return staged(reduce(DataFrame.unionByName, parts), "oof")
 
 
+def _penalty(params: Mapping[str, object]) -> Penalty:
+    return Penalty(float(params.get("reg_lambda", 0.0)), float(params.get("reg_alpha", 0.0)))
+
+
 def fold_metrics(oof: DataFrame, threshold: float = 0.5) -> DataFrame:
     """One row per fold with all metrics."""
     return evaluate(oof, threshold, ["fold"])
@@ -419,6 +457,64 @@ class SearchResult:
     best_threshold: float
 
 
+def objectives(oof: DataFrame, by: Sequence[str], metric: str, optimise_threshold: bool) -> DataFrame:
+    """(by, value, threshold): the best F1 with its threshold, or the mean over the folds of a metric."""
+    if optimise_threshold:
+        top = best_threshold(score_ledger(oof, by), by=by)
+        return top.select(*by, F.col("score").alias("value"), "threshold")
+    each = [*by, "fold"]
+    if metric == "auprc":
+        found = average_precision(score_ledger(oof, each), each)
+    elif metric == "roc_auc":
+        found = roc_auc(score_ledger(oof, each), each)
+    else:
+        found = evaluate(oof, 0.5, each).withColumnRenamed("f1_score", metric)
+    return found.groupBy(*by).agg(F.avg(metric).alias("value")).withColumn("threshold", F.lit(0.5))
+
+
+@dataclass(frozen=True)
+class Trial:
+    number: int
+    spec: ModelSpec
+    params: Mapping[str, object]
+    value: float
+    threshold: float
+    state: str = "COMPLETE"
+
+
+def _boosted_trials(folds: Sequence[Fold], roles: Roles, drawn: Sequence[tuple[int, ModelSpec, dict]], judge, rungs: Sequence[int]) -> list[Trial]:
+    """All trials and folds together; after each rung the best third of the unfinished trials goes on."""
+    settings = [Setting.of({"random_state": spec.seed, **spec.params}) for _, spec, _ in drawn]
+    boosting = Boosting(fold_rows(folds, roles), settings)
+    alive, done = list(range(len(drawn))), {}
+
+    def judged(state: str, chosen: Sequence[int], found: Mapping[int, tuple[float, float]]) -> None:
+        for i in chosen:
+            number, spec, params = drawn[i]
+            done[i] = Trial(number, spec, params, *found[i], state)
+
+    for rung in rungs:
+        boosting.run(rung, alive)
+        open_ = [i for i in alive if settings[i].n_estimators > rung]
+        if len(open_) < 2:
+            continue
+        found = judge(boosting.held_scores(alive))
+        ranked = sorted(open_, key=lambda i: (-found[i][0], drawn[i][0]))
+        gone = set(ranked[-(-len(ranked) // KEPT) :])
+        judged("PRUNED", sorted(gone), found)
+        alive = [i for i in alive if i not in gone]
+    boosting.run(max(settings[i].n_estimators for i in alive), alive)
+    judged("COMPLETE", alive, judge(boosting.held_scores(alive)))
+    return list(done.values())
+
+
+def _logistic_trials(folds: Sequence[Fold], roles: Roles, drawn: Sequence[tuple[int, ModelSpec, dict]], judge) -> list[Trial]:
+    """All trials and folds in the same passes; as many passes as the most that a trial asks for."""
+    passes = max(int(spec.params.get("max_iter", 100)) for _, spec, _ in drawn)
+    found = judge(LogisticBatch(fold_rows(folds, roles), [_penalty(spec.params) for _, spec, _ in drawn], passes).fit().held_scores())
+    return [Trial(number, spec, params, *found[i]) for i, (number, spec, params) in enumerate(drawn)]
+
+
 def search(
     train: DataFrame,
     roles: Roles,
@@ -430,57 +526,66 @@ def search(
     optimise_threshold: bool = True,
     patience: int | None = None,
     algorithms: Sequence[str] | None = None,
+    rungs: Sequence[int] = RUNGS,
     **columns,
 ) -> SearchResult:
     """Seeded random search.
 
     The objective is the best F1 over the out-of-fold scores, with the
     threshold that gives it, or the mean over the folds of 'f1', 'roc_auc' or
-    'auprc'. It stops after ``patience`` trials without gain. Folds are
-    prepared once; ``PARALLEL`` trials run side by side.
+    'auprc'. Folds are prepared once. Trials of boosted trees and of logistic
+    regression are fitted together, all folds of all trials in each pass;
+    boosted trials that are not among the best third after a rung end there
+    ('PRUNED', with the value they had). Other algorithms go trial by trial,
+    ``PARALLEL`` side by side, until ``patience`` trials brought no gain; trials
+    already under way then are listed as 'SURPLUS' and not chosen.
     """
     folds = prepare_folds(train, roles, spec, k, **columns)
-
-    def run(number: int) -> tuple:
-        names = list(algorithms or [spec.algorithm])
+    names = list(algorithms or [spec.algorithm])
+    drawn: dict[str, list[tuple[int, ModelSpec, dict]]] = {}
+    for number in range(n_trials):
         algorithm = names[int(draw(spec.seed, number, "algorithm") * len(names))]
         params = draw_params(algorithm, space, spec.seed, number)
-        trial = replace(spec, algorithm=algorithm, params={**spec.params, **params})
-        oof = staged(reduce(DataFrame.unionByName, [score_fold(f, roles, trial) for f in folds]), "oof")
-        threshold = 0.5
-        if optimise_threshold:
-            top = best_threshold(score_ledger(oof)).first()
-            value, threshold = top.score, top.threshold
-        elif metric == "auprc":
-            value = average_precision(score_ledger(oof, ["fold"]), ["fold"]).agg(F.avg("auprc")).first()[0]
-        elif metric == "roc_auc":
-            value = roc_auc(score_ledger(oof, ["fold"]), ["fold"]).agg(F.avg("roc_auc")).first()[0]
-        else:
-            value = fold_metrics(oof).agg(F.avg("f1_score")).first()[0]
-        return trial, params, float(value), float(threshold)
+        drawn.setdefault(algorithm, []).append((number, replace(spec, algorithm=algorithm, params={**spec.params, **params}), params))
 
-    rows, best, idle = [], None, 0
+    def judge(scored: DataFrame) -> dict[int, tuple[float, float]]:
+        found = objectives(staged(scored, "oof"), ["setting"], metric, optimise_threshold)
+        return {r.setting: (float(r.value), float(r.threshold)) for r in found.collect()}  # one row per trial
+
+    def one(item: tuple[int, ModelSpec, dict]) -> Trial:
+        number, trial, params = item
+        oof = staged(reduce(DataFrame.unionByName, [score_fold(f, roles, trial) for f in folds]), "oof")
+        top = objectives(oof, ["model"], metric, optimise_threshold).first()
+        return Trial(number, trial, params, float(top.value), float(top.threshold))
+
+    trials: list[Trial] = []
+    if "boosted" in drawn:
+        trials += _boosted_trials(folds, roles, drawn.pop("boosted"), judge, rungs)
+    if "logistic_regression" in drawn:
+        trials += _logistic_trials(folds, roles, drawn.pop("logistic_regression"), judge)
+    best, idle = max((t.value for t in trials), default=-math.inf), 0
+    queue = sorted((item for items in drawn.values() for item in items), key=lambda item: item[0])
     with ThreadPoolExecutor(PARALLEL) as pool:
-        for first in range(0, n_trials, PARALLEL):
-            numbers = range(first, min(n_trials, first + PARALLEL))
-            for number, (trial, params, value, threshold) in zip(numbers, pool.map(run, numbers)):
+        while queue and not (patience and idle >= patience):
+            now, queue = queue[:PARALLEL], queue[PARALLEL:]
+            for trial in pool.map(one, now):
                 if patience and idle >= patience:
-                    break
-                rows.append((number, value, trial.algorithm, {p: float(v) for p, v in params.items()}, "COMPLETE", threshold))
-                if best is None or value > best[0]:
-                    best, idle = (value, trial, threshold), 0
+                    trial = replace(trial, state="SURPLUS")
+                elif trial.value > best:
+                    best, idle = trial.value, 0
                 else:
                     idle += 1
-            if patience and idle >= patience:
-                break
+                trials.append(trial)
+    trials.sort(key=lambda t: t.number)
+    top = max((t for t in trials if t.state == "COMPLETE"), key=lambda t: (t.value, -t.number))
+    rows = [(t.number, t.value, t.spec.algorithm, {p: float(v) for p, v in t.params.items()}, t.state, t.threshold) for t in trials]
     schema = "number int, value double, algorithm string, params map<string,double>, state string, threshold double"
-    trials = train.sparkSession.createDataFrame(rows, schema)
-    return SearchResult(trials, best[1], best[0], best[2])
+    return SearchResult(train.sparkSession.createDataFrame(rows, schema), top.spec, top.value, top.threshold)
 
 
 def best_per_algorithm(trials: DataFrame) -> DataFrame:
     """Best trial of each algorithm, the earliest on a tie."""
-    return trials.where("value is not null").groupBy("algorithm").agg(
+    return trials.where("value is not null AND state = 'COMPLETE'").groupBy("algorithm").agg(
         F.min_by("number", F.struct(-F.col("value"), F.col("number"))).alias("number"), F.max("value").alias("value")
     )
 
