@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.ledger import quantiles, value_ledger
+from tidemark.functions.brackets import exact_quantiles
 from tidemark.functions.shape import number, per_feature
 
 
@@ -187,8 +187,8 @@ def overlap_zone(wide: DataFrame, label: str) -> DataFrame:
     """Share of class 0 above the first quartile of class 1, and the gap of the means."""
     totals = row_totals(wide, [label])
     x, zero, one = F.col("total_attribution"), F.col(label) == 0, F.col(label) == 1
-    ledger = value_ledger(totals.where(one), "total_attribution", {"n": F.count("*")})
-    q1 = quantiles(ledger, [0.25], "total_attribution").select("quantile").scalar()
+    totals = staged(totals, "totals")
+    q1 = exact_quantiles(totals.where(one), [0.25], "total_attribution").select("quantile").scalar()
     sums = totals.withColumn("_q1", q1).agg(
         F.count_if(zero & (x > F.col("_q1"))).alias("above"),
         F.count_if(zero).alias("n0"),

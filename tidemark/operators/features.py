@@ -13,8 +13,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.ledger import quantiles, ranked, value_ledger
-from tidemark.functions.shape import flag, long_numeric, number, sql_name, sql_text, total
+from tidemark.functions.brackets import exact_quantiles, numeric_cells, rank_ledger
+from tidemark.functions.ledger import quantiles, ranked
+from tidemark.functions.shape import flag, number, sql_name, sql_text, total
 from tidemark.functions.stage import staged
 from tidemark.operators.clean import binary_target, fix_total
 from tidemark.roles import (
@@ -43,21 +44,27 @@ def charge_per_month(roles: Roles) -> Column:
     return F.when(tenure > 0, F.col(roles.total) / tenure).otherwise(F.lit(0.0))
 
 
+#: Shares of the quantiles that features are cut at.
+QUARTERS = (0.0, 0.25, 0.5, 0.75, 1.0)
+
+
 def amount_cells(train: DataFrame, roles: Roles) -> DataFrame:
     amounts = train.select(
         F.col(roles.monthly).alias("monthly"), charge_per_month(roles).alias("avg_charge")
     )
-    return value_ledger(long_numeric(amounts, ["monthly", "avg_charge"]), "value", {"n": F.count("*")}, ["feature"])
+    return rank_ledger(numeric_cells(amounts, ["monthly", "avg_charge"]), QUARTERS, "value", ["feature"])
 
 
 def amount_quartiles(cells: DataFrame) -> DataFrame:
     """(feature, q, quantile) of the monthly amount and of the charge per month."""
-    return quantiles(cells, [0.0, 0.25, 0.5, 0.75, 1.0], "value", ["feature"])
+    return quantiles(cells, QUARTERS, "value", ["feature"])
 
 
 def open_edges(quartiles: Sequence[float]) -> list[float]:
-    """Distinct quartiles, or five equal-width edges when some coincide; ends open."""
+    """Distinct quartiles, or five equal-width edges when some coincide; ends open. A column without values is one open bin."""
     edges = sorted(set(quartiles))
+    if not edges:
+        return [float("-inf"), float("inf")]
     if len(edges) < 5:
         low, high = edges[0], edges[-1]
         edges = [low + i * ((high - low) / 4) for i in range(5)]
@@ -388,8 +395,8 @@ def population_features(df: DataFrame, roles: Roles) -> DataFrame:
     segment would bring each segment into one task.
     """
     base = number(F.col(roles.monthly))
-    cells = value_ledger(df.select(base.alias("value")), "value", {"n": F.count("*")})
-    median = quantiles(cells, [0.5], "value").select("quantile").scalar()
+    cells = staged(df.select(base.alias("value")), "amounts")
+    median = exact_quantiles(cells, [0.5]).select("quantile").scalar()
     means = staged(category_means(df, roles.contract, roles.tenure), "segments").select("category", "mean")
     over = F.col(roles.monthly) > median
     return df.join(means, F.col(roles.contract).cast("string") == F.col("category"), "left").select(

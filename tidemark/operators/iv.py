@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.ledger import quantiles, value_ledger
-from tidemark.functions.shape import long_numeric, long_text, per_feature
+from tidemark.functions.brackets import exact_quantiles, numeric_cells
+from tidemark.functions.shape import long_text, per_feature
 from tidemark.functions.stage import staged
 from tidemark.roles import IV_LABELS, IV_TOP_LABEL
 
@@ -68,47 +68,26 @@ def numeric_bins(
 ) -> DataFrame:
     """(feature, bin, event, total) over quantile bins of the trimmed values.
 
-    The trim bounds and the bin edges both come from one ledger: trimming only
-    shifts its running counts.
+    Trim bounds and bin edges are ranks found in brackets; the bins are counted in one partial aggregate of the cells.
     """
-    cells = long_numeric(df, columns, [target]).where(F.col(target).isNotNull())
-    ledger = staged(
-        value_ledger(cells, "value", {"n": F.count("*"), "event": F.sum(target).cast("double")}, ["feature"]),
-        "cells",
-    )
-    ends = quantiles(ledger, trim, "value", ["feature"]).groupBy("feature").agg(
+    cells = numeric_cells(df.where(F.col(target).isNotNull()), columns, [target])
+    ends = exact_quantiles(cells, trim, "value", ["feature"]).groupBy("feature").agg(
         F.min("quantile").alias("_low"), F.max("quantile").alias("_high")
     )
-    bounded = ledger.join(per_feature(ends), "feature")
-    inside = F.col("value").between(F.col("_low"), F.col("_high"))
-    shift = bounded.groupBy("feature").agg(
-        F.coalesce(F.max(F.when(F.col("value") < F.col("_low"), F.col("cum_n"))), F.lit(0)).alias("_below"),
-        F.sum(F.when(inside, F.col("n")).otherwise(0)).alias("_kept"),
-    )
-    trimmed = (
-        bounded.where(inside)
-        .join(per_feature(shift), "feature")
-        .select(
-            "feature",
-            "value",
-            "n",
-            "event",
-            (F.col("cum_n") - F.col("_below")).alias("cum_n"),
-            F.col("_kept").alias("tot_n"),
-        )
-    )
+    bounded = cells.join(per_feature(staged(ends, "ends")), "feature")
+    trimmed = bounded.where(F.col("value").between(F.col("_low"), F.col("_high"))).select("feature", "value", target)
     edges = (
-        quantiles(trimmed, [i / bins for i in range(bins + 1)], "value", ["feature"])
+        exact_quantiles(trimmed, [i / bins for i in range(bins + 1)], "value", ["feature"])
         .groupBy("feature")
         .agg(F.array_sort(F.collect_set("quantile")).alias("_edges"))
     )
     below = F.size(F.filter("_edges", lambda e: e < F.col("value")))
     return (
-        trimmed.join(per_feature(edges), "feature")
+        trimmed.join(per_feature(staged(edges, "edges")), "feature")
         .withColumn("bin", F.greatest(F.lit(1), below))
         .where(F.col("bin") < F.size("_edges"))
         .groupBy("feature", "bin")
-        .agg(F.sum("event").alias("event"), F.sum("n").alias("total"))
+        .agg(F.sum(target).cast("double").alias("event"), F.count(F.lit(1)).alias("total"))
     )
 
 

@@ -13,8 +13,9 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.brackets import exact_quantile_columns, numeric_cells
 from tidemark.functions.draw import with_part
-from tidemark.functions.ledger import quantile_columns, ranked, value_ledger
+from tidemark.functions.ledger import ranked
 from tidemark.functions.shape import long_numeric, long_text, number
 from tidemark.functions.stage import staged
 from tidemark.roles import MISSING_CATEGORY
@@ -56,8 +57,7 @@ def numeric_fills(train: DataFrame, columns: Sequence[str], strategy: str = "med
         row = train.agg(*[F.avg(number(F.col(c))).alias(c) for c in columns]).first()
         return row.asDict()
     if strategy == "median":
-        cells = value_ledger(long_numeric(train, columns), "value", {"n": F.count("*")}, ["feature"])
-        rows = quantile_columns(cells, {"m": 0.5}, "value", ["feature"]).collect()
+        rows = exact_quantile_columns(numeric_cells(train, columns), {"m": 0.5}, "value", ["feature"]).collect()
         return {r.feature: r.m for r in rows}
     return {r.feature: r["mode"] for r in modes(train, columns, numeric=True).collect()}
 
@@ -101,8 +101,7 @@ def scales(train: DataFrame, columns: Sequence[str], kind: str | None, fills: di
         return {}
     filled = train.select(*[filled_number(c, fills).alias(c) for c in columns])
     if kind == "robust":
-        cells = value_ledger(long_numeric(filled, columns), "value", {"n": F.count("*")}, ["feature"])
-        rows = quantile_columns(cells, {"a": 0.25, "m": 0.5, "b": 0.75}, "value", ["feature"]).collect()
+        rows = exact_quantile_columns(numeric_cells(filled, columns), {"a": 0.25, "m": 0.5, "b": 0.75}, "value", ["feature"]).collect()
         found = {r.feature: (r.m, r.b - r.a) for r in rows}
     else:
         pairs = {

@@ -9,10 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.functions.ledger import quantile_columns, value_ledger
+from tidemark.functions.brackets import exact_quantile_columns, numeric_cells
 from tidemark.functions.shape import (
     equal_width_bin,
-    long_numeric,
     long_text,
     number,
     per_feature,
@@ -51,28 +50,14 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, exact quartiles, max per column."""
-    cells = value_ledger(long_numeric(df, columns), "value", {"n": F.count("*")}, ["feature"])
-    xs = [(c, number(F.col(c))) for c in columns]
-    stats = df.agg(
-        *[
-            F.struct(
-                F.count(x).alias("count"),
-                F.avg(x).alias("mean"),
-                F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"),
-                F.max(x).alias("max"),
-            ).alias(c)
-            for c, x in xs
-        ]
+    cells = numeric_cells(df, columns)
+    stats = cells.groupBy("feature").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    table = rows_of(
-        stats,
-        [
-            {"feature": F.lit(c), **{k: F.col(f"{c}.{k}") for k in ("count", "mean", "std", "min", "max")}}
-            for c in columns
-        ],
-    )
-    return table.join(per_feature(quantile_columns(cells, QUARTILES, "value", ["feature"])), "feature", "left")
+    quarts = exact_quantile_columns(cells, QUARTILES, "value", ["feature"])
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "feature string")
+    table = per_feature(named).join(stats.join(per_feature(quarts), "feature"), "feature", "left")
+    return table.withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
 
 
 def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -181,13 +166,8 @@ def histogram_by_class(df: DataFrame, column: str, target: str, bins: int = 30)
 
 def box_by_class(df: DataFrame, column: str, target: str) -> DataFrame:
     """Quartiles and Tukey whiskers (last value within 1.5 IQR) per class."""
-    cells = value_ledger(
-        df.select(F.col(target), number(F.col(column)).alias("value")).dropna(subset=[target]),
-        "value",
-        {"n": F.count("*")},
-        [target],
-    )
-    boxes = staged(quantile_columns(cells, QUARTILES, "value", [target]), "boxes")
+    cells = staged(df.select(F.col(target), number(F.col(column)).alias("value")).dropna(), "cells")
+    boxes = staged(exact_quantile_columns(cells, QUARTILES, "value", [target]), "boxes")
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = (F.col("value") >= F.col("q25") - reach) & (F.col("value") <= F.col("q75") + reach)
     kept = F.when(inside, F.col("value"))
@@ -234,21 +214,20 @@ def leakage_screen(df: DataFrame, columns: Sequence[str], target: str, limit: fl
 
 def iqr_bounds(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fences 1.5 IQR outside the exact quartiles, with outlier counts, per column."""
-    cells = value_ledger(long_numeric(df, columns), "value", {"n": F.count("*")}, ["feature"])
-    quarts = quantile_columns(cells, {"q25": 0.25, "q75": 0.75}, "value", ["feature"])
+    cells = numeric_cells(df, columns)
+    quarts = exact_quantile_columns(cells, {"q25": 0.25, "q75": 0.75}, "value", ["feature"])
     reach = (F.col("q75") - F.col("q25")) * 1.5
     fences = quarts.select(
         "feature", (F.col("q25") - reach).alias("lower_bound"), (F.col("q75") + reach).alias("upper_bound")
     )
-    n = F.col("n")
     return (
         cells.join(per_feature(fences), "feature")
         .groupBy("feature")
         .agg(
             F.max("lower_bound").alias("lower_bound"),
             F.max("upper_bound").alias("upper_bound"),
-            F.sum(F.when(F.col("value") < F.col("lower_bound"), n).otherwise(0)).alias("outliers_lower"),
-            F.sum(F.when(F.col("value") > F.col("upper_bound"), n).otherwise(0)).alias("outliers_upper"),
+            F.count_if(F.col("value") < F.col("lower_bound")).alias("outliers_lower"),
+            F.count_if(F.col("value") > F.col("upper_bound")).alias("outliers_upper"),
         )
         .withColumn("total_outliers", F.col("outliers_lower") + F.col("outliers_upper"))
     )
@@ -265,13 +244,10 @@ def outliers_iqr(df: DataFrame, column: str, name: str = "is_outlier") -> DataFr
 
 def mad_stats(df: DataFrame, columns: Sequence[str], threshold: float = 3.5) -> DataFrame:
     """Median, median absolute deviation and count of values beyond the threshold."""
-    cells = value_ledger(long_numeric(df, columns), "value", {"n": F.count("*")}, ["feature"])
-    medians = per_feature(quantile_columns(cells, {"median": 0.5}, "value", ["feature"]))
-    off = cells.join(medians, "feature").select(
-        "feature", "value", "n", "median", F.abs(F.col("value") - F.col("median")).alias("dev")
-    )
-    spread = value_ledger(off.withColumnRenamed("n", "_m"), "dev", {"n": F.sum("_m")}, ["feature"])
-    mads = per_feature(quantile_columns(spread, {"mad": 0.5}, "dev", ["feature"]))
+    cells = numeric_cells(df, columns)
+    medians = per_feature(staged(exact_quantile_columns(cells, {"median": 0.5}, "value", ["feature"]), "medians"))
+    off = cells.join(medians, "feature").select("feature", "value", "median", F.abs(F.col("value") - F.col("median")).alias("dev"))
+    mads = per_feature(exact_quantile_columns(off, {"mad": 0.5}, "dev", ["feature"]))
     score = F.when(F.col("mad") == 0, 0.0).otherwise(
         F.try_divide(F.lit(0.6745) * (F.col("value") - F.col("median")), F.col("mad"))
     )
@@ -281,7 +257,7 @@ def mad_stats(df: DataFrame, columns: Sequence[str], threshold: float = 3.5) ->
         .agg(
             F.max("median").alias("median"),
             F.max("mad").alias("mad"),
-            F.sum(F.when(F.abs(score) > threshold, F.col("n")).otherwise(0)).alias("outliers"),
+            F.count_if(F.abs(score) > threshold).alias("outliers"),
         )
     )
 
