@@ -69,23 +69,25 @@ def test_tree_parts_add_up(spark, customers, model):
         assert r.base_value + r.total_attribution == pytest.approx(r.margin)
 
 
-def test_tree_parts_against_subsets(spark, customers, model):
+@pytest.mark.parametrize("algorithm", ["gbt", "boosted"])
+def test_tree_parts_against_subsets(spark, customers, model, algorithm):
     """Shapley values by full enumeration of the columns the trees use."""
-    table = trees.leaves(spark, model.pipeline.stages[-1])
-    used = sorted({slot for _, _, path in table for slot, _, _ in path})
-    assert len(used) <= 8
+    if algorithm == "boosted":
+        model = tr.fit_model(customers, R, replace(SPEC, algorithm="boosted"), **COLUMNS)
+    table = trees.paths(spark, model.pipeline.stages[-1])
     x = np.array([r[0] for r in model.prepared(customers).select(vector_to_array("features")).limit(5).collect()])
+    used = sorted({int(s) for p in table for s in np.unique(p.slot[p.share < 1])})
+    assert 1 < len(used) <= 10
 
     def value(known, row):
         total = 0.0
-        for leaf, _, path in table:
-            part = leaf
-            for slot, share, tests in path:
-                part *= float(trees._passes(row[None, slot], tests)[0]) if slot in known else share
-            total += part
+        for p in table:
+            on = p.passes(row[None])[0]
+            inside = np.isin(p.slot, list(known))
+            total += (p.value * np.where(inside, on, p.share).prod(axis=1)).sum()
         return total
 
-    phi = trees._attribute(x, table)
+    phi = trees.attribute(x, table)
     n = len(used)
     for row, got in zip(x, phi):
         for i in used:
@@ -98,6 +100,26 @@ def test_tree_parts_against_subsets(spark, customers, model):
             assert got[i] == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("depth", [1, 2, 7, 10])
+def test_deep_paths_add_up(depth):
+    """Shares and passes of a random full tree: attributions are the output less the expectation."""
+    rng = np.random.default_rng(depth)
+    cells = 1 << depth
+    tree = {"columns": rng.permutation(12)[:depth].tolist(), "cuts": rng.normal(size=depth).tolist(), "leaves": rng.normal(size=cells).tolist(), "cover": rng.integers(0, 9, cells).tolist()}
+    p = trees._boosted_paths(tree)
+    x = rng.normal(size=(40, 12))
+    on = p.passes(x).all(axis=2)
+    assert (on.sum(axis=1) == 1).all()
+    assert trees.attribute(x, [p]).sum(axis=1) == pytest.approx(on @ p.value - p.base)
+
+
+def test_boosted_parts_add_up(spark, customers):
+    boosted = tr.fit_model(customers, R, replace(SPEC, algorithm="boosted"), **COLUMNS)
+    raw = boosted.pipeline.stages[-1].transform(boosted.prepared(customers)).select(R.key, vector_to_array("rawPrediction")[1].alias("margin"))
+    for r in ex.row_totals(trees.tree_parts(boosted, customers), [R.key, "base_value"]).join(raw, R.key).collect():
+        assert r.base_value + r.total_attribution == pytest.approx(r.margin)
+
+
 def test_forest_parts_give_the_probability(spark, customers):
     forest = tr.fit_model(customers, R, replace(SPEC, algorithm="random_forest"), **COLUMNS)
     sums = ex.row_totals(trees.tree_parts(forest, customers), [R.key, "base_value"])
