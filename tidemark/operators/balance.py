@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.draw import class_cuts, draw_order
 from tidemark.functions.stage import staged
+from tidemark.operators.buckets import bucketed_neighbours
 from tidemark.operators.neighbours import nearest_neighbours
 
+#: Neighbour searches by name: all true neighbours, or those that hash tables find in work that grows with the rows.
+SEARCHES = {"exact": nearest_neighbours, "bucketed": bucketed_neighbours}
+
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:
     """(target, n, weight): balanced weight n / (classes * n_class), and (1-p)/p for class 1."""
@@ -37,13 +41,14 @@ def minority(df: DataFrame, target: str) -> tuple[int, int]:
 
 
 def smote(
-    df: DataFrame, key: str, vec: str, target: str, k: int = 5, seed: int = 42, block: int = 2000
+    df: DataFrame, key: str, vec: str, target: str, k: int = 5, seed: int = 42, block: int = 2000, search: str = "exact"
 ) -> DataFrame:
     """(parent, neighbour, gap, copy, vec, target): synthetic rows that balance the classes.
 
     The missing rows are spread evenly over the minority rows, the remainder to
     the first in seeded order. Each lies between its parent and one of the
-    parent's k nearest minority rows, chosen by hash.
+    parent's k nearest minority rows, chosen by hash; with the 'bucketed' search,
+    of those found in hash tables. A row without any neighbour found has no copies.
     """
     label, missing = minority(df, target)
     small = staged(
@@ -60,7 +65,7 @@ def smote(
             F.lit(label).alias(target),
         )
     each, left = divmod(missing, size)
-    near = nearest_neighbours(small, key, "vec", k, block)
+    near = SEARCHES[search](small, key, "vec", k, block)
     listed = near.groupBy(key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "neighbour"))), lambda x: x["neighbour"]).alias("near")
     )
@@ -92,12 +97,12 @@ def smote(
     )
 
 
-def tomek_links(df: DataFrame, key: str, vec: str, target: str, block: int = 2000) -> DataFrame:
+def tomek_links(df: DataFrame, key: str, vec: str, target: str, block: int = 2000, search: str = "exact") -> DataFrame:
     """(low_key, high_key): pairs of opposite class that are each other's nearest row.
 
     Each row names its pair; a pair named twice is mutual, so no self-join is needed.
     """
-    near = nearest_neighbours(df, key, vec, 1, block).join(df.select(key, target), key)
+    near = SEARCHES[search](df, key, vec, 1, block).join(df.select(key, target), key)
     named = near.select(
         F.least(key, "neighbour").alias("low_key"), F.greatest(key, "neighbour").alias("high_key"), target
     )
@@ -107,20 +112,20 @@ def tomek_links(df: DataFrame, key: str, vec: str, target: str, block: int = 200
     return pairs.where("_n = 2 and _a <> _b").select("low_key", "high_key")
 
 
-def drop_tomek(df: DataFrame, key: str, vec: str, target: str, block: int = 2000) -> DataFrame:
+def drop_tomek(df: DataFrame, key: str, vec: str, target: str, block: int = 2000, search: str = "exact") -> DataFrame:
     """The table without both members of every Tomek link."""
-    links = tomek_links(df, key, vec, target, block)
+    links = tomek_links(df, key, vec, target, block, search)
     members = links.select(F.explode(F.array("low_key", "high_key")).alias(key))
     return df.join(members, key, "left_anti")
 
 
 def smote_tomek(
-    df: DataFrame, key: str, vec: str, target: str, k: int = 5, seed: int = 42, block: int = 2000
+    df: DataFrame, key: str, vec: str, target: str, k: int = 5, seed: int = 42, block: int = 2000, search: str = "exact"
 ) -> DataFrame:
     """(key text, vec, target): real and synthetic rows, cleaned of Tomek links."""
     real = df.select(F.col(key).cast("string").alias(key), F.col(vec).cast("array<double>").alias("vec"), target)
-    made = smote(df, key, vec, target, k, seed, block).select(
+    made = smote(df, key, vec, target, k, seed, block, search).select(
         F.concat_ws("~", F.col("parent").cast("string"), F.col("copy").cast("string")).alias(key), "vec", target
     )
     both = staged(real.unionByName(made), "resampled")
-    return drop_tomek(both, key, "vec", target, block)
+    return drop_tomek(both, key, "vec", target, block, search)

@@ -1,4 +1,4 @@
-"""Exact nearest neighbours of every row, without comparing all pairs.
+"""Exact nearest neighbours of every row; ``buckets.py`` finds most of them without comparing all pairs.
 
 Equal vectors are collapsed first, so a vector held by a third of the rows is
 searched once. The distinct vectors are put into cells around pivots. Each is
@@ -128,12 +128,8 @@ def _reach_out(
     return own.unionByName(_search(*_blocked(visits, cells, sizes, block), k))
 
 
-def nearest_neighbours(points: DataFrame, key: str, vec: str, k: int, block: int = 2000) -> DataFrame:
-    """(key, neighbour, distance, rank): the k nearest other rows, ties to the lower key.
-
-    ``vec`` is an array of doubles of one length; keys are unique.
-    """
-    spark = points.sparkSession
+def collapsed(points: DataFrame, key: str, vec: str, k: int) -> tuple[DataFrame, int, int]:
+    """(id, vec, mates) per distinct vector with its lowest k + 1 keys, the number of vectors, and their length."""
     base = points.select(F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
     # the k + 1 lowest keys of each distinct vector; the limit is applied before the shuffle
     low = Window.partitionBy("vec").orderBy("id")
@@ -145,6 +141,40 @@ def nearest_neighbours(points: DataFrame, key: str, vec: str, k: int, block: int
         "vectors",
     )
     size, width = distinct.agg(F.count("*"), F.max(F.size("vec"))).first()
+    return distinct, size, width or 0
+
+
+def expanded(points: DataFrame, key: str, vec: str, k: int, distinct: DataFrame, near: DataFrame) -> DataFrame:
+    """From neighbours (id, other, distance) of distinct vectors back to all rows: own mates first, then the others' mates."""
+    base = points.select(F.col(key).alias("id"), F.col(vec).cast("array<double>").alias("vec"))
+    mates = distinct.select(F.col("id").alias("other"), "mates")
+    listed = near.join(mates, "other").groupBy("id").agg(
+        F.flatten(
+            F.collect_list(
+                F.transform("mates", lambda m: F.struct(F.col("distance").alias("distance"), m.alias("neighbour")))
+            )
+        ).alias("others")
+    )
+    own_mates = F.transform("mates", lambda m: F.struct(F.lit(0.0).alias("distance"), m.alias("neighbour")))
+    nothing = F.filter(own_mates, lambda m: F.lit(False))
+    ready = distinct.join(listed, "id", "left").select(
+        "vec", F.array_sort(F.concat(own_mates, F.coalesce("others", nothing))).alias("ready")
+    )
+    kept = F.slice(F.filter("ready", lambda m: m["neighbour"] != F.col("id")), 1, k)
+    # a key named "id" must not be taken for an alias of this select
+    listed_rows = base.join(ready, "vec").select(F.col("id").alias("_k"), kept.alias("_kept"))
+    return listed_rows.select(F.col("_k").alias(key), F.posexplode("_kept").alias("_p", "_m")).select(
+        key, F.col("_m.neighbour").alias("neighbour"), F.col("_m.distance").alias("distance"), (F.col("_p") + 1).alias("rank")
+    )
+
+
+def nearest_neighbours(points: DataFrame, key: str, vec: str, k: int, block: int = 2000) -> DataFrame:
+    """(key, neighbour, distance, rank): the k nearest other rows, ties to the lower key.
+
+    ``vec`` is an array of doubles of one length; keys are unique.
+    """
+    spark = points.sparkSession
+    distinct, size, width = collapsed(points, key, vec, k)
     if not size:
         kind = points.schema[key].dataType.simpleString()
         return spark.createDataFrame([], f"{key} {kind}, neighbour {kind}, distance double, rank int")
@@ -170,23 +200,4 @@ def nearest_neighbours(points: DataFrame, key: str, vec: str, k: int, block: int
     own = _closest(_search(*_blocked(cells, cells, sizes, block), k), k)
     near = own if count == 1 else _closest(_reach_out(cells, staged(own, "own"), sizes, pivots, counts, radii, k, block), k)
 
-    # back from distinct vectors to rows: own mates at distance 0, then the others' mates
-    mates = distinct.select(F.col("id").alias("other"), "mates")
-    listed = near.join(mates, "other").groupBy("id").agg(
-        F.flatten(
-            F.collect_list(
-                F.transform("mates", lambda m: F.struct(F.col("distance").alias("distance"), m.alias("neighbour")))
-            )
-        ).alias("others")
-    )
-    own_mates = F.transform("mates", lambda m: F.struct(F.lit(0.0).alias("distance"), m.alias("neighbour")))
-    nothing = F.filter(own_mates, lambda m: F.lit(False))
-    ready = distinct.join(listed, "id", "left").select(
-        "vec", F.array_sort(F.concat(own_mates, F.coalesce("others", nothing))).alias("ready")
-    )
-    kept = F.slice(F.filter("ready", lambda m: m["neighbour"] != F.col("id")), 1, k)
-    return base.join(ready, "vec").select(
-        F.col("id").alias(key), F.posexplode(kept).alias("_p", "_m")
-    ).select(
-        key, F.col("_m.neighbour").alias("neighbour"), F.col("_m.distance").alias("distance"), (F.col("_p") + 1).alias("rank")
-    )
+    return expanded(points, key, vec, k, distinct, near)

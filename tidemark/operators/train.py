@@ -208,6 +208,7 @@ class ModelSpec:
     params: Mapping[str, object] = field(default_factory=dict)
     engineered: bool = True
     resample: bool = False
+    neighbours: str = "exact"
     weighted: bool = False
     scaler: str | None = "robust"
     seed: int = 42
@@ -320,7 +321,7 @@ def prepare(
     if spec.resample:
         meta = ready.schema["features"].metadata
         arrays = ready.select(roles.key, vector_to_array("features").alias("vec"), F.col("label").cast("int").alias("y"))
-        mixed = smote_tomek(staged(arrays, "vectors"), roles.key, "vec", "y", seed=spec.seed)
+        mixed = smote_tomek(staged(arrays, "vectors"), roles.key, "vec", "y", seed=spec.seed, search=spec.neighbours)
         ready = mixed.select(
             array_to_vector("vec").alias("features", metadata=_continuous(meta)), F.col("y").cast("double").alias("label")
         )

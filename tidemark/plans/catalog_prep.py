@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.shape import rounded
 from tidemark.functions.stage import staged
-from tidemark.operators import balance, prep
+from tidemark.operators import balance, buckets, prep
+from tidemark.operators.buckets import bucketed_neighbours
 from tidemark.operators.neighbours import nearest_neighbours
 from tidemark.plans.catalog_features import SPLIT, one
 from tidemark.plans.registry import Registry
@@ -175,6 +176,35 @@ def knn_minority(spark, sf):
     return rounded(nearest_neighbours(_vectors(spark, sf).where("y = 1"), "vec_id", "vec", 5))
 
 
+_SIGN = "CASE WHEN ('0x' || md5('42-' || t || '-' || j || '-' || i)[1])::INTEGER % 2 = 1 THEN 1 ELSE -1 END"
+_BUCKETS = f"""v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+firsts AS (SELECT min(vec_id) AS id, e FROM v GROUP BY e),
+shape AS (SELECT greatest(0, ceil(log2(count(*) / {buckets.BUCKET}.0)))::BIGINT AS cuts, max(len(e)) AS width FROM firsts),
+signs AS (SELECT t, j, i, {_SIGN} AS s FROM shape, range({buckets.TABLES}) a(t), range(cuts + {buckets.MORE}) b(j), range(width) c(i)),
+whole AS (SELECT id, unnest(range(len(e))) AS i, unnest(list_transform(e, lambda x : round(x * {buckets.UNIT})::BIGINT)) AS x FROM firsts),
+sums AS (SELECT id, t, j, sum(s * x)::BIGINT AS place FROM whole JOIN signs USING (i) GROUP BY ALL),
+cut AS (SELECT t, j, quantile_cont(place::DOUBLE, 0.5) AS m FROM sums, shape WHERE j < cuts GROUP BY t, j),
+sides AS (SELECT id, t, j, place > m AS bit, row_number() OVER (PARTITION BY id, t ORDER BY abs(place - m), j) AS nearest FROM sums JOIN cut USING (t, j)),
+coded AS (SELECT f.id, t, coalesce(sum(CASE WHEN bit THEN 1::BIGINT << j ELSE 0 END), 0)::BIGINT AS code FROM firsts f CROSS JOIN range({buckets.TABLES}) a(t) LEFT JOIN sides s USING (id, t) GROUP BY ALL),
+tried AS (SELECT id, t, code FROM coded UNION ALL SELECT id, t, xor(code, 1::BIGINT << j) FROM coded JOIN sides USING (id, t) WHERE nearest <= {buckets.PROBES}),
+cells AS (SELECT t, code, least({buckets.MORE}, greatest(0, ceil(log2(count(*) / {2 * buckets.BUCKET}.0)))) AS more FROM coded GROUP BY ALL),
+means AS (SELECT t, code, j, sum(place)::DOUBLE / count(*) AS m FROM coded JOIN sums USING (id, t) JOIN cells USING (t, code), shape WHERE j >= cuts AND j < cuts + more GROUP BY ALL),
+parts AS (SELECT id, t, code, s.j - cuts AS j, place > m AS bit, row_number() OVER (PARTITION BY id, t, code ORDER BY abs(place - m), s.j) AS nearest
+FROM tried JOIN means USING (t, code) JOIN sums s USING (id, t, j), shape),
+own AS (SELECT x.id, x.t, x.code, coalesce(sum(CASE WHEN bit THEN 1::BIGINT << j ELSE 0 END), 0)::BIGINT AS part FROM tried x LEFT JOIN parts p USING (id, t, code) GROUP BY ALL),
+asked AS (SELECT * FROM own UNION ALL SELECT id, t, code, xor(part, 1::BIGINT << j) FROM own JOIN parts USING (id, t, code) WHERE nearest <= {buckets.MORE_PROBES}),
+met AS (SELECT DISTINCT a.id AS a, b.id AS b FROM asked a JOIN (own JOIN coded USING (id, t, code)) b ON a.t = b.t AND a.code = b.code AND a.part = b.part AND a.id <> b.id),
+rows_met AS (SELECT x.vec_id AS k, y.vec_id AS o, list_distance(p.e, q.e) AS dist FROM met JOIN firsts p ON p.id = a JOIN firsts q ON q.id = b JOIN v x ON x.e = p.e JOIN v y ON y.e = q.e
+UNION ALL SELECT x.vec_id, y.vec_id, 0e0 FROM v x JOIN v y ON x.e = y.e AND x.vec_id <> y.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY dist, o) AS rank FROM rows_met)"""
+
+
+@query("knn_bucketed", with_(_BUCKETS) + f"""SELECT k AS vec_id, o AS neighbour, {r('dist')} AS distance, rank FROM ranked WHERE rank <= 5""")
+def knn_bucketed(spark, sf):
+    """Five near rows of every vector from hash tables, the same tables in SQL."""
+    return rounded(bucketed_neighbours(_vectors(spark, sf), "vec_id", "vec", 5))
+
+
 @query("tomek_links", with_(_PAIRS.format("")) + """SELECT a.k AS low_key, a.o AS high_key FROM n a JOIN n b
 ON a.k = b.o AND a.o = b.k WHERE a.rank = 1 AND b.rank = 1 AND a.ya <> a.yb AND a.k < a.o""")
 def tomek_links(spark, sf):
