@@ -19,9 +19,9 @@ from tidemark.llm.links import partial_links
 
 WORDS, THRESHOLD = 5, 0.8
 #: Rows of a band, the share of pairs at the threshold that must meet in a bucket, members of a block and their shingles.
-ROWS, RECALL, BLOCK, SHINGLES = 5, 0.9999, 512, 4_000_000
+ROWS, RECALL, BLOCK, SHINGLES = 5, 0.9999, 512, 1_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
-_COLUMNS, _CHUNK = 8192, 1 << 21
+_COLUMNS, _CHUNK = 8192, 1 << 19
 
 
 def bands_for(threshold: float, rows: int, recall: float) -> int:

@@ -26,7 +26,7 @@ from tidemark.llm.common import once_per_worker
 
 #: Bytes of a repeat, bytes hashed at an anchor, and contexts of a gram beyond which its windows are counted one by one.
 LENGTH, GRAM, CROWD = 400, 128, 4096
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _BASE = 0xD1342543DE82EF95
 _PLACE = np.uint64((1 << 24) - 1)
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
