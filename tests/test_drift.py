@@ -3,7 +3,8 @@ import math
 import numpy as np
 import pytest
 
-from tidemark.operators import drift
+from tidemark.operators import drift, reference
+from tidemark.roles import DRIFT_ADVICE
 
 
 def _frame(spark, **columns):
@@ -73,7 +74,7 @@ def test_report_and_summary(spark):
     assert (rows["a"].severity, rows["a"].has_drift, rows["a"].ks_significant) == ("high", 1, 1)
     summary = drift.drift_overall(report).first()
     assert summary.overall_severity == "high" and summary.features_checked == 3
-    assert summary.recommendation.startswith("Severe drift")
+    assert summary.recommendation == DRIFT_ADVICE["high"]
     calm = drift.drift_overall(drift.drift_report(ref, ref, ["a", "b"])).first()
     assert (calm.overall_severity, calm.drift_percentage, calm.features_with_drift) == ("none", 0.0, 0)
 
@@ -93,3 +94,66 @@ def test_windows_equal_pairwise_psi(spark):
         part = stream.where(f"day(ts) = {day}")
         assert got[(day, "x")] == pytest.approx(drift.psi_numeric(ref, part, ["x"]).first().psi)
         assert got[(day, "c")] == pytest.approx(drift.psi_categorical(ref, part, ["c"]).first().psi)
+
+
+def _by_orderings(steps, n, m):
+    """Share of all orderings of n and m rows with a gap of at least steps / (n m)."""
+    from itertools import combinations
+
+    hits = total = 0
+    for chosen in combinations(range(n + m), n):
+        i = j = worst = 0
+        for k in range(n + m):
+            i, j = (i + 1, j) if k in chosen else (i, j + 1)
+            worst = max(worst, abs(i * m - j * n))
+        hits += worst >= steps
+        total += 1
+    return hits / total
+
+
+@pytest.mark.parametrize("n, m", [(1, 1), (2, 3), (4, 4), (5, 3), (6, 4)])
+def test_exact_p_counts_orderings(n, m):
+    for steps in range(n * m + 2):
+        assert drift.exact_p(steps, n, m) == pytest.approx(_by_orderings(steps, n, m), abs=1e-12)
+
+
+def test_exact_p_of_a_frame(spark):
+    ref, cur = _frame(spark, x=[1.0, 2.0, 3.0, 4.0]), _frame(spark, x=[5.0, 6.0, 7.0, 8.0])
+    apart = drift.ks_numeric(ref, cur, ["x"], exact=True).first()
+    # 2 of 70 orderings keep four and four apart
+    assert (apart.ks, apart.ks_pvalue) == (1.0, pytest.approx(2 / 70))
+    rng = np.random.default_rng(1)
+    many = [_frame(spark, x=rng.normal(0, 1, 400).tolist()), _frame(spark, x=rng.normal(0.1, 1, 300).tolist())]
+    exact, limit = (drift.ks_numeric(*many, ["x"], exact=e).first().ks_pvalue for e in (True, False))
+    assert exact == pytest.approx(limit, abs=0.03)
+    assert drift.drift_report(ref, cur, ["x"], exact=True).first().ks_pvalue == pytest.approx(0.0286)
+
+
+@pytest.mark.parametrize("slab", [7, 100_000])
+def test_stored_reference_equals_two_tables(spark, tmp_path, monkeypatch, slab):
+    monkeypatch.setattr(reference, "SLAB", slab)
+    rng = np.random.default_rng(8)
+    letters = lambda n: rng.choice(list("abcde"), n).tolist()
+    ref = _frame(spark, a=rng.normal(0, 1, 500).round(1).tolist(), b=rng.normal(0, 1, 500).tolist(), c=letters(500), d=["x"] * 500)
+    more = _frame(spark, a=rng.normal(1, 3, 90).round(1).tolist(), b=rng.normal(0, 1, 90).tolist(), c=letters(90), d=["y"] * 90)
+    batches = [
+        _frame(spark, a=rng.normal(0.5, 2, 200).round(1).tolist(), b=rng.normal(0, 1, 200).tolist(), c=letters(200), d=["x", "z"] * 100),
+        _frame(spark, a=[99.0, -99.0, 0.0], b=[0.5, 0.5, 0.5], c=["q", "q", "a"], d=["x", "x", "x"]),
+        _frame(spark, a=[50.0, 50.0], b=[-50.0, 0.1], c=["a", "b"], d=["x", "x"]),
+    ]
+    names = (["a", "b"], ["c", "d"])
+    ref.write.parquet(str(tmp_path / "rows"))
+    stored = reference.store_reference(spark.read.parquet(str(tmp_path / "rows")), *names, str(tmp_path / "store"))
+    import os
+
+    for name in os.listdir(tmp_path / "rows"):  # the rows themselves are not read again
+        os.truncate(tmp_path / "rows" / name, 0)
+    both = stored.merged(more, str(tmp_path / "merged"))
+    pairs = [(ref, stored, b) for b in (batches if slab == 7 else batches[:1])] + [(ref.unionByName(more), both, batches[0])]
+    for old, store, batch in pairs:
+        want = sorted(map(tuple, drift.drift_report(old, batch, *names).collect()))
+        assert sorted(map(tuple, store.report(batch).collect())) == want
+    only = stored.report(batches[0].select("b")).collect()
+    assert [r.feature for r in only] == ["b"]
+    with pytest.raises(ValueError):
+        stored.report(batches[0].selectExpr("a AS other"))

@@ -6,7 +6,7 @@ from tidemark.operators import train as tr
 from tidemark.plans import churn
 from tidemark.roles import ORDERS360 as R
 from tidemark.sources.customer360 import customer360
-from tidemark.streaming.drift import flush_drift, start_drift
+from tidemark.streaming.drift import last_open, start_drift
 from tidemark.streaming.scoring import start_scoring
 
 SF = "/root/testdata/sf0.001"
@@ -38,11 +38,11 @@ def test_stream_drift_equals_batch_drift(spark, tmp_path):
     current.coalesce(1).sortWithinPartitions("ts").write.option("maxRecordsPerFile", 150).parquet(source)
     stream = spark.readStream.schema(current.schema).option("maxFilesPerTrigger", 1).parquet(source)
 
-    def sink(batch, number):
-        batch.write.mode("append").parquet(str(tmp_path / "out"))
+    def into(name):
+        return lambda batch, number: batch.write.mode("append").parquet(str(tmp_path / name))
 
     query = start_drift(
-        stream, spans, profile, "ts", ["value"], ["event_type"], sink, str(tmp_path / "ck"), availableNow=True
+        stream, spans, profile, "ts", ["value"], ["event_type"], into("out"), str(tmp_path / "ck"), open_sink=into("open"), availableNow=True
     )
     assert query.awaitTermination(240)
     got = {(r.window_start, r.feature): r.psi for r in spark.read.parquet(str(tmp_path / "out")).collect()}
@@ -50,8 +50,9 @@ def test_stream_drift_equals_batch_drift(spark, tmp_path):
         (r.window_start, r.feature): r.psi
         for r in drift.drift_by_window(reference, current, "ts", ["value"], ["event_type"]).collect()
     }
-    # windows the watermark has passed are final; the newest ones are read from the state
-    still_open = {(r.window_start, r.feature): r.psi for r in flush_drift(spark, str(tmp_path / "ck"), profile).collect()}
+    # windows the watermark has passed are final; the newest ones are known as they stood
+    closed, provisional = (spark.read.parquet(str(tmp_path / name)) for name in ("out", "open"))
+    still_open = {(r.window_start, r.feature): r.psi for r in last_open(provisional, closed).collect()}
     assert got and still_open and not set(got) & set(still_open)
     assert set(got) | set(still_open) == set(want)
     for key, psi in (got | still_open).items():

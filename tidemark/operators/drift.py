@@ -7,8 +7,13 @@ sums in value order.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,6 +29,9 @@ from tidemark.roles import (
     PSI_TOP_LEVEL,
 )
 
+# tasks get these functions by value, so executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # ---------------------------------------------------------------- cells
 
 
@@ -124,8 +132,43 @@ def kolmogorov_p(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
     return F.when(lam < 0.2, 1.0).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_from_ledger(ledger: DataFrame) -> DataFrame:
-    """(feature, ks, ks_pvalue): largest gap between the two cumulative shares."""
+def exact_p(steps: int, n: int, m: int) -> float:
+    """Share of the orderings of n and m rows whose largest gap is at least ``steps`` / (n m).
+
+    Orderings are lattice paths from (0, 0) to (n, m); those that stay closer to the diagonal are counted row by row, as
+    shares of all paths, so nothing overflows. Work grows with n times m.
+    """
+    if n < 1 or m < 1 or steps <= 0:
+        return 1.0
+    at = np.arange(m + 1)
+    paths = (at * n < steps).astype(float)  # row 0: one path to each place inside
+    for i in range(1, n + 1):
+        inside = np.abs(i * m - at * n) < steps
+        # a path enters row i at some k <= j and goes right; whatever lies before the band cannot
+        low = int(inside.argmax()) if inside.any() else m + 1
+        fresh = np.where(at >= low, paths, 0.0)
+        paths = np.where(inside, np.cumsum(fresh), 0.0) * (i / (i + m))
+    return float(min(max(1.0 - paths[m], 0.0), 1.0))
+
+
+def _p_value(ks: Column, n: Column, m: Column, exact: bool) -> Column:
+    """One number per column of a report."""
+    if not exact:
+        return kolmogorov_p(ks, n, m)
+
+    @F.pandas_udf("double")
+    def counted(steps: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        return pd.Series([exact_p(round(s), int(a), int(b)) for s, a, b in zip(steps, n, m)], dtype="float64")
+
+    return counted(F.round(ks * n.cast("double") * m.cast("double")), n, m)
+
+
+def ks_from_ledger(ledger: DataFrame, exact: bool = False) -> DataFrame:
+    """(feature, ks, ks_pvalue): largest gap between the two cumulative shares.
+
+    The p-value is the asymptotic one, or with ``exact`` the share of all orderings of the two sides, which takes work
+    in proportion to the product of their rows.
+    """
     gap = F.abs(
         F.try_divide(F.col("cum_n_ref").cast("double"), F.col("tot_n_ref"))
         - F.try_divide(F.col("cum_n_cur").cast("double"), F.col("tot_n_cur"))
@@ -133,9 +176,7 @@ def ks_from_ledger(ledger: DataFrame) -> DataFrame:
     table = ledger.groupBy("feature").agg(
         F.max(gap).alias("ks"), F.max("tot_n_ref").alias("_n"), F.max("tot_n_cur").alias("_m")
     )
-    return table.where("_n > 0 and _m > 0").select(
-        "feature", "ks", kolmogorov_p(F.col("ks"), F.col("_n"), F.col("_m")).alias("ks_pvalue")
-    )
+    return table.where("_n > 0 and _m > 0").select("feature", "ks", _p_value(F.col("ks"), F.col("_n"), F.col("_m"), exact).alias("ks_pvalue"))
 
 
 def side_ledger(reference: DataFrame, current: DataFrame, columns: Sequence[str], numeric: bool) -> DataFrame:
@@ -143,8 +184,8 @@ def side_ledger(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     return running_sums(cells, ["value"], ["n_ref", "n_cur"], ["feature"])
 
 
-def ks_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return ks_from_ledger(side_ledger(reference, current, columns, numeric=True))
+def ks_numeric(reference: DataFrame, current: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
+    return ks_from_ledger(side_ledger(reference, current, columns, numeric=True), exact)
 
 
 def ks_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -156,24 +197,28 @@ def ks_categorical(reference: DataFrame, current: DataFrame, columns: Sequence[s
 
 
 def drift_report(
-    reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
+    reference: DataFrame, current: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (), exact: bool = False
 ) -> DataFrame:
     """(feature, kind, psi, ks_statistic, ks_pvalue, severity, has_drift, ks_significant).
 
-    Both tables are read once per kind; empty columns are left out.
+    Both tables are read once per kind; empty columns are left out. ``exact`` is that of ``ks_from_ledger``.
     """
     parts = []
     if numeric:
         ledger = staged(side_ledger(reference, current, numeric, numeric=True), "cells")
         psi = psi_from_labels(label_numeric(ledger, reference_spans(ledger)))
-        parts.append(psi.join(ks_from_ledger(ledger), "feature").withColumn("kind", F.lit("numeric")))
+        parts.append(psi.join(ks_from_ledger(ledger, exact), "feature").withColumn("kind", F.lit("numeric")))
     if categorical:
         ledger = staged(side_ledger(reference, current, categorical, numeric=False), "cells")
         psi = psi_from_labels(ledger.withColumn("label", F.col("value")))
-        parts.append(psi.join(ks_from_ledger(ledger), "feature").withColumn("kind", F.lit("categorical")))
-    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(psi.join(ks_from_ledger(ledger, exact), "feature").withColumn("kind", F.lit("categorical")))
+    return _report(parts)
+
+
+def _report(parts: Sequence[DataFrame]) -> DataFrame:
+    """The report from (feature, psi, ks, ks_pvalue, kind) of each kind of columns."""
     severity = drift_severity(F.col("psi"))
-    return both.select(
+    return reduce(DataFrame.unionByName, parts).select(
         "feature",
         "kind",
         F.round("psi", 4).alias("psi"),

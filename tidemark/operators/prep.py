@@ -12,6 +12,7 @@ from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.brackets import exact_quantile_columns, numeric_cells
 from tidemark.functions.draw import with_part
@@ -155,7 +156,7 @@ def one_hot(
 
     Unknown values give all zeros, or raise when the rows are read if
     ``unknown='error'``. For columns with very many categories use
-    ``one_hot_long``, whose width does not grow.
+    ``one_hot_sparse`` or ``one_hot_long``, whose width does not grow.
     """
     out = {}
     for c in columns:
@@ -175,6 +176,46 @@ def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     return long_text(df, columns, [key]).where("value is not null").withColumnRenamed("value", "category")
 
 
+def code_table(train: DataFrame, columns: Sequence[str], drop_first: bool = False) -> DataFrame:
+    """(feature, category, slot, width): a slot of one wide vector for each category, columns in the order given.
+
+    Categories of a column are numbered in sorted order by ranges of them, so a column may have any number; only the
+    sizes of the columns are added up in one place. ``width`` is the number of slots.
+    """
+    seen = staged(long_text(train, columns).where("value IS NOT NULL").distinct(), "categories")
+    placed = ranked(seen, ["value"], "place", ["feature"]).where("place > 1" if drop_first else "true")
+    first = 2 if drop_first else 1
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature"))
+    sizes = placed.groupBy("feature").agg(F.count(F.lit(1)).alias("n")).withColumn("at", place)
+    before = F.coalesce(F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("feature", before.alias("start"), F.sum("n").over(Window.partitionBy()).alias("width"))  # one row per column
+    slot = (F.col("start") + F.col("place") - first).cast("int")
+    return placed.join(F.broadcast(starts), "feature").select("feature", F.col("value").alias("category"), slot.alias("slot"), F.col("width").cast("int").alias("width"))
+
+
+def one_hot_sparse(df: DataFrame, columns: Sequence[str], codes: DataFrame, unknown: str = "ignore", name: str = "encoded") -> DataFrame:
+    """``df`` with a struct (size, indices, values) in place of the columns: a 1 at the slot of each category.
+
+    ``codes`` is a code table, better a written one: Catalyst broadcasts it when it is small and shuffles it when not, and
+    neither the plan nor the driver grows with the number of categories. Null has no slot; an unknown category has none
+    either, or raises when the rows are read if ``unknown='error'``.
+    """
+    out, slots = df, []
+    for i, c in enumerate(columns):
+        own = codes.where(F.col("feature") == c).select(F.col("category").alias(f"_category{i}"), F.col("slot").alias(f"_slot{i}"))
+        out = out.join(own, F.col(f"`{c}`").cast("string") == F.col(f"_category{i}"), "left")
+        slot = F.col(f"_slot{i}")
+        if unknown == "error":
+            lost = slot.isNull() & F.col(f"`{c}`").isNotNull()
+            slot = F.when(lost, F.raise_error(F.concat(F.lit(f"unknown value in {c}: "), F.col(f"`{c}`").cast("string"))).cast("int")).otherwise(slot)
+        slots.append(slot)
+    width = codes.agg(F.coalesce(F.max("width"), F.lit(0))).scalar()
+    indices = F.array_sort(F.array_compact(F.array(*slots)))
+    ones = F.transform(indices, lambda _: F.lit(1.0))
+    encoded = F.struct(width.alias("size"), indices.alias("indices"), ones.alias("values"))
+    return out.select(*[F.col(f"`{n}`") for n in df.columns if n not in set(columns)], encoded.alias(name))
+
+
 def known_categories(train: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """Sorted categories per column, for encodings that make a column of each.
 

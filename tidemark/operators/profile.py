@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from tidemark.functions.shape import (
     rows_of,
 )
 from tidemark.functions.stage import staged
+from tidemark.operators.comoments import correlation_pairs
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -183,15 +183,8 @@ def box_by_class(df: DataFrame, column: str, target: str) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every pair, in one aggregate."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    stats = df.agg(
-        *[F.corr(number(F.col(a)), number(F.col(b))).alias(f"{a}__{b}") for a, b in pairs]
-    )
-    both = [(a, b, f"{a}__{b}") for a, b in pairs] + [(b, a, f"{a}__{b}") for a, b in pairs if a != b]
-    return rows_of(
-        stats, [{"feature_a": F.lit(a), "feature_b": F.lit(b), "corr": F.col(c)} for a, b, c in both]
-    )
+    """Pairwise-complete Pearson correlation of every pair of columns."""
+    return correlation_pairs(df, columns)
 
 
 def leakage_screen(df: DataFrame, columns: Sequence[str], target: str, limit: float = 0.95) -> DataFrame:

@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.shape import rounded
+from tidemark.functions.stage import new_path
 from tidemark.operators import drift
+from tidemark.operators.reference import store_reference
 from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import big, long, r, with_
 from tidemark.roles import DRIFT_ADVICE
@@ -20,8 +22,8 @@ NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 CAT = ["l_returnflag", "l_linestatus"]
 
 
-def _line_sides(spark, sf):
-    lines = table(spark, sf, "lineitem").select(*NUM, *CAT, "l_shipdate")
+def _line_sides(spark, sf, more=()):
+    lines = table(spark, sf, "lineitem").select(*NUM, *CAT, *more, "l_shipdate")
     cut = lines.agg(F.max("l_shipdate")).scalar() - F.expr("interval 365 days")
     return lines.where(F.col("l_shipdate") <= cut), lines.where(F.col("l_shipdate") > cut)
 
@@ -128,6 +130,34 @@ def drift_report_documents(spark, sf):
     return rounded(drift.drift_report(*_document_sides(spark, sf), ["n_chars"], ["lang", "source"]))
 
 
+@query("drift_report_stored", _report_sql(LINES))
+def drift_report_stored(spark, sf):
+    """The newest lines against a store of the older ones, which is written once and read instead of them."""
+    reference, current = _line_sides(spark, sf)
+    return rounded(store_reference(reference, NUM, CAT, new_path(spark, "reference")).report(current))
+
+
+def _exact_sql(n: str, m: str) -> str:
+    """Lattice paths inside the band, row by row, as shares of all paths."""
+    start = f"list_transform(range({m} + 1), lambda j : CASE WHEN j * {n} < steps THEN 1e0 ELSE 0e0 END)"
+    row = f"list_transform(range({m} + 1), lambda j : CASE WHEN abs((i + 1) * {m} - j * {n}) < steps THEN list_sum(list_transform(range(j + 1), lambda k : CASE WHEN k >= low THEN p[k + 1] ELSE 0e0 END)) ELSE 0e0 END * (i + 1) / (i + 1 + {m}))"
+    low = f"coalesce(list_min(list_filter(range({m} + 1), lambda j : abs((i + 1) * {m} - j * {n}) < steps)), {m} + 1)"
+    return f"""walk AS (SELECT feature, steps, n, m, 0 AS i, {start} AS p FROM sized
+UNION ALL SELECT feature, steps, n, m, i + 1, {row} FROM (SELECT *, {low} AS low FROM walk WHERE i < n)),
+exact AS (SELECT feature, greatest(least(1 - p[m + 1], 1), 0) AS p FROM walk WHERE i = n)"""
+
+
+@query("ks_exact", f"""WITH RECURSIVE sides AS (SELECT s_acctbal, CAST(n_regionkey AS VARCHAR) AS region, n_regionkey < 2 AS cur FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+num AS ({long(['s_acctbal'], 'sides', 'cur')}), {_ks_sql('num', 'ks')},
+sized AS (SELECT feature, round(ks * n * m)::BIGINT AS steps, n::BIGINT AS n, m::BIGINT AS m FROM ks_d),
+{_exact_sql('n', 'm')}
+SELECT feature, {r('ks')} AS ks, {r('e.p')} AS ks_pvalue FROM ks JOIN exact e ON feature = kf""")
+def ks_exact(spark, sf):
+    """Balances of suppliers of two regions against the others, with the share of all orderings."""
+    sides = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return rounded(drift.ks_numeric(sides.where("n_regionkey >= 2"), sides.where("n_regionkey < 2"), ["s_acctbal"], exact=True))
+
+
 _ADVICE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in DRIFT_ADVICE.items())
 
 
@@ -144,7 +174,11 @@ def drift_overall(spark, sf):
     return rounded(drift.drift_overall(report))
 
 
-@query("dist_compare", with_(LINES, PSI_NUM, PSI_CAT, """ranked AS (SELECT feature AS rf, row_number() OVER (ORDER BY psi DESC, feature)
+_MORE = ["l_linenumber", "l_orderkey", "l_partkey", "l_suppkey"]
+_WIDE = LINES.replace(f"num AS ({long(NUM, 'sides', 'cur')})", f"num AS ({long([*NUM, *_MORE], 'sides', 'cur')})")
+
+
+@query("dist_compare", with_(_WIDE, PSI_NUM, PSI_CAT, """ranked AS (SELECT feature AS rf, row_number() OVER (ORDER BY psi DESC, feature)
   AS rn FROM (SELECT * FROM psi_num UNION ALL SELECT * FROM psi_cat)),
 wide AS (SELECT feature AS f, min(value) AS lo, max(value) AS hi FROM num WHERE value IS NOT NULL GROUP BY 1),
 wedges AS (SELECT f, i * ((hi - lo) / 10) + lo AS e FROM wide, range(1, 10) t(i)),
@@ -156,7 +190,8 @@ sized AS (SELECT feature, cur, label, width, count(*) AS n, sum(count(*)) OVER (
 {r('n / s::DOUBLE')} AS share, {r('n / s::DOUBLE / width', 9)} AS density
 FROM sized JOIN ranked ON feature = rf WHERE rn <= 6""")
 def dist_compare(spark, sf):
-    out = drift.distribution_compare(*_line_sides(spark, sf), NUM, CAT)
+    """The six columns of ten that moved most."""
+    out = drift.distribution_compare(*_line_sides(spark, sf, _MORE), [*NUM, *_MORE], CAT)
     return rounded(out.withColumn("share", F.round("share", 6)), 9)
 
 

@@ -9,13 +9,14 @@ from tidemark.functions.stage import new_path, staged
 from tidemark.operators import clean, drift
 from tidemark.operators import train as tr
 from tidemark.plans.catalog_drift import WINDOWED, event_sides
+from tidemark.plans.churn import score_batch
 from tidemark.plans.registry import Registry
 from tidemark.plans.sqltext import C360, big, r, with_
 from tidemark.roles import ORDERS360 as R
 from tidemark.sources.customer360 import customer360
 from tidemark.sources.tables import read_customers, write_features, write_report
-from tidemark.streaming.drift import flush_drift, start_drift
-from tidemark.streaming.scoring import band_stream, start_writing
+from tidemark.streaming.drift import last_open, start_drift
+from tidemark.streaming.scoring import band_stream, start_scoring, start_writing
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -108,18 +109,34 @@ def stream_score(spark, sf):
     return rounded(spark.read.schema(scored.schema).parquet(out))
 
 
+@query("stream_model", with_(C360) + "SELECT customer_key, 0e0 AS gap, true AS same_band FROM c360")
+def stream_model(spark, sf):
+    """Customers that arrive as a stream are scored by a fitted model, to the scores of the batch job."""
+    source, out = new_path(spark, "arriving"), new_path(spark, "scored")
+    rows = staged(customer360(spark, sf), "c360")
+    model = tr.fit_model(rows, R, tr.ModelSpec("boosted", {"n_estimators": 20, "max_depth": 4}), skip=["total_text"])
+    rows.write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    start_scoring(stream, model, out, new_path(spark, "checkpoint"), availableNow=True).awaitTermination()
+    batch = score_batch(rows, model).select(R.key, F.col("p").alias("batch_p"), F.col("risk").alias("batch_risk"))
+    arrived = spark.read.parquet(out).join(batch, R.key, "full")
+    gap = F.coalesce(F.abs(F.col("p") - F.col("batch_p")), F.lit(1.0))
+    return rounded(arrived.select(R.key, gap.alias("gap"), F.col("risk").eqNullSafe(F.col("batch_risk")).alias("same_band")))
+
+
 @query("stream_drift", WINDOWED)
 def stream_drift(spark, sf):
-    """Windows closed by the watermark, and the open ones flushed at the end."""
+    """Windows closed by their timers, and those still open at the end as they stood."""
     reference, current = event_sides(spark, sf)
     spans, profile = drift.reference_profile(reference, ["value"], ["event_type"])
-    source, out, checkpoint = (new_path(spark, n) for n in ("events", "drift", "checkpoint"))
+    source, out, held, checkpoint = (new_path(spark, n) for n in ("events", "drift", "open", "checkpoint"))
     rows = current.withColumn("ts", F.col("ts").cast("timestamp"))
     rows.write.parquet(source)
     stream = spark.readStream.schema(rows.schema).parquet(source)
-    sink = lambda batch, number: batch.write.mode("append").parquet(out)
-    query = start_drift(stream, spans, profile, "ts", ["value"], ["event_type"], sink, checkpoint, availableNow=True)
+    into = lambda path: lambda batch, number: batch.write.mode("append").parquet(path)
+    query = start_drift(stream, spans, profile, "ts", ["value"], ["event_type"], into(out), checkpoint, open_sink=into(held), availableNow=True)
     query.awaitTermination()
     schema = "window_start timestamp, feature string, psi double, severity string"
-    found = spark.read.schema(schema).parquet(out).unionByName(flush_drift(spark, checkpoint, profile))
+    closed, provisional = spark.read.schema(schema).parquet(out), spark.read.schema(f"{schema}, batch long").parquet(held)
+    found = closed.unionByName(last_open(provisional, closed))
     return rounded(found.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd")))

@@ -134,6 +134,16 @@ def one_hot_drop_first(spark, sf):
     return rounded(prep.one_hot(base, ["payment"], prep.known_categories(base, ["payment"]), drop_first=True))
 
 
+@query("one_hot_sparse", """WITH cells AS (SELECT doc_id, unnest([1, 2]) AS place, unnest([lang, source]) AS category FROM documents),
+codes AS (SELECT place, category, row_number() OVER (ORDER BY place, category) - 1 AS slot FROM (SELECT DISTINCT place, category FROM cells WHERE category IS NOT NULL))
+SELECT doc_id, (SELECT count(*) FROM codes)::BIGINT AS size, coalesce(string_agg(slot::VARCHAR, ',' ORDER BY slot), '') AS indices FROM cells LEFT JOIN codes USING (place, category) GROUP BY doc_id""")
+def one_hot_sparse(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    codes = staged(prep.code_table(docs, ["lang", "source"]), "codes")
+    found = prep.one_hot_sparse(docs, ["lang", "source"], codes)
+    return rounded(found.select("doc_id", F.col("encoded.size").alias("size"), F.array_join(F.col("encoded.indices").cast("array<string>"), ",").alias("indices")))
+
+
 @query("one_hot_long", """SELECT doc_id, 'lang' AS feature, lang AS category FROM documents WHERE lang IS NOT NULL
 UNION ALL SELECT doc_id, 'source', source FROM documents WHERE source IS NOT NULL""")
 def one_hot_long(spark, sf):
