@@ -81,6 +81,23 @@ def test_line_rules_equal_brute_force(spark):
     assert line_rules.judge_lines(df.where("doc_id < 0")).count() == 0
 
 
+def test_rows_of_one_id_are_judged_each_by_itself(spark):
+    rows = line_rows()
+    boiler = "all rights reserved by the whole of us and them too and more " * 5
+    rows += [(7, boiler, "a"), (7, rows[0][1] + " " + " ".join(f"own{i}" for i in range(60)), "a"), (7, boiler, "b"), (None, boiler, "a"), (None, "x " * 70, "a")]
+    rows += [(20, rows[20][1], rows[20][2])] * 3 + [(900 + i, boiler, "a") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = line_rules.judge_lines(df, most_docs=5, most_per_mille=50, least_left_percent=60)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_lines(rows, 5, 50, 60)
+    assert {r.kept for r in found.where("doc_id = 7").collect()} == {True, False}
+
+
+def test_very_long_text_in_line_rules(spark):
+    rows = [(1, "one line of words\n" * 20_000 + "w " * 50_000, "a"), (2, "a b c", "a")]
+    found = line_rules.judge_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), most_docs=0, most_per_mille=0, least_left_percent=30)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_lines(rows, 0, 0, 30)
+
+
 def test_line_rules_clean_text(spark):
     rows = [(i, f"own line {i}{chr(97 + i)}\n Same  LINE 1\nother {i}", "h") for i in range(8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
@@ -243,3 +260,45 @@ def test_toxicity_learned_from_labels(spark):
     none = toxicity.score_documents(df, toxicity.fit(df.drop("toxic"), marks.where("doc_id < 0"))).collect()
     assert all(0 <= r.score <= 1 for r in none)
     assert toxicity.score_documents(df.where("doc_id < 0"), toxicity.Model({})).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "found"),
+    [
+        ("write to ann   (at)   example   (dot)   com now", "email", "ann   (at)   example   (dot)   com"),
+        ("write to " + "n" * 90 + " at example dot com.", "email", "n" * 90 + " at example dot com"),
+        ("host 192 dot 168 dot 1 dot 20 is up", "ip", "192 dot 168 dot 1 dot 20"),
+        ("bob [ \t\n at ]example{dot}co{dot}uk", "email", "bob [ \t\n at ]example{dot}co{dot}uk"),
+        ("a at b dot c dot d dot e dot f dot g", "email", "a at b dot c dot d dot e dot f dot g"),
+    ],
+)
+def test_disguises_of_any_length(text, kind, found):
+    spans = [(k, text[a:b]) for k, a, b, base in pii.find_spans(text) if not base]
+    assert (kind, found) in spans
+
+
+def test_disguises_take_time_in_proportion():
+    import time
+
+    for text in ("(" + " " * 200_000, " " * 200_000 + "(at)", "a(at) " * 30_000, "x at y" * 30_000 + " dot ", "1 dot " * 50_000):
+        start = time.perf_counter()
+        pii.find_spans(text)
+        assert time.perf_counter() - start < 20
+
+
+def test_samples_stay_small(spark):
+    from tidemark.llm.common import bounded_sample
+
+    rows = [(7, f"text {i}") for i in range(3000)] + [(8, "same")] * 3000 + [(None, f"t {i}") for i in range(1500)] + [(i, "x") for i in range(100, 1600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    some = bounded_sample(df, 900, "doc_id", "text")
+    assert 300 < some.count() < 1000
+    assert sorted(map(str, some.collect())) == sorted(map(str, bounded_sample(df.repartition(2), 900, "doc_id", "text").collect()))
+    assert bounded_sample(df, 10_000, "doc_id", "text").count() == 9000
+
+
+def test_languages_beyond_the_most(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_LANGUAGES", 2)
+    rows = [(i, f"{w} words of {w}{i}", w) for i, w in enumerate(["aa"] * 9 + ["bb"] * 8 + ["cc"] * 2)]
+    found = language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {r.lang_pred for r in found.collect()} <= {"aa", "bb"}

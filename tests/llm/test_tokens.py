@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm.packing import pack
-from tidemark.llm.token_counts import count_edited, quarter_revisions, usable_edits, with_edits
+from tidemark.llm.token_counts import EDITS, CountTree, count_edited, quarter_revisions, revise, usable_edits, with_edits
 
 WORDS = "Le été naïf, don't  stop; 12345 \n\n x=1\t\tend. They're 東京 🙂   \x1c q "
 
@@ -104,3 +104,52 @@ def test_counts_random_edits(spark, plain):
         own = usable_edits([dict(start=e[1], stop=e[2], text=e[3]) for e in edits if e[0] == i], len(text))
         assert found[i].n_edits == len(own)
         assert found[i].n_tokens_after == len(plain(edited(text, own)))
+
+
+def test_revisions_in_a_row_encode_only_what_they_touch(spark, plain):
+    rng = np.random.default_rng(6)
+    texts = {i: "".join(rng.choice(list(WORDS), int(rng.integers(0, 1500)))) for i in range(30)}
+    state = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for revision in range(4):
+        edits = {}
+        for i, text in texts.items():
+            edits[i] = []
+            for _ in range(2):
+                a = int(rng.integers(0, len(text) + 1))
+                new = "".join(rng.choice(list(WORDS + "     "), int(rng.integers(0, 90))))
+                edits[i].append((a, a + int(rng.integers(0, 60)), new))
+        if revision == 2:  # all of a text goes, and one grows from nothing
+            edits[0], edits[1] = [(0, len(texts[0]), "")], [(0, len(texts[1]), WORDS * 20)]
+        column = spark.createDataFrame([(i, e) for i, e in edits.items()], f"doc_id long, edits {EDITS}")
+        found = revise(state.join(column, "doc_id"), leaf_chars=16)
+        rows = {r.doc_id: r for r in found.collect()}
+        for i, text in texts.items():
+            own = usable_edits([dict(start=a, stop=b, text=t) for a, b, t in edits[i]], len(text))
+            after, r = edited(text, own), rows[i]
+            assert (r.n_tokens_before, r.n_tokens_after, r.text) == (len(plain(text)), len(plain(after)), after)
+            assert sum(x.tokens for x in r.leaves) == r.n_tokens_after and sum(x.chars for x in r.leaves) == len(after)
+            assert r.n_chars_encoded == r.n_chars_again + (len(text) if revision == 0 else 0)
+            texts[i] = after
+        long = [r for i, r in rows.items() if len(texts[i]) > 1000 and revision != 2]
+        assert all(r.n_chars_again < 600 for r in long)
+        state = spark.createDataFrame([(i, r.text, [tuple(x) for x in r.leaves]) for i, r in rows.items()], "doc_id long, text string, leaves array<struct<chars:int,tokens:int>>")
+
+
+def test_leaves_that_do_not_fit_are_built_anew(spark, plain):
+    rows = [(1, "some words", [(3, 1)], None), (2, None, None, None), (3, "more words", [(10, None)], [(0, 4, "less")])]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, leaves array<struct<chars:int,tokens:int>>, edits {EDITS}")
+    found = {r.doc_id: r for r in revise(df).collect()}
+    assert (found[1].n_tokens_after, found[1].n_chars_encoded, found[2].n_tokens_after) == (len(plain("some words")), 10, 0)
+    assert (found[3].text, found[3].n_tokens_after) == ("less words", len(plain("less words")))
+    assert revise(df.where("doc_id > 9")).collect() == []
+
+
+def test_sums_of_subtrees(plain):
+    from tidemark.llm import bpe
+
+    tree = CountTree(bpe.default_path(), WORDS * 30, 8)
+    counts = [n for _, n in tree.leaves]
+    assert [tree.tokens_before(i) for i in range(len(counts))] == [sum(counts[:i]) for i in range(len(counts))]
+    tree.apply([(5, 6, "x")])
+    counts = [n for _, n in tree.leaves]
+    assert [tree.tokens_before(i) for i in range(len(counts))] == [sum(counts[:i]) for i in range(len(counts))] and tree.total == len(plain(tree.text))

@@ -36,9 +36,14 @@ def map_rows(df: DataFrame, each: Callable[[dict[str, list]], dict[str, Any]], s
     return df.mapInArrow(batches, schema)
 
 
-def bounded_sample(df: DataFrame, rows: int, key: str = "doc_id") -> DataFrame:
-    """About ``rows`` rows (all, if there are fewer), chosen by a hash of the key, so the same in every run."""
+def bounded_sample(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """About ``rows`` rows at most, chosen by a hash of ``columns``, so the same in every run; all, if there are no more.
+
+    Rows equal in these columns are chosen together and taken once, so neither a repeated row nor one value that many rows
+    share (with different others) makes the sample larger.
+    """
     total = df.count()
     if total <= rows:
         return df
-    return df.where(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1 << 40)) < int(rows / total * (1 << 40)))
+    chosen = df.where(F.pmod(F.xxhash64(*columns, F.lit("sample")), F.lit(1 << 40)) < int(rows / total * (1 << 40)))
+    return chosen.dropDuplicates(list(columns))

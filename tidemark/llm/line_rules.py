@@ -77,11 +77,14 @@ def normal_lines(text: Column) -> Column:
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, host_key, key, n_words) for the distinct normal lines of each row; the key is a hash of host and line."""
+    """(doc_id, row, first, host_key, key, n_words) for the distinct normal lines of each row; the key is a hash of host and line.
+
+    ``row`` tells rows of one doc_id apart by host and text; equal rows are told by ``first``, which each row has once.
+    """
     spaces = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
     line = lambda x: F.struct(F.xxhash64(F.col("host"), x).alias("key"), (spaces(x) + 1).cast("long").alias("n_words"))
-    found = F.explode(F.array_distinct(F.transform(normal_lines(F.col("text")), line))).alias("line")
-    return docs.select("doc_id", F.xxhash64("host").alias("host_key"), found).select("doc_id", "host_key", "line.*")
+    found = F.posexplode(F.array_distinct(F.transform(normal_lines(F.col("text")), line))).alias("place", "line")
+    return docs.select("doc_id", "row", F.xxhash64("host").alias("host_key"), found).select("doc_id", "row", (F.col("place") == 0).alias("first"), "host_key", "line.*")
 
 
 def frequent_lines(lines: DataFrame, docs: DataFrame, most_docs: int, most_per_mille: int) -> DataFrame:
@@ -96,19 +99,21 @@ def judge_lines(docs: DataFrame, host: str = "source", most_docs: int = MOST_DOC
 
     Lines are compared within a host; every row counts as a document; a null host is a host of its own. Lines are
     grouped by a 64-bit hash, counted on the map side before the shuffle, and joined back (adaptive execution splits a
-    hot line). Rows with equal doc_id share their lines' verdict; a null doc_id is matched as a value. A null or empty
-    text has no words, so it fails. Extra columns are ignored; an empty table gives no rows.
+    hot line). Every row is judged by its own lines, also where doc_ids repeat or are null; equal rows are judged alike.
+    A null or empty text has no words, so it fails. Extra columns are ignored; an empty table gives no rows.
     """
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col(host).alias("host"))
+    docs = docs.withColumn("row", F.xxhash64("host", "text"))
     lines = staged(line_rows(docs), "lines")
     often = frequent_lines(lines, docs, most_docs, most_per_mille).withColumn("hit", F.lit(True))
     removed = F.coalesce(F.sum(F.when(F.col("hit"), F.col("n_words"))), F.lit(0)).alias("removed_words")
     keys = [F.collect_set(F.when(F.col("hit"), F.col("key"))).alias("removed_keys")] if clean_text else []
-    by_doc = lines.join(often, "key", "left").groupBy(F.col("doc_id").alias("line_doc")).agg(F.sum("n_words").alias("line_words"), removed, *keys)
+    same = F.count_if("first").alias("same")  # equal rows, whose lines are added up
+    by_row = lines.join(often, "key", "left").groupBy(F.col("doc_id").alias("line_doc"), F.col("row").alias("line_row")).agg(F.sum("n_words").alias("line_words"), removed, same, *keys)
     counted = with_text_counts(docs)
     joined = counted if clean_text else counted.drop("text", "host")
-    joined = joined.join(by_doc, F.col("doc_id").eqNullSafe(F.col("line_doc")), "left")
-    left = joined.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("line_words", "removed_words")})
+    joined = joined.join(by_row, F.col("doc_id").eqNullSafe(F.col("line_doc")) & (F.col("row") == F.col("line_row")), "left")
+    left = joined.withColumns({c: F.coalesce((F.col(c) / F.col("same")).cast("long"), F.lit(0).cast("long")) for c in ("line_words", "removed_words")})
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = 100 * (F.col("line_words") - F.col("removed_words")) < least_left_percent * F.col("line_words")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

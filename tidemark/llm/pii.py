@@ -37,13 +37,16 @@ _SPELLED = re.compile(rf"(?<!\w)(?:{_WORDS}|[0-9]+)(?:[\s,-]{{1,3}}(?:{_WORDS}|[
 _SPELLED_GATE = re.compile(rf"(?:{_WORDS})[\s,-]{{1,3}}(?:{_WORDS}|[0-9])")
 _WORD = re.compile(rf"{_WORDS}|[0-9]+", re.I)
 _PLUS = re.compile(r"(?<!\w)plus\s{1,3}(?=[+0-9(])", re.I)
-_AT = re.compile(r"\s{0,2}[(\[{<]\s{0,2}(?:at|ät|arroba|chez)\s{0,2}[)\]}>]\s{0,2}|\s{0,2}[(\[{<]\s{0,2}@\s{0,2}[)\]}>]\s{0,2}", re.I)
-_DOT = re.compile(r"\s{0,2}[(\[{<]\s{0,2}(?:dot|punkt|point|punto|\.)\s{0,2}[)\]}>]\s{0,2}", re.I)
+# White space of any length may stand about and inside the brackets; that before them is taken in afterwards, in one step.
+_AT = re.compile(r"[(\[{<]\s*+(?:at|ät|arroba|chez|@)\s*+[)\]}>]\s*+", re.I)
+_DOT = re.compile(r"[(\[{<]\s*+(?:dot|punkt|point|punto|\.)\s*+[)\]}>]\s*+", re.I)
 #: What a text must hold for a disguise in brackets; each begins with the bracket, which is quick to look for.
-_AT_GATE = re.compile(r"[(\[{<]\s{0,2}(?:at|ät|arroba|chez|@)", re.I)
-_DOT_GATE = re.compile(r"[(\[{<]\s{0,2}(?:dot|punkt|point|punto|\.)", re.I)
+_AT_GATE = re.compile(r"[(\[{<]\s*+(?:at|ät|arroba|chez|@)", re.I)
+_DOT_GATE = re.compile(r"[(\[{<]\s*+(?:dot|punkt|point|punto|\.)", re.I)
 #: Without brackets both words must appear: name at host dot end.
-_BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}( [Aa][Tt] )[A-Za-z0-9-]{1,63}((?: [Dd][Oo][Tt] [A-Za-z0-9-]{1,63}){1,4})(?!\w)")
+_BARE = re.compile(r"(?<![\w.%+-])[A-Za-z0-9._%+-]++( [Aa][Tt] )[A-Za-z0-9-]++((?: [Dd][Oo][Tt] [A-Za-z0-9-]++)+)(?!\w)")
+#: Four figures with the word between them.
+_BARE_IP = re.compile(r"(?<![\w.])[0-9]+(?: dot [0-9]+){3}(?![\w.])", re.I)
 _BARE_DOT = re.compile(" dot ", re.I)
 _FOREIGN = re.compile("[ɐ-\U0010ffff]")
 
@@ -146,15 +149,24 @@ def _digit_edits(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
+def _before_space(text: str, at: int) -> int:
+    """Where the white space that ends at a place begins."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
 def _sign_edits(text: str) -> list[tuple[int, int, str]]:
     low = _low(text)
     out = [(*m.span(), "+") for m in _PLUS.finditer(text)] if "plus" in low else []
-    out += [(*m.span(), "@") for m in _AT.finditer(text)] if _AT_GATE.search(text) else []
-    out += [(*m.span(), ".") for m in _DOT.finditer(text)] if _DOT_GATE.search(text) else []
-    if " dot " in low and " at " in low:
-        for m in _BARE.finditer(text):
-            out.append((*m.span(1), "@"))
-            out += [(m.start(2) + d.start(), m.start(2) + d.end(), ".") for d in _BARE_DOT.finditer(m[2])]
+    for pattern, gate, new in ((_AT, _AT_GATE, "@"), (_DOT, _DOT_GATE, ".")):
+        out += [(_before_space(text, m.start()), m.end(), new) for m in pattern.finditer(text)] if gate.search(text) else []
+    if " dot " in low:
+        dots = lambda found, at: [(at + d.start(), at + d.end(), ".") for d in _BARE_DOT.finditer(found)]
+        for m in _BARE.finditer(text) if " at " in low else ():
+            out += [(*m.span(1), "@"), *dots(m[2], m.start(2))]
+        for m in _BARE_IP.finditer(text):
+            out += dots(m[0], m.start())
     kept, last = [], 0
     for a, b, new in sorted(out):
         if a >= last:

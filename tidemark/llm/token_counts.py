@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from bisect import bisect_right
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,15 +17,28 @@ EDITS = "array<struct<start:int,stop:int,text:string>>"
 
 
 class CountTree:
-    """Token counts of a document's leaves (runs of whole pre-tokens) under a binary tree of sums."""
-
-    def __init__(self, path: str, text: str, leaf_chars: int) -> None:
-        self.path, self.text = path, text
-        self.cuts = [*bpe.safe_cuts(text, leaf_chars), len(text)]
-        self.leaves = len(self.cuts) - 1
-        self.width = 1 << max(0, self.leaves - 1).bit_length()
-        counts = [bpe.count(path, text[a:b]) for a, b in zip(self.cuts, self.cuts[1:])]
-        self.sums = [0] * self.width + counts + [0] * (self.width - self.leaves)
+    """Token counts of a document's leaves (runs of whole pre-tokens) under a binary tree of sums.
+
+    ``leaves`` are (characters, tokens) of the leaves as an earlier tree of the same text gave them; without them the
+    whole text is encoded once.
+    """
+
+    def __init__(self, path: str, text: str, leaf_chars: int, leaves: list[tuple[int, int]] | None = None) -> None:
+        self.path, self.text, self.leaf_chars, self.encoded = path, text, leaf_chars, 0
+        known = leaves and sum(n for n, _ in leaves) == len(text)
+        self._grow(list(leaves) if known else self._encoded(text))
+
+    def _encoded(self, text: str) -> list[tuple[int, int]]:
+        """Leaves of a text, or of a region between two borders, counted anew."""
+        self.encoded += len(text)
+        cuts = [*bpe.safe_cuts(text, self.leaf_chars), len(text)]
+        return [(b - a, bpe.count(self.path, text[a:b])) for a, b in zip(cuts, cuts[1:])]
+
+    def _grow(self, leaves: list[tuple[int, int]]) -> None:
+        self.leaves = leaves
+        self.cuts = [0, *accumulate(n for n, _ in leaves)]
+        self.width = 1 << max(0, len(leaves) - 1).bit_length()
+        self.sums = [0] * self.width + [n for _, n in leaves] + [0] * (self.width - len(leaves))
         for i in range(self.width - 1, 0, -1):
             self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
 
@@ -31,41 +46,61 @@ class CountTree:
     def total(self) -> int:
         return self.sums[1]
 
-    def _set(self, leaf: int, value: int) -> None:
+    def _set(self, leaf: int, tokens: int) -> None:
+        """Change a leaf's count and the sums above it."""
         i = self.width + leaf
-        change = value - self.sums[i]
+        change = tokens - self.sums[i]
         while i and change:
             self.sums[i] += change
             i //= 2
 
+    def tokens_before(self, leaf: int) -> int:
+        """Tokens in the leaves before this one, from the sums of subtrees."""
+        i, total = self.width + leaf, 0
+        while i > 1:
+            if i & 1:
+                total += self.sums[i - 1]
+            i //= 2
+        return total
+
     def apply(self, edits: list[tuple[int, int, str]]) -> int:
-        """Encode again what the edits touch; returns the number of characters encoded again.
+        """Edit the text and encode again what the edits touch; returns the number of characters encoded again.
 
         The leaves from the one before an edit's first character to the one of the character after it are touched:
-        their outer borders then keep both neighbours, so they stay borders of pre-tokens.
+        their outer borders then keep both neighbours, so they stay borders of pre-tokens. Where a region is still one
+        leaf, only the sums above it change; where it grows or loses leaves, the sums are added up anew, from counts.
         """
         groups: list[list] = []
         for start, stop, text in edits:
             low = max(0, bisect_right(self.cuts, max(0, start - 1)) - 1)
-            high = min(self.leaves - 1, bisect_right(self.cuts, stop) - 1)
+            high = min(len(self.leaves) - 1, bisect_right(self.cuts, stop) - 1)
             low = min(low, high)
             if groups and low <= groups[-1][1]:
                 groups[-1][1] = max(high, groups[-1][1])
                 groups[-1][2].append((start, stop, text))
             else:
                 groups.append([low, high, [(start, stop, text)]])
-        again = 0
+        before, leaves, texts, at, same = self.encoded, [], [], 0, True
         for low, high, own in groups:
-            parts, at = [], self.cuts[low]
+            parts, place = [], self.cuts[low]
             for start, stop, text in own:
-                parts += [self.text[at:start], text]
-                at = stop
-            region = "".join([*parts, self.text[at : self.cuts[high + 1]]])
-            again += len(region)
-            self._set(low, bpe.count(self.path, region))
-            for leaf in range(low + 1, high + 1):
-                self._set(leaf, 0)
-        return again
+                parts += [self.text[place:start], text]
+                place = stop
+            region = "".join([*parts, self.text[place : self.cuts[high + 1]]])
+            fresh = [leaf for leaf in self._encoded(region) if leaf[0]]
+            same = same and len(fresh) == 1 and low == high
+            leaves += [*self.leaves[at:low], *fresh]
+            texts += [self.text[self.cuts[at] : self.cuts[low]], region]
+            if same:
+                self._set(low, fresh[0][1])
+            at = high + 1
+        self.text = "".join([*texts, self.text[self.cuts[at] :]])
+        leaves += self.leaves[at:]
+        if same:
+            self.leaves, self.cuts = leaves, [0, *accumulate(n for n, _ in leaves)]
+        else:
+            self._grow(leaves or [(0, 0)])
+        return self.encoded - before
 
 
 def usable_edits(edits: list[dict] | None, length: int) -> list[tuple[int, int, str]]:
@@ -80,28 +115,45 @@ def usable_edits(edits: list[dict] | None, length: int) -> list[tuple[int, int,
     return kept
 
 
-def count_edited(docs: DataFrame, vocabulary: str | None = None, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """doc_id, n_chars_before, n_tokens_before, n_tokens_after, n_edits, n_leaves, n_chars_again for docs with ``edits``.
+_COUNTS = ["doc_id", "n_chars_before", "n_tokens_before", "n_tokens_after", "n_edits", "n_leaves", "n_chars_again"]
+LEAVES = "array<struct<chars:int,tokens:int>>"
+
+
+def revise(docs: DataFrame, vocabulary: str | None = None, leaf_chars: int = LEAF_CHARS) -> DataFrame:
+    """doc_id, text after the edits, leaves, n_chars_before, n_tokens_before, n_tokens_after, n_edits, n_leaves, n_chars_again, n_chars_encoded.
 
     ``edits`` is an array of (start, stop, text): the code points from start to stop of the text as it stands become
-    ``text``. Only touched leaves are encoded again. A null text is empty; null edits are none; edits out of range are
-    clipped, overlapping ones left out (see ``usable_edits``); equal rows are counted each for itself; other columns
-    are ignored; an empty table gives no rows. Memory: one document's leaves.
+    ``text``. ``leaves`` (characters and tokens of each leaf) is the document's tree as a column: written with the text and
+    handed in with the next edits, it saves encoding the text again, so that a revision encodes what its edits touch
+    (``n_chars_again``; ``n_chars_encoded`` counts the first encoding, too). Without the column, or where it does not
+    fit the text, the tree is built. A null text is empty; null edits are none; edits out of range are clipped, overlapping
+    ones left out (see ``usable_edits``); equal rows are counted each for itself; other columns are ignored; an empty table
+    gives no rows. Memory: one document's leaves.
     """
     path = vocabulary or bpe.default_path()
 
     def each(batch: dict[str, list]) -> dict[str, list]:
         rows = []
-        for doc_id, text, edits in zip(batch["doc_id"], batch["text"], batch["edits"]):
-            tree = CountTree(path, text or "", leaf_chars)
-            before, todo = tree.total, usable_edits(edits, len(text or ""))
+        for doc_id, text, edits, leaves in zip(batch["doc_id"], batch["text"], batch["edits"], batch["leaves"]):
+            held = [(x["chars"], x["tokens"]) for x in leaves] if leaves and all(x and None not in x.values() for x in leaves) else None
+            tree = CountTree(path, text or "", leaf_chars, held)
+            before, todo, n_leaves = tree.total, usable_edits(edits, len(text or "")), len(tree.leaves)
             again = tree.apply(todo)
-            rows.append((doc_id, len(text or ""), before, tree.total, len(todo), tree.leaves, again))
-        return dict(zip(names, map(list, zip(*rows)))) if rows else {n: [] for n in names}
+            grown = [dict(chars=n, tokens=k) for n, k in tree.leaves]
+            rows.append((doc_id, len(text or ""), before, tree.total, len(todo), n_leaves, again, tree.text, grown, tree.encoded))
+        columns = list(zip(*rows)) if rows else [()] * len(names)
+        types = [pa.int64()] * 7 + [pa.string(), pa.list_(pa.struct([("chars", pa.int32()), ("tokens", pa.int32())])), pa.int64()]
+        return {n: pa.array(c, t) for n, c, t in zip(names, columns, types)}
+
+    names = [*_COUNTS, "text", "leaves", "n_chars_encoded"]
+    leaves = F.col("leaves").cast(LEAVES) if "leaves" in docs.columns else F.lit(None).cast(LEAVES).alias("leaves")
+    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("edits").cast(EDITS), leaves)
+    return map_rows(slim, each, ", ".join(f"{n} long" for n in _COUNTS) + f", text string, leaves {LEAVES}, n_chars_encoded long")
 
-    names = ["doc_id", "n_chars_before", "n_tokens_before", "n_tokens_after", "n_edits", "n_leaves", "n_chars_again"]
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("edits").cast(EDITS))
-    return map_rows(slim, each, ", ".join(f"{n} long" for n in names))
+
+def count_edited(docs: DataFrame, vocabulary: str | None = None, leaf_chars: int = LEAF_CHARS) -> DataFrame:
+    """The counts of ``revise``."""
+    return revise(docs, vocabulary, leaf_chars).select(_COUNTS)
 
 
 def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:

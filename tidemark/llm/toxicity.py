@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.stage import staged
 from tidemark.llm.common import bounded_sample, held_out
 
-#: About so many labelled rows are learned from, chosen by a hash of doc_id.
+#: About so many labelled rows at most are learned from, chosen by a hash of doc_id and text.
 TRAIN_ROWS, TRAIN_TASKS, THRESHOLD = 20_000, 16, 0.3
 #: An insult stem needs so many toxic documents (and so many in a thousand of them), so much more weight (log odds) in
 #: toxic documents than in others, and different words before it in most documents: copied texts repeat theirs.
@@ -208,9 +208,10 @@ def _learn_weights(events: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> np.n
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Learn insult stems and event weights from labelled rows that are not held out (a sample of bounded size)."""
     marks = labels.where("toxic IN (0, 1)").groupBy(F.col("doc_id").alias("label_doc")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    marks = bounded_sample(marks.where(~held_out(F.col("label_doc"))), train_rows, "label_doc")
+    marks = bounded_sample(marks.where(~held_out(F.col("label_doc"))), train_rows, "label_doc")  # then rows: a doc_id may have many
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = staged(texts.join(marks, F.col("doc_id") == F.col("label_doc")).select("text", "toxic").repartition(TRAIN_TASKS, F.xxhash64("text")), "toxic-train")
+    marked = staged(texts.join(marks, F.col("doc_id") == F.col("label_doc")).select("doc_id", "text", "toxic"), "toxic-marked")
+    rows = staged(bounded_sample(marked, train_rows, "doc_id", "text").select("text", "toxic").repartition(TRAIN_TASKS, F.xxhash64("text")), "toxic-train")
     model = Model(_learn_stems(rows))
     shared = rows.sparkSession.sparkContext.broadcast((model.stems, model.weights))
 
