@@ -138,7 +138,8 @@ def fit(train: DataFrame, roles: Roles, supervised: bool = True) -> FeatureStats
     cells = amount_cells(train, roles)
     five = amount_quartiles(cells).collect()
     edges = open_edges([r["quantile"] for r in five if r.feature == "monthly"])
-    scalars = {f"median_{r.feature}": r["quantile"] for r in five if r.q == 0.5}
+    # a column without values has no median: comparisons with it are null
+    scalars = {"median_monthly": None, "median_avg_charge": None} | {f"median_{r.feature}": r["quantile"] for r in five if r.q == 0.5}
     y = F.col(roles.target) if supervised else F.lit(None).cast("double")
     scalars["global_tenure"], scalars["global_rate"] = train.agg(F.avg(roles.tenure), F.avg(y)).first()
     means = category_means(train, roles.contract, roles.tenure).select(
