@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
+from tidemark.llm import tree_forest
 from tidemark.llm.jaccard_join import bands_for, jaccard_links
 from tidemark.llm.links import components
 from tidemark.llm.tree_forest import forest_links
@@ -158,3 +161,44 @@ def test_forest_keeps_a_dense_group_whole(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     found = {r.vec_id: r.n_links for r in forest_links(df, leaf=8).collect()}  # leaves of 8 sample rows, as for millions
     assert counts.sum() > 300_000 and [found[i] for i in range(len(rows))] == counts.tolist()
+
+
+def _links_of(units, labels):
+    return ((units @ units.T >= 0.93) & (labels[:, None] == labels)).sum(axis=1) - 1
+
+
+def _copies(rng, n, dims, labels):
+    """Vectors of which a third are near-copies of the one before, and a tenth belong to groups of thirty."""
+    out = []
+    for i in range(n):
+        v = rng.standard_normal(dims)
+        if i % 3 == 1:
+            v = out[-1][1] + rng.standard_normal(dims) * 0.2
+        elif i % 10 == 9:
+            v = np.random.default_rng(i // 300).standard_normal(dims) + rng.standard_normal(dims) * 0.15
+        out.append((i, v, out[-1][2] if i % 3 == 1 else i // 300 % labels if i % 10 == 9 else int(rng.integers(labels))))
+    return out
+
+
+@pytest.mark.parametrize("third", [False, True])
+def test_crowded_leaves_are_split_again(spark, monkeypatch, third):
+    seen = []
+    real = tree_forest._split_again
+    monkeypatch.setattr(tree_forest, "_split_again", lambda *a: seen.append(real(*a)) or seen[-1])
+    per_node = []
+    for n in (3000, 9000):
+        rng = np.random.default_rng(n)
+        rows = _copies(rng, n, 32, 2)
+        if third:
+            middle = rng.standard_normal(32)
+            rows = [(i, middle + rng.standard_normal(32) * 0.12 if i % 3 == 2 else v, 1 if i % 3 == 2 else k) for i, v, k in rows]
+        units = np.array([v / np.linalg.norm(v) for _, v, _ in rows])
+        counts = _links_of(units, np.array([k for _, _, k in rows]))
+        df = spark.createDataFrame([(i, v.tolist(), k) for i, v, k in rows], "vec_id long, embedding array<double>, label int")
+        found = {r.vec_id: r.n_links for r in tree_forest.forest_links(df, leaf=24, sample_rows=250, own_sample=400).collect()}
+        assert all(found[i] <= counts[i] for i in range(n)) and sum(found.values()) >= 0.97 * counts.sum()
+        placed = seen[-1].groupBy("place", "label").agg(F.count("*").alias("n"), F.max("done").alias("done"))
+        assert placed.where("NOT done").agg(F.max("n")).first()[0] <= 4 * 24
+        open_ = seen[-1].where("NOT done").groupBy("node").count().agg(F.avg("count")).first()[0]
+        per_node.append(open_)
+    assert per_node[1] < 2 * per_node[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import astuple, dataclass
 
@@ -22,6 +23,8 @@ THRESHOLD = 0.93
 TREES, SPILL, LEAF, SAMPLE, LEAST_LEAF, BLOCK = 8, 0.05, 512, 20_000, 8, 512
 #: A sample row with this share of a leaf of the sample linked to it (three rows at least) is in a dense group.
 DENSE, LEAST_DENSE = 1 / 8, 3
+#: A leaf of more than so many times the rows aimed at is split again, by a sample of so many of its own rows.
+CROWDED, OWN_SAMPLE = 4, 4096
 
 
 @dataclass
@@ -121,12 +124,89 @@ def unit(vector: list | None) -> np.ndarray | None:
     return v / np.sqrt(v @ v)
 
 
-def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, trees: int = TREES, spill: float = SPILL, leaf: int = LEAF, sample_rows: int = SAMPLE, block: int = BLOCK) -> DataFrame:
+def _fitted(sample: np.ndarray, aim: int, threshold: float, spill: float, seed: int) -> tuple[np.ndarray, Tree]:
+    """The centres of dense groups in a sample, and a tree over the rest."""
+    centres = centres_of(sample, threshold, max(LEAST_DENSE, int(aim * DENSE)))
+    rest = sample[~cells(sample, centres, threshold)[2]] if len(centres) else sample
+    return centres, grow(rest, aim, spill, seed)
+
+
+def _parts(vectors: np.ndarray, centres: np.ndarray, tree: Tree, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, part): cells about the centres first, then the leaves of the tree, for the rows that no cell covers."""
+    left, rows, parts = np.arange(len(vectors)), [], []
+    if len(centres):
+        r, k, covered = cells(vectors, centres, threshold)
+        rows.append(r)
+        parts.append(k)
+        left = np.flatnonzero(~covered)
+    r, k = tree.leaves(vectors[left])
+    return np.concatenate([*rows, left[r]]), np.concatenate([*parts, k + len(centres)])
+
+
+_PLACED = "node binary, label string, width int, place long, done boolean"
+
+
+def _split_again(placed: DataFrame, nodes: DataFrame, leaf: int, threshold: float, spill: float, own_sample: int) -> DataFrame:
+    """Leaves that hold too many rows are split by trees fitted on their own rows, until none does or nothing splits.
+
+    Trees are fitted in tasks, one leaf each, on a sample of bounded size; a leaf's tree meets the leaf's rows by streaming
+    past them, so neither the driver nor a broadcast holds the second level, whose size grows with the table.
+    """
+    key = ["place", "label", "width"]
+    while True:
+        sizes = placed.where("NOT done").groupBy(*key).agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > CROWDED * leaf)
+        sizes = staged(sizes.withColumn("grp", F.xxhash64(*key)), "crowded")
+        if sizes.isEmpty():
+            return placed
+        rows = placed.where("NOT done").join(sizes, key).join(nodes.select("node", "label", "data"), ["node", "label"])
+        rows = staged(rows.select("grp", "size", *key, "node", "data"), "crowded-rows")
+        chance = F.pmod(F.xxhash64("node", "grp"), F.lit(1 << 40)) / float(1 << 40)
+        sample = rows.where(chance < F.lit(float(own_sample)) / F.col("size")).select("grp", "size", "data")
+
+        def fit(table: pa.Table) -> dict[str, list]:
+            own = np.stack([np.frombuffer(d) for d in table.column("data").to_pylist()])
+            grp, size = table.column("grp")[0].as_py(), table.column("size")[0].as_py()
+            aim = max(LEAST_LEAF, int(leaf * len(own) / size))
+            centres, tree = _fitted(own, aim, threshold, spill, grp & 0x7FFFFFFF)
+            return {"grp": [grp], "tree": [pickle.dumps((centres, astuple(tree)))]}
+
+        trees = staged(links.map_groups(sample, "grp", fit, "grp long, tree binary"), "own-trees")
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("place", "long"), ("label", "string"), ("width", "int"), ("node", "binary"), ("data", "binary"))]
+        both = trees.select("grp", F.lit(0).alias("turn"), "tree", *none).unionByName(rows.select("grp", F.lit(1).alias("turn"), F.lit(None).cast("binary").alias("tree"), *key, "node", "data"))
+
+        def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            now, centres, tree = None, None, None
+            for batch in batches:
+                grps, turns = batch.column("grp").to_numpy(), batch.column("turn").to_numpy()
+                cuts = np.flatnonzero(np.append(True, (grps[1:] != grps[:-1]) | (turns[1:] != turns[:-1]))) if len(grps) else []
+                for a, b in zip(cuts, [*cuts[1:], len(grps)]):
+                    if turns[a] == 0:
+                        now = grps[a]
+                        centres, arrays = pickle.loads(batch.column("tree")[int(a)].as_py())
+                        tree = Tree(*arrays)
+                        continue
+                    part = batch.slice(int(a), int(b - a))
+                    if now == grps[a]:
+                        r, k = _parts(np.stack([np.frombuffer(d) for d in part.column("data").to_pylist()]), centres, tree, threshold)
+                        one = len(centres) == 0 and len(tree.low) == 0
+                    else:  # no row of this leaf came into the sample
+                        r, k, one = np.arange(part.num_rows), np.zeros(part.num_rows, np.int64), True
+                    take = pa.array(r)
+                    cell = pa.array(k < (0 if now != grps[a] else len(centres))) if not one else pa.array(np.ones(len(k), bool))
+                    yield pa.RecordBatch.from_arrays([*[part.column(c).take(take) for c in ("node", "label", "width", "place")], pa.array(k), cell], names=["node", "label", "width", "place", "part", "done"])
+
+        routed = both.repartition("grp").sortWithinPartitions("grp", "turn").mapInArrow(route, "node binary, label string, width int, place long, part long, done boolean")
+        again = routed.select("node", "label", "width", F.xxhash64("place", "part").alias("place"), "done")
+        placed = staged(placed.join(sizes.select(*key), key, "left_anti").select("node", "label", "width", "place", "done").unionByName(again), "placed")
+
+
+def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = THRESHOLD, trees: int = TREES, spill: float = SPILL, leaf: int = LEAF, sample_rows: int = SAMPLE, block: int = BLOCK, own_sample: int = OWN_SAMPLE) -> DataFrame:
     """(item, n_links, component_id, kept): links are pairs of equal non-null label with cosine at or above the threshold.
 
     Dense groups are found in a sample of at most about ``sample_rows`` rows and kept whole: a row linked to the centre
     of one finds all its links in cells about the centres. Every other row goes through every tree as well, whose splits
-    are fitted on such rows of the sample. Cells and leaves are compared within equal labels and lengths; one of more
+    are fitted on such rows of the sample; a leaf that holds over ``CROWDED`` times the rows aimed at is split again by
+    trees fitted on its own rows, so that leaves do not grow with the table. Cells and leaves are compared within equal labels and lengths; one of more
     than ``block`` such rows is compared block by block, none of its rows left out. A pair that meets in several cells
     or leaves is counted in the first only, so counts need no set of pairs. Equal vectors of a label are one node and count as linked to each other. A vector
     that is null, empty, zero or holds a null or non-finite component, or has no label, links with nothing. Rows with
@@ -197,8 +277,16 @@ def forest_links(vectors: DataFrame, item: str = "vec_id", vector: str = "embedd
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("label"), batch.column("copies"), batch.column("data"), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(place, pa.int64()))], names=["node", "label", "copies", "data", "places"])
 
     routed = staged(nodes.mapInArrow(route, "node binary, label string, copies long, data binary, places array<long>"), "routed")
+    at_once = routed.select("node", "label", F.octet_length("data").alias("width"), F.explode("places").alias("place"))
+    # cells of dense groups (tree 0) stay whole
+    first = at_once.withColumn("done", F.shiftright("place", 32) == 0)
+    split = _split_again(first, nodes, leaf, threshold, spill, own_sample)
     group = F.xxhash64("place", "label", "width").alias("grp")
-    placed = routed.withColumn("width", F.length("data")).withColumn("place", F.explode("places"))
+    if split is first:
+        placed = routed.withColumn("width", F.octet_length("data")).withColumn("place", F.explode("places"))
+    else:
+        lists = split.groupBy("node", "label").agg(F.collect_set("place").alias("places"))
+        placed = nodes.join(lists, ["node", "label"]).withColumn("width", F.octet_length("data")).withColumn("place", F.explode("places"))
     sizes = placed.groupBy(group).agg(F.count(F.lit(1)).alias("size")).where("size > 1").withColumn("n_blocks", F.ceil(F.col("size") / block).cast("int"))
     rows = placed.select("node", "copies", "data", "places", "place", group).join(sizes, "grp")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("n_blocks")).cast("int"))
