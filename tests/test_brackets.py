@@ -7,7 +7,6 @@ from hypothesis import strategies as st
 
 from tidemark.functions import brackets
 from tidemark.operators import features, profile
-from tidemark.operators.drift import drift_report  # noqa: F401
 
 PROBS = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
