@@ -10,19 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.stage import staged
 from tidemark.llm.common import bounded_sample, held_out, once_per_worker
 
 BUCKETS, GRAMS, SMOOTHING = 1 << 16, (2, 3), 0.5
-#: About so many labelled rows at most are learned from, chosen by a hash of doc_id and text; tasks that count them; languages
+#: About so many labelled rows at most are learned from, chosen by a hash of doc_id and text; languages
 #: that a model holds at most, those with the most rows of the sample (a row of the matrix is BUCKETS numbers).
-TRAIN_ROWS, TRAIN_TASKS, MOST_LANGUAGES = 40_000, 16, 256
-_CHUNK = 2_000_000
+TRAIN_ROWS, MOST_LANGUAGES = 40_000, 256
+_CHUNK = 500_000
 
 
 def _letters() -> np.ndarray:
     """Code point -> itself if a letter, else a space."""
-    return once_per_worker("letters", lambda: np.array([c if chr(c).isalpha() else 32 for c in range(0x110000)], np.uint32))
+    return once_per_worker("letters", lambda: np.fromiter((c if chr(c).isalpha() else 32 for c in range(0x110000)), np.uint32, 0x110000))
 
 
 def grams(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -72,10 +71,10 @@ def _slices(lengths: list[int]) -> list[slice]:
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Learn from (text, lang) of rows that are not held out. Each task sends one count vector per language it saw."""
     labelled = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = bounded_sample(labelled.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string")), train_rows, "doc_id", "text")
-    rows = staged(rows.repartition(TRAIN_TASKS, "doc_id", "text").select("text", "lang"), "language-train")
+    # the sample is dealt out by doc_id and text already, as equal rows are taken once
+    rows = bounded_sample(labelled.select("doc_id", F.col("text").cast("string"), F.col("lang").cast("string")), train_rows, "doc_id", "text").select("text", "lang")
     most = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    rows = rows.join(F.broadcast(most.select("lang")), "lang", "left_semi").select("text", "lang")
+    rows = rows.where(F.col("lang").isin([r.lang for r in most.collect()]))
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
