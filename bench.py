@@ -42,11 +42,15 @@ HEADLINE = [
     "top_contributors",
     "rank_agreement",
     "knn_minority",
+    "knn_bucketed",
     "tomek_links",
     "smote",
     "train_logistic",
     "tree_attribution",
     "stream_drift",
+    "drift_report_stored",
+    "cross_validate",
+    "oof_scores",
 ]
 
 
