@@ -34,6 +34,28 @@ def test_neighbours_against_brute_force(spark, monkeypatch, kind):
     assert {i: [n for _, n in sorted(v)] for i, v in got.items()} == _brute(x, 3)
 
 
+def test_search_writes_no_row_per_cell(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_CELL", 40)
+    written, staged = {}, neighbours.staged
+
+    def counted(df, label):
+        done = staged(df, label)
+        written[label] = done.count()
+        return done
+
+    monkeypatch.setattr(neighbours, "staged", counted)
+    x = np.random.default_rng(4).normal(size=(1200, 24))
+    got = neighbours.nearest_neighbours(_vectors(spark, x), "k", "vec", 1, block=60).collect()
+    assert {r.k: [r.neighbour] for r in got} == _brute(x, 1)
+    assert max(written.values()) <= len(x)
+
+
+def test_coordinates_that_are_no_numbers(spark):
+    x = np.array([[0.0, 1.0], [0.0, 1.5], [float("nan"), 1.0], [float("inf"), 1.0], [1e200, 1.0]])
+    got = neighbours.nearest_neighbours(_vectors(spark, x), "k", "vec", 1).collect()
+    assert {(r.k, r.neighbour) for r in got} == {(0, 1), (1, 0)}
+
+
 def test_few_points(spark):
     assert neighbours.nearest_neighbours(_vectors(spark, np.zeros((1, 2))), "k", "vec", 3).collect() == []
     got = neighbours.nearest_neighbours(_vectors(spark, np.array([[0.0], [1.0], [3.0]])), "k", "vec", 5)
