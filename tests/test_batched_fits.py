@@ -3,6 +3,7 @@
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -206,3 +207,42 @@ def test_search_over_several_algorithms(customers):
     assert {t.algorithm for t in trials} == {"boosted", "logistic_regression", "random_forest"}
     assert {t.threshold for t in trials} == {0.5} and all(0 <= t.value <= 1 for t in trials)
     assert found.best_value == max(t.value for t in trials if t.state == "COMPLETE")
+
+
+@pytest.mark.parametrize("models", [1, boost.FEW + 1])
+def test_sums_by_bin_against_plain_loops(models):
+    rng = np.random.default_rng(3)
+    widths = np.array([5, 1, 2, 9])
+    bins = np.stack([rng.integers(0, w, 300) for w in widths], axis=1).astype(np.uint8)
+    parts = rng.normal(size=(3, 300, models))
+    want = [[parts[:, bins[:, c] == b, :].sum(axis=1).T for b in range(w)] for c, w in enumerate(widths)]
+    assert np.allclose(boost._histograms(np.asfortranarray(bins), widths, parts), np.concatenate([np.stack(w) for w in want]))
+
+
+def test_binary_columns_are_read_from_a_slice():
+    column = pa.array([bytes([i, i + 1]) for i in range(9)], pa.binary())
+    assert boost._plain(column.slice(3, 2), np.uint8).tolist() == [3, 4, 4, 5]
+    assert boost._plain(pa.array([b"", b""], pa.binary()), np.uint8).tolist() == []
+
+
+def test_passes_leave_out_held_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 2))
+    rows = [(0, str(i), float(x[i, 0] > 0), 1.0, i % 4 == 0, x[i].tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "fold int, name string, y double, weight double, held boolean, x array<double>")
+    boosting = boost.Boosting(df, [boost.Setting(n_estimators=1, max_depth=1)])
+    assert boosting.tasks == 1
+    seen = spark.sparkContext.accumulator(0)
+    plain = boost._pass
+
+    def counted(batches, plan):
+        def through():
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return plain(through(), plan)
+
+    monkeypatch.setattr(boost, "_pass", counted)
+    boosting.run(1, [0])
+    assert seen.value == 2 * 150

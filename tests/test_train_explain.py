@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from tidemark.functions.stage import spread
 from tidemark.operators import explain as ex
 from tidemark.operators import train as tr
 from tidemark.operators import trees
@@ -178,3 +179,20 @@ def test_contributors(spark):
     got = [tuple(r)[1:4] for r in ex.top_contributors(wide, "k", 1).collect()]
     assert got == [("raises", 1, "c"), ("lowers", 1, "b")]
     assert [r.feature for r in ex.top_by_size(wide, "k", 2).collect()] == ["b", "c"]
+
+
+def test_attributions_of_many_rows_work_out_each_pattern_once(monkeypatch):
+    rng = np.random.default_rng(5)
+    steps = {s: (float(rng.uniform(0.2, 0.8)), float(rng.normal()), np.inf, -1) for s in range(3)}
+    p = trees._padded([(1.5, steps), (-0.5, {1: (0.4, -np.inf, 0.1, -1), 3: (0.5, -np.inf, np.inf, 5)})])
+    x = np.column_stack([rng.normal(size=(700, 3)), rng.integers(0, 3, 700)])
+    plain = np.concatenate([trees.attribute(row[None], [p]) for row in x])
+    asked, given = [], trees._given
+    monkeypatch.setattr(trees, "_given", lambda p, z: asked.append(len(z)) or given(p, z))
+    assert trees.attribute(x, [p]) == pytest.approx(plain)
+    assert sum(asked) <= 1 << 3
+
+
+def test_fits_use_every_core(spark):
+    assert spread(spark.range(200_000).coalesce(1), 200_000).rdd.getNumPartitions() == 3 * spark.sparkContext.defaultParallelism
+    assert spread(spark.range(9).repartition(4), 9).rdd.getNumPartitions() == 1

@@ -7,8 +7,8 @@ when the column is unknown. With shares r and passes z (0 or 1) of the path's co
 
 as the weights of subsets are the moments of t. The integrand is a polynomial of one degree less than the path is long, so a
 few Gauss points give the integral exactly; at each point the product over the whole path is taken once, and one factor is
-divided out per column (no factor is zero inside the interval). All leaves of a tree and all rows of a slice go through at
-once. Paths are built in tasks, one tree each; like the model itself, which MLlib holds and ships whole, they must fit in memory.
+divided out per column (no factor is zero inside the interval). A leaf gives the same to all rows that pass the same of its
+steps: where a path is short, that is worked out once for every pattern and looked up by row. Paths are built in tasks, one tree each; like the model itself, which MLlib holds and ships whole, they must fit in memory.
 """
 
 from __future__ import annotations
@@ -34,8 +34,18 @@ from tidemark.operators.train import ChurnModel, feature_names
 # tasks get these functions by value, so executors need not have the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Cells (rows x leaves x path) worked on at a time.
-CELLS = 1_000_000
+#: Cells (rows x leaves x path) worked on at a time, longest path whose patterns are listed, and rows looked up at a time.
+CELLS, LISTED, ROWS = 1_000_000, 8, 16_384
+
+
+def _inside(v: np.ndarray, low: np.ndarray, high: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Whether values lie in (low, high], or have their bit set in the codes."""
+    coded = codes >= 0
+    inside = (v > low) & (v <= high)
+    if not coded.any():
+        return inside
+    bit = np.clip(np.where(coded, v, 0), 0, 62).astype(np.int64)
+    return np.where(coded, np.where(coded, codes, 0) >> bit & 1 == 1, inside)
 
 
 @dataclass(frozen=True)
@@ -54,13 +64,7 @@ class Paths:
 
     def passes(self, x: np.ndarray) -> np.ndarray:
         """(row, leaf, step): whether the row passes the step."""
-        v = x[:, self.slot]
-        coded = self.codes >= 0
-        inside = (v > self.low) & (v <= self.high)
-        if not coded.any():
-            return inside
-        bit = np.clip(np.where(coded, v, 0), 0, 62).astype(np.int64)
-        return np.where(coded, np.where(coded, self.codes, 0) >> bit & 1 == 1, inside)
+        return _inside(x[:, self.slot], self.low, self.high, self.codes)
 
     @property
     def base(self) -> float:
@@ -162,26 +166,53 @@ def base_value(fitted, trees: list[Paths]) -> float:
     return start + sum(p.base for p in trees)
 
 
+def _given(p: Paths, z: np.ndarray) -> np.ndarray:
+    """(row, leaf, step): what each step gets where z (0 or 1) says whether the row passes it."""
+    at, weight = np.polynomial.legendre.leggauss((p.share.shape[1] + 1) // 2)
+    at, weight = (at + 1) / 2, weight / 2
+    total = np.zeros(z.shape)
+    for t, w in zip(at, weight):
+        factor = p.share * (1 - t) + z * t
+        total += (w * factor.prod(axis=2))[:, :, None] / factor
+    return total * (z - p.share) * p.value[None, :, None]
+
+
+def _looked_up(out: np.ndarray, x: np.ndarray, p: Paths) -> None:
+    """Add one tree's attributions to ``out`` (slot, row), from those of every pattern of passed steps. ``x`` is (slot, row)."""
+    n, width = p.share.shape
+    # each different step is tried once, whatever number of leaves it leads to
+    steps, which = np.unique(np.stack([p.slot, p.low, p.high, p.codes]).reshape(4, -1), axis=1, return_inverse=True)
+    which = which.reshape(n, width)
+    slot, low, high, codes = steps[:, :, None]
+    z = _inside(x[slot[:, 0].astype(np.int64)], low, high, codes.astype(np.int64)).astype(np.uint8)
+    patterns = (np.arange(1 << width)[:, None] >> np.arange(width) & 1).astype(float)
+    table = np.ascontiguousarray(_given(p, np.broadcast_to(patterns[:, None], (1 << width, n, width))).transpose(1, 2, 0))
+    for leaf in range(n):
+        code = np.zeros(x.shape[1], np.uint8)
+        for k in range(width):
+            code |= z[which[leaf, k]] << np.uint8(k)
+        code = code.astype(np.intp)
+        for k in np.flatnonzero(table[leaf].any(axis=1)):
+            out[p.slot[leaf, k]] += table[leaf, k].take(code)
+
+
 def attribute(x: np.ndarray, trees: list[Paths]) -> np.ndarray:
     """Shapley values of every row and slot."""
-    out = np.zeros(x.shape)
+    out, by_slot = np.zeros((x.shape[1], len(x))), np.ascontiguousarray(x.T)
     for p in trees:
         n, width = p.share.shape
-        at, weight = np.polynomial.legendre.leggauss((width + 1) // 2)
-        at, weight = (at + 1) / 2, weight / 2
-        step = max(1, CELLS // (n * width))
+        listed = width <= LISTED and 1 << width < len(x)
+        step = ROWS if listed else max(1, CELLS // (n * width))
         for i in range(0, len(x), step):
-            z = p.passes(x[i : i + step]).astype(float)
-            total = np.zeros(z.shape)
-            for t, w in zip(at, weight):
-                factor = p.share * (1 - t) + z * t
-                total += (w * factor.prod(axis=2))[:, :, None] / factor
-            part = total * (z - p.share) * p.value[None, :, None]
-            flat, rows = p.slot.ravel(), part.reshape(len(z), -1)
+            rows = slice(i, i + step)
+            if listed:
+                _looked_up(out[:, rows], by_slot[:, rows], p)
+                continue
+            flat, part = p.slot.ravel(), _given(p, p.passes(x[rows]).astype(float)).reshape(len(x[rows]), -1)
             order = np.argsort(flat, kind="stable")
             heads = np.flatnonzero(np.diff(flat[order], prepend=-1))
-            out[i : i + step, flat[order][heads]] += np.add.reduceat(rows[:, order], heads, axis=1)
-    return out
+            out[flat[order][heads], rows] += np.add.reduceat(part[:, order], heads, axis=1).T
+    return np.ascontiguousarray(out.T)
 
 
 def tree_parts(model: ChurnModel, df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -197,7 +228,8 @@ def tree_parts(model: ChurnModel, df: DataFrame, keep: tuple[str, ...] = ()) ->
     trees = paths(spark, fitted)
     shared = spark.sparkContext.broadcast(trees)
     ids = [model.roles.key, *keep]
-    rows = prepared.select(*ids, vector_to_array("features").alias("_x"))
+    # a written table has as many parts as its writer had, which may be fewer than there are cores
+    rows = prepared.select(*ids, vector_to_array("features").alias("_x")).repartition(3 * spark.sparkContext.defaultParallelism)
 
     def explain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
