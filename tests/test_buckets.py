@@ -1,8 +1,12 @@
 """Neighbours from hash tables: recall against all pairs, work, blocks, ties, and resampling with them."""
 
+import os
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.functions.stage import shared_folder
 from tidemark.operators import balance, buckets
 from tidemark.operators.neighbours import nearest_neighbours
 
@@ -77,3 +81,34 @@ def test_resampling_by_buckets(spark):
     found = {tuple(r) for r in balance.tomek_links(df, "id", "vec", "y", search="bucketed").collect()}
     assert len(exact & found) >= 0.9 * len(exact)
     assert balance.smote_tomek(df, "id", "vec", "y", search="bucketed").count() > 900
+
+
+def _written(spark):
+    folder = f"{shared_folder(spark)}/tidemark-{spark.sparkContext.applicationId}"
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files if f.endswith(".parquet")}
+
+
+def test_tables_on_the_way_hold_a_row_once(spark):
+    x = _groups(1500, 32, 4).astype(np.float32).astype(float)
+    before = _written(spark)
+    assert buckets.bucketed_neighbours(_frame(spark, x), "id", "vec", 5).count() == 7500
+    # the vectors, and beside them the sums of the cells' projections (576 bytes); not the 72 rows that are searched
+    assert sum(n for f, n in _written(spark).items() if f not in before) < 1500 * (2 * 32 * 8 + 576)
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_cells_cut_in_a_task_or_as_tables(spark, kind):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([_groups(500, 12, 6), np.arange(12.0) + rng.normal(size=(400, 12)) * 1e-3, np.tile(np.arange(12.0), (30, 1))]).astype(kind).astype(float)
+    df = _frame(spark, x).select(F.concat(F.lit("k"), "id").alias("id"), "vec")
+    whole = sorted(map(tuple, buckets.bucketed_neighbours(df, "id", "vec", 4, bucket=8).collect()))
+    for crowd, block in ((0, 2000), (200, 50)):
+        assert whole == sorted(map(tuple, buckets.bucketed_neighbours(df, "id", "vec", 4, block=block, bucket=8, crowd=crowd).collect()))
+
+
+def test_whole_coordinates_are_those_of_the_table(spark):
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(size=(200, 4)), (rng.integers(-50, 50, size=(200, 4)) + 0.5) / 1e6, [[0.49999999999999994e-6, -0.0, 0.1234565, -2.5e-6]]])
+    rounded = F.transform("vec", lambda v: F.round(v * 1_000_000).cast("long"))
+    there = {r.id: r.w for r in _frame(spark, x).select("id", rounded.alias("w")).collect()}
+    assert buckets._further(x, np.eye(4), 1_000_000).tolist() == [there[i] for i in range(len(x))]
