@@ -135,3 +135,44 @@ def test_encodings(spark):
     codes = prep.category_codes(train, ["c"])
     assert sorted(r.c for r in prep.with_codes(test, codes, ["c"]).collect()) == [-1, -1, 2]
     assert prep.one_hot_long(train.withColumn("id", F.lit(1)), "id", ["c"]).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["spread", "ties", "alike", "mixed", "small"])
+def test_blocks_that_meet_find_what_each_side_finds(kind):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 5))
+    if kind == "ties":
+        x = rng.integers(0, 3, (1500, 5)).astype(float)
+    if kind == "alike":
+        x = 1 + 1e-9 * x
+    if kind == "mixed":
+        x = x * 10.0 ** rng.integers(-6, 6, (1500, 1))
+    if kind == "small":
+        x = x * 1e-160
+    a, b, names_a, names_b = x[:300], x[300:], np.arange(300), np.arange(250, 1450)
+    for k in (1, 4):
+        open_a, open_b = np.full(len(a), np.inf), np.full(len(b), np.inf)
+        balls = [np.zeros(len(v)) for v in (a, b)]
+        for ball, (v, names, wide) in zip(balls, ((a, names_a, open_a), (b, names_b, open_b))):
+            row, _, d = neighbours._closer(v, wide, names, v, names, k)
+            np.maximum.at(ball, row, d)
+        met = neighbours._meet(a, balls[0], names_a, b, balls[1], names_b, k)
+        each = [neighbours._closer(a, balls[0], names_a, b, names_b, k), neighbours._closer(b, balls[1], names_b, a, names_a, k)]
+        for ball, got, want in zip(balls, met, each):
+            within = [[tuple(v) for v in zip(*found) if v[2] <= ball[v[0]]] for found in (got, want)]
+            assert within[0] == within[1] and within[0]
+
+
+def test_a_pair_of_blocks_is_multiplied_once(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "_CELL", 40)
+
+    def refused(*given):
+        if given[0] is not given[3]:
+            raise ValueError("two blocks searched one way at a time")
+        return closer(*given)
+
+    closer = neighbours._closer
+    monkeypatch.setattr(neighbours, "_closer", refused)
+    x = np.random.default_rng(4).normal(size=(1200, 24))
+    got = neighbours.nearest_neighbours(_vectors(spark, x), "k", "vec", 1, block=60).collect()
+    assert {r.k: [r.neighbour] for r in got} == _brute(x, 1)
